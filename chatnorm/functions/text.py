@@ -28,19 +28,52 @@ def strip(c: Column) -> Column:
 
 
 def python_float_text(c: Column) -> Column:
-    """Decimal text of a double in the shape ``1.0``, ``1e+16``, ``0.0001``, ``nan``, ``inf``."""
-    s = c.cast("double").cast("string")
-    sci = r"^-?(\d)\.(\d+)E(-?\d+)$"
+    """Shortest decimal text of a double, as ``1.0``, ``1e+16``, ``0.0001``, ``nan``, ``inf``.
+
+    Spark's own text may carry a digit too many; fewer digits are taken when they give the same
+    double back.
+    """
+    value = c.cast("double")
+    s = value.cast("string")
+    digits_15, digits_16 = F.format_string("%.14e", value), F.format_string("%.15e", value)
+    exact = (
+        F.when(digits_15.try_cast("double") == value, digits_15)
+        .when(digits_16.try_cast("double") == value, digits_16)
+        .otherwise(F.format_string("%.16e", value))
+    )
+    pattern = r"^-?(\d)\.(\d+)e([+-]\d+)$"
+    parts = _bind(
+        exact,
+        lambda e: F.struct(
+            F.regexp_extract(e, pattern, 1).alias("lead"),
+            F.rtrim(F.regexp_extract(e, pattern, 2), F.lit("0")).alias("frac"),
+            F.regexp_extract(e, pattern, 3).try_cast("int").alias("exp"),
+        ),
+    )
     sign = F.when(s.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    lead = F.regexp_extract(s, sci, 1)
-    frac = F.regexp_replace(F.regexp_extract(s, sci, 2), "^0$", "")
-    exp = F.regexp_extract(s, sci, 3).try_cast("int")
+    return (
+        F.when(s == "NaN", F.lit("nan"))
+        .when(s == "Infinity", F.lit("inf"))
+        .when(s == "-Infinity", F.lit("-inf"))
+        .when(~s.contains("E") & (F.length(s) < 16), s)
+        .otherwise(F.concat(sign, _bind(parts, _decimal_notation)))
+    )
+
+
+def _bind(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _decimal_notation(parts: Column) -> Column:
+    lead, frac, exp = parts["lead"], parts["frac"], parts["exp"]
     digits = F.concat(lead, frac)
-    large = F.when(
+    whole = F.when(
         F.length(frac) <= exp, F.concat(F.rpad(digits, exp + 1, F.lit("0")), F.lit(".0"))
     ).otherwise(
         F.concat(digits.substr(F.lit(1), exp + 1), F.lit("."), digits.substr(exp + 2, F.length(digits)))
     )
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
     scientific = F.concat(
         lead,
         F.when(frac != "", F.concat(F.lit("."), frac)).otherwise(F.lit("")),
@@ -48,13 +81,9 @@ def python_float_text(c: Column) -> Column:
         F.lpad(F.abs(exp).cast("string"), 2, "0"),
     )
     return (
-        F.when(s == "NaN", F.lit("nan"))
-        .when(s == "Infinity", F.lit("inf"))
-        .when(s == "-Infinity", F.lit("-inf"))
-        .when(~s.contains("E"), s)
-        .when((exp >= 7) & (exp < 16), F.concat(sign, large))
-        .when(exp == -4, F.concat(sign, F.lit("0.000"), digits))
-        .otherwise(F.concat(sign, scientific))
+        F.when((exp >= 0) & (exp < 16), whole)
+        .when((exp >= -4) & (exp < 0), small)
+        .otherwise(scientific)
     )
 
 
@@ -107,29 +136,32 @@ def to_text(c: Column, dtype: T.DataType | None = None) -> Column:
 def json_fields(c: Column) -> Column:
     """Top-level members of a JSON object text as ``map<string,string>``, else null.
 
-    Nested values keep their JSON text. Wrapping the text in a list makes Spark refuse
-    anything that follows the object, which its parsers otherwise ignore.
+    Nested values keep their JSON text.
     """
-    return _single(F.from_json(_as_list(c), "array<map<string,string>>", _JSON_OPTIONS))
+    return _only_value(c, "map<string,string>")
 
 
 def json_variants(c: Column) -> Column:
     """As :func:`json_fields`, with typed values (``map<string,variant>``)."""
-    return _single(F.from_json(_as_list(c), "array<map<string,variant>>", _JSON_OPTIONS))
+    return _only_value(c, "map<string,variant>")
 
 
-def _as_list(c: Column) -> Column:
-    return F.concat(F.lit("["), c, F.lit("]"))
+def json_items(c: Column) -> Column:
+    """Elements of a JSON list text as text, else null. Nested elements keep their JSON text."""
+    return _only_value(c, "array<string>")
 
 
-def _single(items: Column) -> Column:
-    return F.when(F.size(items) == 1, F.get(items, F.lit(0)))
+def json_value(c: Column) -> Column:
+    """Any JSON text as a variant, else null."""
+    return _only_value(c, "variant")
 
 
-def json_items(c: Column) -> Column:
-    """Elements of a JSON list text as text, else null. Nested elements keep their JSON text."""
-    items = F.from_json(_as_list(c), "array<array<string>>", _JSON_OPTIONS)
-    return F.when(F.size(items) == 1, F.get(items, F.lit(0)))
+def _only_value(c: Column, dtype: str) -> Column:
+    """Parse a text that is one JSON value and nothing else. Spark's parsers ignore what follows
+    a complete value; wrapped like this, such a text is malformed or gives a second element."""
+    wrapped = F.concat(F.lit('{"v":['), c, F.lit("]}"))
+    values = F.from_json(wrapped, f"struct<v:array<{dtype}>>", _JSON_OPTIONS)["v"]
+    return F.when(F.size(values) == 1, F.get(values, F.lit(0)))
 
 
 def starts_like_json(c: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.language import normalize_language
-from ..functions.text import json_fields, json_variants, strip, variant_kind
+from ..functions.text import json_fields, json_value, json_variants, strip, variant_kind
 from ..types import CONVERSATION_TYPES, TASK_TYPES
 
 _TEXT_FIELDS = [
@@ -35,11 +35,10 @@ def json_object_in(text: Column) -> Column:
             fenced
         ),
     ).otherwise(s)
-    whole = F.from_json(F.concat(F.lit("["), unfenced, F.lit("]")), "array<variant>")
     widest = F.regexp_extract(unfenced, r"(?s)\{.*\}", 0)
     return (
         F.when(json_fields(unfenced).isNotNull(), unfenced)
-        .when(F.size(whole) == 1, F.lit(None).cast("string"))
+        .when(json_value(unfenced).isNotNull(), F.lit(None).cast("string"))
         .when(json_fields(widest).isNotNull(), widest)
     )
 
