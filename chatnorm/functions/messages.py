@@ -11,12 +11,12 @@ from pyspark.sql import types as T
 from ..types import CONVERSATION
 from .deep_search import message_list_finder, message_path_finder
 from .text import (
-    _JSON_OPTIONS,
+    JSON_OPTIONS,
+    bind,
     is_nested,
     json_items,
     json_string,
     raw_json_text,
-    starts_like_json,
     strip,
     to_text,
     variant_kind,
@@ -89,24 +89,31 @@ def normalize_typed(
     role_mapping: dict[str, str] | None = None,
 ) -> Column:
     """Message list held in a column of the given type."""
-    if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, (T.StructType, T.MapType)):
-        item_type = dtype.elementType
+    if not is_message_array(dtype):
+        return normalize_json(payload_text(c, dtype), role_path, content_path, role_mapping)
+    item_type = dtype.elementType
 
-        def one(item: Column) -> Column:
-            role = _typed_value(item, item_type, role_path, ROLE_KEYS)
-            content = _typed_value(item, item_type, content_path, CONTENT_KEYS)
-            return F.struct(
-                role_alias(role, role_mapping).alias("role"), content.alias("content")
-            )
+    def one(item: Column) -> Column:
+        role = _typed_value(item, item_type, role_path, ROLE_KEYS)
+        content = _typed_value(item, item_type, content_path, CONTENT_KEYS)
+        return F.struct(role_alias(role, role_mapping).alias("role"), content.alias("content"))
+
+    messages = F.transform(F.filter(c, lambda i: i.isNotNull()), one)
+    return bind(messages, _keep_two_sides)
+
+
+def is_message_array(dtype: T.DataType) -> bool:
+    """List of objects, which is normalised without a detour through JSON."""
+    return isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, (T.StructType, T.MapType))
 
-        return _keep_two_sides(F.transform(F.filter(c, lambda i: i.isNotNull()), one))
+
+def payload_text(c: Column, dtype: T.DataType) -> Column:
+    """JSON text of a payload column; null for a type that cannot hold messages."""
     if isinstance(dtype, T.StringType):
-        return normalize_json(c, role_path, content_path, role_mapping)
+        return c
     if is_nested(dtype):
-        return normalize_json(
-            F.to_json(c, {"ignoreNullFields": "false"}), role_path, content_path, role_mapping
-        )
-    return F.array().cast(CONVERSATION)
+        return F.to_json(c, {"ignoreNullFields": "false"})
+    return F.lit(None).cast("string")
 
 
 def _typed_value(item: Column, item_type: T.DataType, path: str, keys: list[str]) -> Column:
@@ -181,32 +188,37 @@ def looks_like_messages_json(c: Column) -> Column:
 
 def _payload_list(text: Column) -> Column:
     """JSON list under the first known key that holds a list."""
-    doc = F.try_parse_json(text)
-    return F.coalesce(
-        *[
-            F.when(
-                F.try_variant_get(doc, f"$.{key}", "array<variant>").isNotNull(),
-                F.get_json_object(text, f"$.{key}"),
-            )
-            for key in PAYLOAD_KEYS
-        ]
+    return bind(
+        F.try_parse_json(text),
+        lambda doc: F.coalesce(
+            *[
+                F.when(
+                    F.try_variant_get(doc, f"$.{key}", "array<variant>").isNotNull(),
+                    F.get_json_object(text, f"$.{key}"),
+                )
+                for key in PAYLOAD_KEYS
+            ]
+        ),
+    )
+
+
+def quick_message_list(c: Column) -> Column:
+    """JSON list text of the messages: the value itself when it is a list, or the list under a
+    known key when it is an object. Null where only a deep search can tell."""
+    return bind(
+        strip(c),
+        lambda s: F.when(s.startswith("["), F.when(json_items(s).isNotNull(), s)).when(
+            s.startswith("{"), _payload_list(s)
+        ),
     )
 
 
-def message_list_json(c: Column, deep: bool = True) -> Column:
-    """JSON list text of the messages inside a text payload; null when there is none.
+def deep_message_list(c: Column, quick: Column) -> Column:
+    """``quick``, or the list that a depth-first search finds in an object without a known key.
 
-    A list is taken as it is and an object is searched under the known keys with built-in
-    functions. Only an object without such a key goes to the depth-first search, which runs as
-    an Arrow UDF; all other rows reach it as null.
+    The search is an Arrow UDF; all rows but those objects reach it as null.
     """
-    s = strip(c)
-    quick = F.when(s.startswith("["), F.when(json_items(s).isNotNull(), s)).when(
-        s.startswith("{"), _payload_list(s)
-    )
-    if not deep:
-        return quick
-    missed = F.when(s.startswith("{") & _payload_list(s).isNull(), s)
+    missed = F.when(quick.isNull() & strip(c).startswith("{"), c)
     return F.coalesce(quick, message_list_finder(PAYLOAD_KEYS)(missed))
 
 
@@ -215,25 +227,30 @@ def _items(list_text: Column) -> Column:
 
     Typed members are only parsed when some member could be read in two ways.
     """
-    raw = F.from_json(list_text, "array<map<string,string>>", _JSON_OPTIONS)
-    unclear = F.exists(
-        raw,
-        lambda m: F.exists(
-            F.map_values(m),
-            lambda v: v.isin("true", "false", "0", "-0", "0.0", "-0.0")
-            | v.startswith("{")
-            | v.startswith("["),
-        ),
-    )
-    typed = F.when(unclear, F.from_json(list_text, "array<map<string,variant>>", _JSON_OPTIONS))
-    typed = F.coalesce(typed, F.array().cast("array<map<string,variant>>"))
-    uniform = F.zip_with(raw, typed, lambda m, t: F.struct(m.alias("m"), t.alias("t")))
+    return bind(list_text, _items_of)
+
+
+def _items_of(list_text: Column) -> Column:
+    def uniform(raw: Column) -> Column:
+        unclear = F.exists(
+            raw,
+            lambda m: F.exists(
+                F.map_values(m),
+                lambda v: v.isin("true", "false", "0", "-0", "0.0", "-0.0")
+                | v.startswith("{")
+                | v.startswith("["),
+            ),
+        )
+        typed = F.when(
+            unclear, F.from_json(list_text, "array<map<string,variant>>", JSON_OPTIONS)
+        )
+        typed = F.coalesce(typed, F.array().cast("array<map<string,variant>>"))
+        return F.zip_with(raw, typed, lambda m, t: F.struct(m.alias("m"), t.alias("t"))).cast(_ITEMS)
 
-    kinds = F.from_json(list_text, "array<variant>", _JSON_OPTIONS)
     objects = F.filter(
         F.zip_with(
             json_items(list_text),
-            kinds,
+            F.from_json(list_text, "array<variant>", JSON_OPTIONS),
             lambda i, k: F.when(
                 i.startswith("{") & (F.coalesce(variant_kind(k), F.lit("OBJECT")) == "OBJECT"), i
             ),
@@ -243,11 +260,12 @@ def _items(list_text: Column) -> Column:
     mixed = F.transform(
         objects,
         lambda i: F.struct(
-            F.from_json(i, "map<string,string>", _JSON_OPTIONS).alias("m"),
-            F.from_json(i, "map<string,variant>", _JSON_OPTIONS).alias("t"),
+            F.from_json(i, "map<string,string>", JSON_OPTIONS).alias("m"),
+            F.from_json(i, "map<string,variant>", JSON_OPTIONS).alias("t"),
         ),
-    )
-    return F.filter(F.coalesce(uniform.cast(_ITEMS), mixed.cast(_ITEMS)), lambda i: i["m"].isNotNull())
+    ).cast(_ITEMS)
+    all_objects = F.from_json(list_text, "array<map<string,string>>", JSON_OPTIONS)
+    return F.filter(F.coalesce(bind(all_objects, uniform), mixed), lambda i: i["m"].isNotNull())
 
 
 def _json_value(item: Column, path: str, keys: list[str]) -> Column:
@@ -269,14 +287,13 @@ def _json_value(item: Column, path: str, keys: list[str]) -> Column:
     return F.coalesce(*options, F.lit(""))
 
 
-def normalize_json(
-    c: Column,
+def normalize_list(
+    list_text: Column,
     role_path: str = "",
     content_path: str = "",
     role_mapping: dict[str, str] | None = None,
-    deep: bool = True,
 ) -> Column:
-    """Message list inside a JSON text -> user/assistant messages with content."""
+    """JSON list text -> user/assistant messages with content."""
 
     def one(item: Column) -> Column:
         role = _json_value(item, role_path, ROLE_KEYS)
@@ -285,7 +302,20 @@ def normalize_json(
             _json_value(item, content_path, CONTENT_KEYS).alias("content"),
         )
 
-    return _keep_two_sides(F.transform(_items(message_list_json(c, deep)), one))
+    return bind(F.transform(_items(list_text), one), _keep_two_sides)
+
+
+def normalize_json(
+    c: Column,
+    role_path: str = "",
+    content_path: str = "",
+    role_mapping: dict[str, str] | None = None,
+    deep: bool = True,
+) -> Column:
+    """Message list anywhere inside a JSON text -> user/assistant messages with content."""
+    quick = quick_message_list(c)
+    found = deep_message_list(c, quick) if deep else quick
+    return normalize_list(found, role_path, content_path, role_mapping)
 
 
 def message_path(c: Column) -> Column:

@@ -42,11 +42,13 @@ def occurrences(c: Column, char: str) -> Column:
 
 
 def digit_ratio(c: Column) -> Column:
-    # ASCII texts, the common case, are counted without the long character class.
-    digits = F.when(
-        F.length(c) == F.octet_length(c), F.length(c) - F.length(F.translate(c, "0123456789", ""))
-    ).otherwise(F.regexp_count(c, F.lit(r"[\p{Nd}" + _OTHER_DIGITS + "]")))
-    return digits / F.greatest(F.lit(1), F.length(c))
+    """Share of digits. Digits beyond ASCII are rare: a cheap test finds the texts that have any."""
+    plain = F.length(c) - F.length(F.translate(c, "0123456789", ""))
+    other = r"[\x{b2}\x{b3}\x{b9}\x{660}-\x{10ffff}&&[\p{Nd}" + _OTHER_DIGITS + "]]"
+    more = F.when(
+        (F.length(c) < F.octet_length(c)) & c.rlike(other), F.regexp_count(c, F.lit(other))
+    ).otherwise(F.lit(0))
+    return (plain + more) / F.greatest(F.lit(1), F.length(c))
 
 
 def _markers(c: Column, markers: list[str]) -> Column:
@@ -67,8 +69,7 @@ def code_score(c: Column) -> Column:
     return _or_zero(c, score)
 
 
-def _wordy(c: Column, markers: list[str], more_blanks_than: int) -> Column:
-    lower = F.lower(c)
+def _wordy(c: Column, lower: Column, markers: list[str], more_blanks_than: int) -> Column:
     score = (
         _markers(lower, markers)
         + F.when(occurrences(lower, " ") > more_blanks_than, F.lit(1.0)).otherwise(F.lit(0.0))
@@ -77,32 +78,36 @@ def _wordy(c: Column, markers: list[str], more_blanks_than: int) -> Column:
     return _or_zero(c, score)
 
 
-def prompt_score(c: Column) -> Column:
-    return _wordy(c, PROMPT_MARKERS, 5)
+# ``lower`` may be given where the lower-cased text is at hand as a column.
 
 
-def natural_language_score(c: Column) -> Column:
-    return _wordy(c, LANGUAGE_MARKERS, 7)
+def prompt_score(c: Column, lower: Column | None = None) -> Column:
+    return _wordy(c, F.lower(c) if lower is None else lower, PROMPT_MARKERS, 5)
 
 
-def math_score(c: Column) -> Column:
+def natural_language_score(c: Column, lower: Column | None = None) -> Column:
+    return _wordy(c, F.lower(c) if lower is None else lower, LANGUAGE_MARKERS, 7)
+
+
+def math_score(c: Column, lower: Column | None = None) -> Column:
+    lower = F.lower(c) if lower is None else lower
     operators = F.length(c) - F.length(F.translate(c, "=+-*/^", ""))
-    return _or_zero(c, _markers(F.lower(c), MATH_MARKERS) + operators * F.lit(0.03))
+    return _or_zero(c, _markers(lower, MATH_MARKERS) + operators * F.lit(0.03))
 
 
-def task_prompt_score(c: Column, task_type: Column) -> Column:
+def task_prompt_score(c: Column, task_type: Column, lower: Column | None = None) -> Column:
     return (
-        F.when(task_type == "code_generation", prompt_score(c))
-        .when(task_type == "math", math_score(c))
-        .otherwise(natural_language_score(c))
+        F.when(task_type == "code_generation", prompt_score(c, lower))
+        .when(task_type == "math", math_score(c, lower))
+        .otherwise(natural_language_score(c, lower))
     )
 
 
-def task_answer_score(c: Column, task_type: Column) -> Column:
+def task_answer_score(c: Column, task_type: Column, lower: Column | None = None) -> Column:
     return (
         F.when(task_type == "code_generation", code_score(c))
-        .when(task_type == "math", math_score(c))
-        .otherwise(natural_language_score(c))
+        .when(task_type == "math", math_score(c, lower))
+        .otherwise(natural_language_score(c, lower))
     )
 
 
@@ -110,9 +115,9 @@ def bracketed(s: Column) -> Column:
     return (s.startswith("[") & s.endswith("]")) | (s.startswith("{") & s.endswith("}"))
 
 
-def is_vectorish(c: Column) -> Column:
+def is_vectorish(c: Column, stripped: bool = False) -> Column:
     """Text that looks like numbers or a serialised collection rather than prose."""
-    s = strip(c)
+    s = c if stripped else strip(c)
     return (
         F.when(F.coalesce(s, F.lit("")) == "", F.lit(False))
         .when(bracketed(s), F.lit(True))

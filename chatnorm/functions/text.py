@@ -14,7 +14,7 @@ WHITESPACE = (
 )
 
 # JSON text must be strict about quotes; NaN and repeated keys (last one wins) are accepted.
-_JSON_OPTIONS = {"allowSingleQuotes": "false"}
+JSON_OPTIONS = {"allowSingleQuotes": "false"}
 _TO_JSON_OPTIONS = {
     "ignoreNullFields": "false",
     "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
@@ -37,12 +37,13 @@ def python_float_text(c: Column) -> Column:
     s = value.cast("string")
     digits_15, digits_16 = F.format_string("%.14e", value), F.format_string("%.15e", value)
     exact = (
-        F.when(digits_15.try_cast("double") == value, digits_15)
+        F.when(s.contains("E") & (F.length(s) <= 16), s)
+        .when(digits_15.try_cast("double") == value, digits_15)
         .when(digits_16.try_cast("double") == value, digits_16)
         .otherwise(F.format_string("%.16e", value))
     )
-    pattern = r"^-?(\d)\.(\d+)e([+-]\d+)$"
-    parts = _bind(
+    pattern = r"^-?(\d)\.(\d+)[eE]([+-]?\d+)$"
+    parts = bind(
         exact,
         lambda e: F.struct(
             F.regexp_extract(e, pattern, 1).alias("lead"),
@@ -56,11 +57,11 @@ def python_float_text(c: Column) -> Column:
         .when(s == "Infinity", F.lit("inf"))
         .when(s == "-Infinity", F.lit("-inf"))
         .when(~s.contains("E") & (F.length(s) < 16), s)
-        .otherwise(F.concat(sign, _bind(parts, _decimal_notation)))
+        .otherwise(F.concat(sign, bind(parts, _decimal_notation)))
     )
 
 
-def _bind(value: Column, use) -> Column:
+def bind(value: Column, use) -> Column:
     """``use(value)`` with ``value`` computed once, however often it is used."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
@@ -160,8 +161,9 @@ def _only_value(c: Column, dtype: str) -> Column:
     """Parse a text that is one JSON value and nothing else. Spark's parsers ignore what follows
     a complete value; wrapped like this, such a text is malformed or gives a second element."""
     wrapped = F.concat(F.lit('{"v":['), c, F.lit("]}"))
-    values = F.from_json(wrapped, f"struct<v:array<{dtype}>>", _JSON_OPTIONS)["v"]
-    return F.when(F.size(values) == 1, F.get(values, F.lit(0)))
+    values = F.from_json(wrapped, f"struct<v:array<{dtype}>>", JSON_OPTIONS)["v"]
+    single = F.filter(F.array(values), lambda v: F.size(v) == 1)
+    return F.get(F.get(single, F.lit(0)), F.lit(0))
 
 
 def starts_like_json(c: Column) -> Column:

@@ -155,7 +155,17 @@ def convert_table(df: DataFrame, mapping: Mapping, keep: list[str] | None = None
         sources = [mapping.user_field, mapping.input_field, mapping.assistant_field]
     elif mapping.conversation_type == "multi_turn":
         found = resolve(schema, mapping.messages_field)
-        conversation = msg.normalize_typed(*found) if found else _no_conversation()
+        if found is None:
+            conversation = _no_conversation()
+        elif msg.is_message_array(found[1]):
+            conversation = msg.normalize_typed(*found)
+        else:
+            df = df.withColumn("__payload", msg.payload_text(*found)).withColumn(
+                "__list", msg.quick_message_list(F.col("__payload"))
+            )
+            conversation = msg.normalize_list(
+                msg.deep_message_list(F.col("__payload"), F.col("__list"))
+            )
         complete = msg.is_complete_conversation
         sources = [mapping.messages_field]
     else:
@@ -200,6 +210,7 @@ def convert_json(
 
     ``df`` has the JSON text of each row and the columns ``on``; ``mappings`` one row per dataset.
     The join is left to the planner: it broadcasts the mappings as long as they are small.
+    ``deep=False`` leaves out the Python step of the deep search, for data without such payloads.
     """
     keys = [on] if isinstance(on, str) else on
     keep = _present(df, ORDINAL) if keep is None else keep
@@ -244,8 +255,14 @@ def convert_json(
     user = user_prompt(text("user"), F.when(~is_noisy_auxiliary(extra_text), extra_text))
     is_single = F.col("conversation_type") == "single_turn"
     is_multi = F.col("conversation_type") == "multi_turn"
+    rows = rows.withColumn(
+        "__list", F.when(is_multi, msg.quick_message_list(F.col("__raw_messages")))
+    )
+    messages = F.col("__list")
+    if deep:
+        messages = msg.deep_message_list(F.when(is_multi, F.col("__raw_messages")), messages)
     conversation = F.when(is_single, _two_turns(user, text("assistant"))).when(
-        is_multi, msg.normalize_json(F.when(is_multi, F.col("__raw_messages")), deep=deep)
+        is_multi, msg.normalize_list(messages)
     )
     kept = _with_conversation(
         rows,

@@ -103,11 +103,18 @@ def drop_duplicates(
     """Rows of ``df`` without duplicates; the values returned are the uncleaned ones.
 
     ``keep`` is ``first``, ``last`` or ``none`` (drop every member of a duplicated group).
-    ``order_by`` defaults to the ordinal columns of the readers.
+    ``order_by`` defaults to the ordinal columns of the readers. Without a subset and an order
+    the ordinal columns are dropped.
     """
     if keep not in ("first", "last", "none"):
         raise ValueError("keep must be 'first', 'last' or 'none'")
     columns = df.columns
+    if not subset and not order_by and _groupable(df):
+        # Members of a group are equal, so any of them will do: a hash aggregate, no sort.
+        values = df.drop(*ORDINAL)
+        if keep != "none":
+            return values.dropDuplicates()
+        return values.groupBy(*values.columns).count().where("count = 1").drop("count")
     keyed = df.withColumn("__key", dedup_key(df, subset, ignore_case, strip_whitespace))
     if keep == "none":
         # A plain aggregate: partial counts leave at most one row per key and task.
@@ -127,6 +134,12 @@ def drop_duplicates(
     )
 
 
+def _groupable(df: DataFrame) -> bool:
+    return not any(
+        word in f.dataType.simpleString() for f in df.schema for word in ("map<", "variant")
+    )
+
+
 def _quoted(name: str) -> Column:
     return F.col(f"`{name}`")
 

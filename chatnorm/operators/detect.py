@@ -23,23 +23,32 @@ from ..types import JSON_ROW, MAPPING_DDL
 _DATASET = ["dataset_id", "task_type"]
 
 
-def column_stats(text: Column, message_like: Column, task_type: Column) -> Column:
+def value_scores(text: Column, lower: Column, task_type: Column) -> dict[str, Column]:
+    """Numbers per value; null where the value is not a non-blank string."""
+    present = text.isNotNull()
+    return {
+        "prompt": F.when(present, scoring.task_prompt_score(text, task_type, lower)),
+        "answer": F.when(present, scoring.task_answer_score(text, task_type, lower)),
+        "len": F.length(text),
+        "plain_len": F.when(present & ~scoring.is_vectorish(text, stripped=True), F.length(text)),
+    }
+
+
+def column_stats(scores: dict[str, Column], message_like: Column) -> Column:
     """Aggregates over the values of one column, as a struct.
 
-    ``text`` is the stripped value where it is a non-blank string, else null. All members are
-    counts and means of numbers, so the aggregate stays a hash aggregate with partial results.
+    All members are counts and means of numbers, so the aggregate stays a hash aggregate with
+    partial results.
     """
-    present = text.isNotNull()
-    plain = present & ~scoring.is_vectorish(text)
     return F.struct(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(message_like).alias("n_messages"),
-        F.count(text).alias("n_text"),
-        F.avg(F.when(present, scoring.task_prompt_score(text, task_type))).alias("prompt"),
-        F.avg(F.when(present, scoring.task_answer_score(text, task_type))).alias("answer"),
-        F.avg(F.length(text)).alias("avg_len"),
-        F.count_if(plain).alias("n_plain"),
-        F.avg(F.when(plain, F.length(text))).alias("plain_len"),
+        F.count(scores["len"]).alias("n_text"),
+        F.avg(scores["prompt"]).alias("prompt"),
+        F.avg(scores["answer"]).alias("answer"),
+        F.avg(scores["len"]).alias("avg_len"),
+        F.count(scores["plain_len"]).alias("n_plain"),
+        F.avg(scores["plain_len"]).alias("plain_len"),
     )
 
 
@@ -63,23 +72,42 @@ def profile_table(
     """
     group = group or []
     names = columns or [c for c in df.columns if c not in group]
-    stats = []
-    for pos, name in enumerate(names):
-        dtype = df.schema[name].dataType
-        text = F.lit(None).cast("string")
-        if isinstance(dtype, T.StringType):
-            text = F.nullif(strip(quoted(name)), F.lit(""))
-        stats.append(
-            F.struct(
-                F.lit(pos).alias("col_pos"),
-                F.lit(name).alias("col"),
-                column_stats(
-                    text, looks_like_messages_typed(quoted(name), dtype), task_type
-                ).alias("s"),
-            )
+    types = [df.schema[n].dataType for n in names]
+    # Three projections, so that the text, its lower-case form and the scores are each computed
+    # once per row and value; the aggregate then sees numbers only.
+    texts = df.select(
+        *group,
+        task_type.alias("__task"),
+        *[
+            (
+                F.nullif(strip(quoted(n)), F.lit(""))
+                if isinstance(t, T.StringType)
+                else F.lit(None).cast("string")
+            ).alias(f"__t{i}")
+            for i, (n, t) in enumerate(zip(names, types))
+        ],
+        *[
+            looks_like_messages_typed(quoted(n), t).alias(f"__m{i}")
+            for i, (n, t) in enumerate(zip(names, types))
+        ],
+    )
+    lowered = texts.withColumns({f"__l{i}": F.lower(f"__t{i}") for i in range(len(names))})
+    kept, numbers = [], []
+    for i in range(len(names)):
+        values = value_scores(F.col(f"__t{i}"), F.col(f"__l{i}"), F.col("__task"))
+        kept += [v.alias(f"__{k}{i}") for k, v in values.items()]
+        numbers.append({k: F.col(f"__{k}{i}") for k in values})
+    scored = lowered.select(*group, *kept, *[f"__m{i}" for i in range(len(names))])
+    stats = [
+        F.struct(
+            F.lit(i).alias("col_pos"),
+            F.lit(name).alias("col"),
+            column_stats(numbers[i], F.col(f"__m{i}")).alias("s"),
         )
+        for i, name in enumerate(names)
+    ]
     return (
-        df.groupBy(*group)
+        scored.groupBy(*group)
         .agg(F.array(*stats).alias("stats"))
         .select(*group, F.explode("stats").alias("x"))
         .select(*group, "x.col_pos", "x.col", "x.s.*")
@@ -162,11 +190,18 @@ def detect_mappings(cells: DataFrame) -> DataFrame:
     Two aggregates: cells -> columns, columns -> datasets. The array built per dataset has one
     short entry per column.
     """
-    stats = cells.groupBy(*_DATASET, "col_pos", "col").agg(
-        column_stats(F.col("text"), F.col("message_like"), F.col("task_type")).alias("s"),
-        F.min_by("language", F.when(F.col("language").isNotNull(), F.col("row_pos"))).alias(
-            "language"
-        ),
+    lowered = cells.withColumn("__lower", F.lower("text"))
+    scores = value_scores(F.col("text"), F.col("__lower"), F.col("task_type"))
+    numbers = {k: F.col(f"__{k}") for k in scores}
+    stats = (
+        lowered.withColumns({f"__{k}": v for k, v in scores.items()})
+        .groupBy(*_DATASET, "col_pos", "col")
+        .agg(
+            column_stats(numbers, F.col("message_like")).alias("s"),
+            F.min_by("language", F.when(F.col("language").isNotNull(), F.col("row_pos"))).alias(
+                "language"
+            ),
+        )
     )
     columns = stats.groupBy(*_DATASET).agg(
         F.array_sort(

@@ -51,11 +51,13 @@ def validate_proposals(
     ``proposals``: ``dataset_id, task_type, response``; ``columns``: ``dataset_id, columns`` with
     the column names of each dataset. ``decision`` is ``accept`` or ``heuristic``.
     """
-    p = proposals.withColumn("__object", json_object_in(F.col("response"))).withColumn(
-        "__v", json_variants(F.col("__object"))
+    p = (
+        proposals.withColumn("__object", json_object_in(F.col("response")))
+        .withColumn("__v", json_variants(F.col("__object")))
+        .withColumn("__k", F.transform_values("__v", lambda _, v: variant_kind(v)))
     )
     kinds = {
-        n: variant_kind(F.col("__v")[n])
+        n: F.col("__k")[n]
         for n in ["is_target_dataset", "task_type", "conversation_type", "language",
                   "metadata_fields", *_TEXT_FIELDS]
     }

@@ -52,7 +52,8 @@ def dedup_file(
         target = default_output_path(path) + ".swap"
     table = load_table(spark, path)
     options = {"subset": subset, "ignore_case": ignore_case, "strip_whitespace": strip_whitespace}
-    result = drop_duplicates(table, keep=keep, **options)
+    order = ORDINAL if subset or preserve_order else None
+    result = drop_duplicates(table, keep=keep, order_by=order, **options)
     if preserve_order:
         result = result.orderBy(*ORDINAL)
     counts = dedup_counts(table, keep=keep, **options).collect()

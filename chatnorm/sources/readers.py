@@ -97,30 +97,33 @@ def json_lines(lines: DataFrame, value: str = "value", keep: list[str] | None =
 def json_documents(docs: DataFrame, value: str = "value", keep: list[str] | None = None) -> DataFrame:
     """JSON documents -> JSON rows: a list of objects, an object that wraps such a list under a
     known key, or any other object as one row. Malformed documents give none."""
-    doc = strip(F.col(value))
-    parsed = F.try_parse_json(doc)
+    keep = keep or []
+    doc = F.col("__doc")
     wrapped = F.coalesce(
         *[
             F.when(
-                F.try_variant_get(parsed, f"$.{key}", "array<variant>").isNotNull(),
+                F.try_variant_get("__parsed", f"$.{key}", "array<variant>").isNotNull(),
                 F.get_json_object(doc, f"$.{key}"),
             )
             for key in WRAPPER_KEYS
         ]
     )
-    list_text = F.when(doc.startswith("["), doc).when(doc.startswith("{"), wrapped)
+    found = (
+        docs.select(*keep, strip(F.col(value)).alias("__doc"))
+        .withColumn("__parsed", F.when(doc.startswith("{"), F.try_parse_json(doc)))
+        .withColumn("__list", F.when(doc.startswith("["), doc).otherwise(wrapped))
+    )
     objects = F.zip_with(
-        json_items(list_text),
-        F.from_json(list_text, "array<variant>"),
+        json_items(F.col("__list")),
+        F.from_json("__list", "array<variant>"),
         lambda text, v: F.when(
             text.startswith("{") & (F.coalesce(variant_kind(v), F.lit("OBJECT")) == "OBJECT"), text
         ),
     )
-    rows = F.when(list_text.isNotNull(), objects).when(
-        doc.startswith("{") & json_fields(doc).isNotNull(), F.array(doc)
+    rows = F.when(F.col("__list").isNotNull(), objects).when(
+        doc.startswith("{"), F.when(json_fields(doc).isNotNull(), F.array(doc))
     )
-    keep = keep or []
-    return docs.select(*keep, F.posexplode(rows).alias("__item", JSON_ROW)).where(
+    return found.select(*keep, F.posexplode(rows).alias("__item", JSON_ROW)).where(
         F.col(JSON_ROW).isNotNull()
     )
 
