@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import strip
+from .text import literal_map, strip
 
 # Label -> spellings that stand for it.
 LANGUAGE_SPELLINGS = {
@@ -26,8 +24,8 @@ LANGUAGE_COLUMNS = ("language", "lang", "locale")
 
 
 def _label(c: Column) -> Column:
-    pairs = [(s, label) for label, spellings in LANGUAGE_SPELLINGS.items() for s in spellings]
-    return F.create_map(*[F.lit(v) for v in chain.from_iterable(pairs)])[c]
+    pairs = {s: label for label, spellings in LANGUAGE_SPELLINGS.items() for s in spellings}
+    return literal_map(pairs)[c]
 
 
 def normalize_language(text: Column) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +14,7 @@ from .text import (
     is_nested,
     json_items,
     json_string,
+    literal_map,
     raw_json_text,
     strip,
     to_text,
@@ -40,13 +39,11 @@ _ITEMS = "array<struct<m:map<string,string>,t:map<string,variant>>>"
 def role_alias(role: Column, role_mapping: dict[str, str] | None = None) -> Column:
     """Known spellings of a role become ``user`` / ``assistant``; other roles stay."""
     if role_mapping is None:
-        pairs = [(s, name) for name, spellings in ROLE_SPELLINGS.items() for s in spellings]
+        pairs = {s: name for name, spellings in ROLE_SPELLINGS.items() for s in spellings}
     else:
-        pairs = [(s.lower(), name) for s, name in role_mapping.items()]
+        pairs = {s.lower(): name for s, name in role_mapping.items()}
     lower = F.lower(role)
-    if not pairs:
-        return lower
-    return F.coalesce(F.create_map(*[F.lit(v) for v in chain.from_iterable(pairs)])[lower], lower)
+    return F.coalesce(literal_map(pairs)[lower], lower) if pairs else lower
 
 
 def _keep_two_sides(messages: Column) -> Column:

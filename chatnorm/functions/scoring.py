@@ -1,13 +1,16 @@
-"""Content scores that tell prompts, answers, code and vectors apart."""
+"""Content scores that tell prompts, answers, code and vectors apart.
 
-from __future__ import annotations
+Scores are written as SQL text over the SQL text of a column (``"body"``, ``"lower(body)"``): one
+expression string per score instead of a hundred small calls into the JVM. Give them a plain
+column, so that the text is not computed again for every marker.
+"""
 
-from functools import reduce
+from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import strip
+from .text import WHITESPACE_SQL
 
 # Marker words per kind of text.
 CODE_MARKERS = [
@@ -37,90 +40,116 @@ MIN_SCORE = 0.8
 MAX_CONTEXT_LENGTH = 1200
 
 
-def occurrences(c: Column, char: str) -> Column:
-    return F.length(c) - F.length(F.replace(c, F.lit(char), F.lit("")))
-
-
-def digit_ratio(c: Column) -> Column:
-    """Share of digits. Digits beyond ASCII are rare: a cheap test finds the texts that have any."""
-    plain = F.length(c) - F.length(F.translate(c, "0123456789", ""))
-    other = r"[\x{b2}\x{b3}\x{b9}\x{660}-\x{10ffff}&&[\p{Nd}" + _OTHER_DIGITS + "]]"
-    more = F.when(
-        (F.length(c) < F.octet_length(c)) & c.rlike(other), F.regexp_count(c, F.lit(other))
-    ).otherwise(F.lit(0))
-    return (plain + more) / F.greatest(F.lit(1), F.length(c))
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n") + "'"
 
 
-def _markers(c: Column, markers: list[str]) -> Column:
-    hits = [F.contains(c, F.lit(m)).cast("int") for m in markers]
-    return reduce(lambda a, b: a + b, hits).cast("double")
+def occurrences(x: str, char: str) -> str:
+    return f"(length({x}) - length(replace({x}, {_literal(char)}, '')))"
 
 
-def _or_zero(c: Column, score: Column) -> Column:
-    return F.coalesce(score, F.lit(0.0))
+def _without(x: str, chars: str) -> str:
+    return f"(length({x}) - length(translate({x}, {_literal(chars)}, '')))"
 
 
-def code_score(c: Column) -> Column:
-    score = (
-        _markers(c, CODE_MARKERS)
-        + occurrences(c, "\n") * F.lit(0.05)
-        + (occurrences(c, "{") + occurrences(c, "}")) * F.lit(0.1)
+def digit_ratio_sql(x: str) -> str:
+    """Share of digits. Digits beyond ASCII are rare: a cheap test finds the texts that have any."""
+    other = _literal(
+        r"[\x{b2}\x{b3}\x{b9}\x{660}-\x{10ffff}&&[\p{Nd}" + _OTHER_DIGITS + "]]"
     )
-    return _or_zero(c, score)
+    more = (
+        f"if(length({x}) < octet_length({x}) AND {x} RLIKE {other}, regexp_count({x}, {other}), 0)"
+    )
+    return f"(({_without(x, '0123456789')} + {more}) / greatest(1, length({x})))"
 
 
-def _wordy(c: Column, lower: Column, markers: list[str], more_blanks_than: int) -> Column:
-    score = (
-        _markers(lower, markers)
-        + F.when(occurrences(lower, " ") > more_blanks_than, F.lit(1.0)).otherwise(F.lit(0.0))
-        - F.when(code_score(c) > 3, F.lit(0.5)).otherwise(F.lit(0.0))
-    )
-    return _or_zero(c, score)
+def _markers(x: str, markers: list[str]) -> str:
+    return " + ".join(f"CAST(contains({x}, {_literal(m)}) AS INT)" for m in markers)
 
 
-# ``lower`` may be given where the lower-cased text is at hand as a column.
+def code_score_sql(x: str) -> str:
+    braces = f"{occurrences(x, '{')} + {occurrences(x, '}')}"
+    return (
+        f"coalesce(CAST({_markers(x, CODE_MARKERS)} AS DOUBLE)"
+        f" + {occurrences(x, chr(10))} * 0.05D + ({braces}) * 0.1D, 0D)"
+    )
 
 
-def prompt_score(c: Column, lower: Column | None = None) -> Column:
-    return _wordy(c, F.lower(c) if lower is None else lower, PROMPT_MARKERS, 5)
+def _wordy(x: str, lower: str, markers: list[str], more_blanks_than: int) -> str:
+    return (
+        f"coalesce(CAST({_markers(lower, markers)} AS DOUBLE)"
+        f" + if({occurrences(lower, ' ')} > {more_blanks_than}, 1D, 0D)"
+        f" - if({code_score_sql(x)} > 3, 0.5D, 0D), 0D)"
+    )
 
 
-def natural_language_score(c: Column, lower: Column | None = None) -> Column:
-    return _wordy(c, F.lower(c) if lower is None else lower, LANGUAGE_MARKERS, 7)
+def prompt_score_sql(x: str, lower: str | None = None) -> str:
+    return _wordy(x, lower or f"lower({x})", PROMPT_MARKERS, 5)
 
 
-def math_score(c: Column, lower: Column | None = None) -> Column:
-    lower = F.lower(c) if lower is None else lower
-    operators = F.length(c) - F.length(F.translate(c, "=+-*/^", ""))
-    return _or_zero(c, _markers(lower, MATH_MARKERS) + operators * F.lit(0.03))
+def natural_language_score_sql(x: str, lower: str | None = None) -> str:
+    return _wordy(x, lower or f"lower({x})", LANGUAGE_MARKERS, 7)
 
 
-def task_prompt_score(c: Column, task_type: Column, lower: Column | None = None) -> Column:
+def math_score_sql(x: str, lower: str | None = None) -> str:
     return (
-        F.when(task_type == "code_generation", prompt_score(c, lower))
-        .when(task_type == "math", math_score(c, lower))
-        .otherwise(natural_language_score(c, lower))
+        f"coalesce(CAST({_markers(lower or f'lower({x})', MATH_MARKERS)} AS DOUBLE)"
+        f" + {_without(x, '=+-*/^')} * 0.03D, 0D)"
     )
 
 
-def task_answer_score(c: Column, task_type: Column, lower: Column | None = None) -> Column:
+def task_prompt_score_sql(x: str, task_type: str, lower: str | None = None) -> str:
+    """``task_type`` is SQL text too: a column, or a literal that leaves one branch."""
     return (
-        F.when(task_type == "code_generation", code_score(c))
-        .when(task_type == "math", math_score(c, lower))
-        .otherwise(natural_language_score(c, lower))
+        f"CASE {task_type} WHEN 'code_generation' THEN {prompt_score_sql(x, lower)}"
+        f" WHEN 'math' THEN {math_score_sql(x, lower)}"
+        f" ELSE {natural_language_score_sql(x, lower)} END"
     )
 
 
-def bracketed(s: Column) -> Column:
-    return (s.startswith("[") & s.endswith("]")) | (s.startswith("{") & s.endswith("}"))
+def task_answer_score_sql(x: str, task_type: str, lower: str | None = None) -> str:
+    return (
+        f"CASE {task_type} WHEN 'code_generation' THEN {code_score_sql(x)}"
+        f" WHEN 'math' THEN {math_score_sql(x, lower)}"
+        f" ELSE {natural_language_score_sql(x, lower)} END"
+    )
 
 
-def is_vectorish(c: Column, stripped: bool = False) -> Column:
+def vectorish_sql(x: str, stripped: bool = False) -> str:
     """Text that looks like numbers or a serialised collection rather than prose."""
-    s = c if stripped else strip(c)
+    s = x if stripped else f"trim(BOTH {WHITESPACE_SQL} FROM {x})"
     return (
-        F.when(F.coalesce(s, F.lit("")) == "", F.lit(False))
-        .when(bracketed(s), F.lit(True))
-        .when((F.length(s) > 300) & (occurrences(s, ",") > 30), F.lit(True))
-        .otherwise((digit_ratio(s) > 0.35) & (occurrences(s, " ") < 10))
+        f"CASE WHEN coalesce({s}, '') = '' THEN false"
+        f" WHEN (startswith({s}, '[') AND endswith({s}, ']'))"
+        f" OR (startswith({s}, '{{') AND endswith({s}, '}}')) THEN true"
+        f" WHEN length({s}) > 300 AND {occurrences(s, ',')} > 30 THEN true"
+        f" ELSE {digit_ratio_sql(s)} > 0.35 AND {occurrences(s, ' ')} < 10 END"
     )
+
+
+def code_score(x: str) -> Column:
+    return F.expr(code_score_sql(x))
+
+
+def prompt_score(x: str) -> Column:
+    return F.expr(prompt_score_sql(x))
+
+
+def natural_language_score(x: str) -> Column:
+    return F.expr(natural_language_score_sql(x))
+
+
+def math_score(x: str) -> Column:
+    return F.expr(math_score_sql(x))
+
+
+def digit_ratio(x: str) -> Column:
+    return F.expr(digit_ratio_sql(x))
+
+
+def is_vectorish(x: str) -> Column:
+    return F.expr(vectorish_sql(x))
+
+
+def bracketed(s: Column) -> Column:
+    return (s.startswith("[") & s.endswith("]")) | (s.startswith("{") & s.endswith("}"))

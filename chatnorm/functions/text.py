@@ -13,6 +13,9 @@ WHITESPACE = (
     "    　"
 )
 
+# The same as an SQL string literal.
+WHITESPACE_SQL = "'" + "".join(f"\\u{ord(c):04x}" for c in WHITESPACE) + "'"
+
 # JSON text must be strict about quotes; NaN and repeated keys (last one wins) are accepted.
 JSON_OPTIONS = {"allowSingleQuotes": "false"}
 _TO_JSON_OPTIONS = {
@@ -103,11 +106,15 @@ def json_string(c: Column) -> Column:
     """JSON string literal, non-ASCII characters kept, control characters in lower-case hex."""
     wrapped = F.to_json(F.struct(c.alias("s")))
     literal = wrapped.substr(F.lit(6), F.length(wrapped) - 6)
-    lowered = literal
-    for digit in "ABCDEF":
-        lowered = F.regexp_replace(
-            lowered, r"(?<!\\)((?:\\\\)*+\\u00[01])" + digit, "$1" + digit.lower()
-        )
+    lowered = F.aggregate(
+        F.expr("array('A', 'B', 'C', 'D', 'E', 'F')"),
+        literal,
+        lambda text, digit: F.regexp_replace(
+            text,
+            F.concat(F.lit(r"(?<!\\)((?:\\\\)*+\\u00[01])"), digit),
+            F.concat(F.lit("$1"), F.lower(digit)),
+        ),
+    )
     return (
         F.when(c.isNull(), F.lit("null"))
         .when(c.rlike("[\x0b\x0e\x0f\x1a-\x1f]"), lowered)
@@ -115,6 +122,12 @@ def json_string(c: Column) -> Column:
     )
 
 
+def literal_map(pairs: dict[str, str]) -> Column:
+    """A constant ``map<string,string>``."""
+    quoted = [v.replace("\\", "\\\\").replace("'", "\\'") for kv in pairs.items() for v in kv]
+    return F.expr("map(" + ", ".join(f"'{v}'" for v in quoted) + ")")
+
+
 def is_nested(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.ArrayType, T.StructType, T.MapType, T.VariantType))
 

@@ -195,7 +195,7 @@ def convert_table(df: DataFrame, mapping: Mapping, keep: list[str] | None = None
     )
 
 
-_FIELDS = ["user", "input", "assistant", "messages", "reasoning", "language"]
+_TEXT_FIELDS = ["user", "input", "assistant", "reasoning", "language"]
 
 
 def convert_json(
@@ -231,25 +231,22 @@ def convert_json(
         )
         .otherwise(F.array("messages_field"))
         .alias("__sources"),
-        *[
-            F.struct(
-                first_part(F.col(f"{f}_field")).alias("key"),
-                json_path(F.col(f"{f}_field")).alias("rest"),
-                json_path(F.col(f"{f}_field"), digits_are_indexes=False).alias("rest_by_name"),
-            ).alias(f"__{f}")
-            for f in _FIELDS
-        ],
+        F.transform(F.array(*[f"{f}_field" for f in _TEXT_FIELDS]), _place).alias("__places"),
+        _place(F.col("messages_field")).alias("__messages"),
     )
     carried = list(dict.fromkeys([*keys, *keep]))
     rows = (
         df.select(*carried, F.col(value_col).alias(JSON_ROW))
         .join(prepared, keys)
         .withColumn("__fields", json_fields(F.col(JSON_ROW)))
-        .withColumns({f"__raw_{field}": _raw(field) for field in _FIELDS})
+        .withColumn(
+            "__texts", F.transform("__places", lambda p: raw_json_text(_raw(p), _kind(p)))
+        )
+        .withColumn("__raw_messages", _raw(F.col("__messages")))
     )
 
     def text(field: str) -> Column:
-        return raw_json_text(F.col(f"__raw_{field}"), _kind(field))
+        return F.get("__texts", F.lit(_TEXT_FIELDS.index(field)))
 
     extra_text = text("input")
     user = user_prompt(text("user"), F.when(~is_noisy_auxiliary(extra_text), extra_text))
@@ -293,9 +290,17 @@ def convert_json(
     )
 
 
-def _raw(field: str) -> Column:
-    place, fields = F.col(f"__{field}"), F.col("__fields")
-    member = fields[place["key"]]
+def _place(path: Column) -> Column:
+    """Where a dotted path leads: a top-level key, and JSON paths for the rest of it."""
+    return F.struct(
+        first_part(path).alias("key"),
+        json_path(path).alias("rest"),
+        json_path(path, digits_are_indexes=False).alias("rest_by_name"),
+    )
+
+
+def _raw(place: Column) -> Column:
+    member = F.col("__fields")[place["key"]]
     nested = F.when(
         member.startswith("{") | member.startswith("["),
         F.coalesce(
@@ -306,8 +311,7 @@ def _raw(field: str) -> Column:
     return F.when(place["rest"].isNull(), member).otherwise(nested)
 
 
-def _kind(field: str) -> Column:
-    place = F.col(f"__{field}")
+def _kind(place: Column) -> Column:
     member = json_variants(F.col(JSON_ROW))[place["key"]]
     nested = F.coalesce(
         F.try_variant_get(member, place["rest"], "variant"),

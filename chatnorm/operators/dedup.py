@@ -109,12 +109,12 @@ def drop_duplicates(
     if keep not in ("first", "last", "none"):
         raise ValueError("keep must be 'first', 'last' or 'none'")
     columns = df.columns
-    if not subset and not order_by and _groupable(df):
+    if not subset and not order_by and not (ignore_case or strip_whitespace) and _groupable(df):
         # Members of a group are equal, so any of them will do: a hash aggregate, no sort.
         values = df.drop(*ORDINAL)
         if keep != "none":
             return values.dropDuplicates()
-        return values.groupBy(*values.columns).count().where("count = 1").drop("count")
+        return values.groupBy(*map(_quoted, values.columns)).count().where("count = 1").drop("count")
     keyed = df.withColumn("__key", dedup_key(df, subset, ignore_case, strip_whitespace))
     if keep == "none":
         # A plain aggregate: partial counts leave at most one row per key and task.

@@ -21,16 +21,25 @@ from ..functions.text import (
 from ..types import JSON_ROW, MAPPING_DDL
 
 _DATASET = ["dataset_id", "task_type"]
+_NUMBERS = ["prompt", "answer", "len", "plain_len"]
 
 
-def value_scores(text: Column, lower: Column, task_type: Column) -> dict[str, Column]:
-    """Numbers per value; null where the value is not a non-blank string."""
-    present = text.isNotNull()
+def value_scores(text: str, lower: str, task_type: str) -> dict[str, Column]:
+    """Numbers per value of a text column; null where the value is not a non-blank string.
+
+    All arguments are SQL text of plain columns (``task_type`` may be a literal).
+    """
+
+    def where_present(sql: str) -> Column:
+        return F.expr(f"if({text} IS NOT NULL, {sql}, NULL)")
+
     return {
-        "prompt": F.when(present, scoring.task_prompt_score(text, task_type, lower)),
-        "answer": F.when(present, scoring.task_answer_score(text, task_type, lower)),
+        "prompt": where_present(scoring.task_prompt_score_sql(text, task_type, lower)),
+        "answer": where_present(scoring.task_answer_score_sql(text, task_type, lower)),
         "len": F.length(text),
-        "plain_len": F.when(present & ~scoring.is_vectorish(text, stripped=True), F.length(text)),
+        "plain_len": where_present(
+            f"if({scoring.vectorish_sql(text, stripped=True)}, NULL, length({text}))"
+        ),
     }
 
 
@@ -63,7 +72,7 @@ def is_context_column(stats: Column) -> Column:
 
 
 def profile_table(
-    df: DataFrame, task_type: Column, group: list[str] | None = None, columns: list[str] | None = None
+    df: DataFrame, task_type: str, group: list[str] | None = None, columns: list[str] | None = None
 ) -> DataFrame:
     """Statistics of every column over all rows: one pass, no row multiplication.
 
@@ -73,31 +82,26 @@ def profile_table(
     group = group or []
     names = columns or [c for c in df.columns if c not in group]
     types = [df.schema[n].dataType for n in names]
+    texts = [i for i, t in enumerate(types) if isinstance(t, T.StringType)]
     # Three projections, so that the text, its lower-case form and the scores are each computed
     # once per row and value; the aggregate then sees numbers only.
-    texts = df.select(
+    read = df.select(
         *group,
-        task_type.alias("__task"),
-        *[
-            (
-                F.nullif(strip(quoted(n)), F.lit(""))
-                if isinstance(t, T.StringType)
-                else F.lit(None).cast("string")
-            ).alias(f"__t{i}")
-            for i, (n, t) in enumerate(zip(names, types))
-        ],
+        *[F.nullif(strip(quoted(names[i])), F.lit("")).alias(f"__t{i}") for i in texts],
         *[
             looks_like_messages_typed(quoted(n), t).alias(f"__m{i}")
             for i, (n, t) in enumerate(zip(names, types))
         ],
     )
-    lowered = texts.withColumns({f"__l{i}": F.lower(f"__t{i}") for i in range(len(names))})
-    kept, numbers = [], []
+    lowered = read.withColumns({f"__l{i}": F.lower(f"__t{i}") for i in texts}) if texts else read
+    scored, numbers = {}, []
     for i in range(len(names)):
-        values = value_scores(F.col(f"__t{i}"), F.col(f"__l{i}"), F.col("__task"))
-        kept += [v.alias(f"__{k}{i}") for k, v in values.items()]
-        numbers.append({k: F.col(f"__{k}{i}") for k in values})
-    scored = lowered.select(*group, *kept, *[f"__m{i}" for i in range(len(names))])
+        if i in texts:
+            values = value_scores(f"__t{i}", f"__l{i}", f"'{task_type}'")
+            scored.update({f"__{k}{i}": v for k, v in values.items()})
+            numbers.append({k: F.col(f"__{k}{i}") for k in values})
+        else:
+            numbers.append({k: F.lit(None).cast("double") for k in _NUMBERS})
     stats = [
         F.struct(
             F.lit(i).alias("col_pos"),
@@ -107,7 +111,8 @@ def profile_table(
         for i, name in enumerate(names)
     ]
     return (
-        scored.groupBy(*group)
+        (lowered.withColumns(scored) if scored else lowered)
+        .groupBy(*group)
         .agg(F.array(*stats).alias("stats"))
         .select(*group, F.explode("stats").alias("x"))
         .select(*group, "x.col_pos", "x.col", "x.s.*")
@@ -191,7 +196,7 @@ def detect_mappings(cells: DataFrame) -> DataFrame:
     short entry per column.
     """
     lowered = cells.withColumn("__lower", F.lower("text"))
-    scores = value_scores(F.col("text"), F.col("__lower"), F.col("task_type"))
+    scores = value_scores("text", "__lower", "task_type")
     numbers = {k: F.col(f"__{k}") for k in scores}
     stats = (
         lowered.withColumns({f"__{k}": v for k, v in scores.items()})

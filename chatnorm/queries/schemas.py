@@ -24,7 +24,7 @@ def column_scores(spark, sf_dir):
     """Mean scores of every column of the documents per language and task type, over all rows."""
     documents = table(spark, sf_dir, "documents").select("lang", "text", "source", "n_chars")
     parts = [
-        profile_table(documents, F.lit(task), ["lang"]).withColumn("task_type", F.lit(task))
+        profile_table(documents, task, ["lang"]).withColumn("task_type", F.lit(task))
         for task in TASK_TYPES
     ]
     stats = parts[0].unionByName(parts[1]).unionByName(parts[2])

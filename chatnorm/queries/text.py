@@ -41,7 +41,7 @@ _SQL_TEXTS = """(
 
 def _score(fn):
     return lambda spark, sf_dir: _all_texts(spark, sf_dir).select(
-        "origin", "id", F.round(fn(F.col("text")), 6).alias("score")
+        "origin", "id", F.round(fn("text"), 6).alias("score")
     )
 
 
@@ -51,18 +51,17 @@ def _score_sql(expr: str) -> str:
 
 def vectorish_text(spark, sf_dir):
     return _all_texts(spark, sf_dir).select(
-        "origin", "id", scoring.is_vectorish(F.col("text")).alias("vectorish")
+        "origin", "id", scoring.is_vectorish("text").alias("vectorish")
     )
 
 
 def digit_share(spark, sf_dir):
-    c = F.col("text")
     return _all_texts(spark, sf_dir).select(
         "origin",
         "id",
-        F.round(scoring.digit_ratio(c), 6).alias("digit_ratio"),
-        scoring.occurrences(c, ",").cast("long").alias("commas"),
-        scoring.occurrences(c, " ").cast("long").alias("blanks"),
+        F.round(scoring.digit_ratio("text"), 6).alias("digit_ratio"),
+        F.expr(scoring.occurrences("text", ",")).cast("long").alias("commas"),
+        F.expr(scoring.occurrences("text", " ")).cast("long").alias("blanks"),
     )
 
 
