@@ -210,13 +210,16 @@ def quick_message_list(c: Column) -> Column:
     )
 
 
-def deep_message_list(c: Column, quick: Column) -> Column:
+def deep_message_list(c: Column, quick: Column, quick_is_column: bool = True) -> Column:
     """``quick``, or the list that a depth-first search finds in an object without a known key.
 
-    The search is an Arrow UDF; all rows but those objects reach it as null.
+    The search is an Arrow UDF. When ``quick`` is a plain column, only the objects it missed reach
+    Python, all other rows as null; when it is an expression, Python sees every object (Spark does
+    not accept lambdas in the input of a Python function).
     """
-    missed = F.when(quick.isNull() & strip(c).startswith("{"), c)
-    return F.coalesce(quick, message_list_finder(PAYLOAD_KEYS)(missed))
+    is_object = strip(c).startswith("{")
+    asked = F.when(quick.isNull() & is_object, c) if quick_is_column else F.when(is_object, c)
+    return F.coalesce(quick, message_list_finder(PAYLOAD_KEYS)(asked))
 
 
 def _items(list_text: Column) -> Column:
@@ -309,9 +312,12 @@ def normalize_json(
     role_mapping: dict[str, str] | None = None,
     deep: bool = True,
 ) -> Column:
-    """Message list anywhere inside a JSON text -> user/assistant messages with content."""
+    """Message list anywhere inside a JSON text -> user/assistant messages with content.
+
+    ``operators.convert`` keeps the quick list in a column first, which spares Python most rows.
+    """
     quick = quick_message_list(c)
-    found = deep_message_list(c, quick) if deep else quick
+    found = deep_message_list(c, quick, quick_is_column=False) if deep else quick
     return normalize_list(found, role_path, content_path, role_mapping)
 
 
