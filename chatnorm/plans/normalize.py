@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +37,9 @@ PLACE = ["dataset_pos", *ORDINAL]
 # Datasets converted by one job. Bounds the number of scans in one plan.
 DATASETS_PER_JOB = 32
 
+# Datasets whose samples are on the driver at the same time.
+DATASETS_PER_DETECTION = 128
+
 
 @dataclass(frozen=True)
 class RunOptions:
@@ -47,6 +50,7 @@ class RunOptions:
     ignore_registry: bool = False
     max_rows_per_dataset: int | None = None
     sample_rows: int = 12
+    csv_multiline: bool = True
     output_csv_file: str = "combined_dataset.csv"
     output_parquet_file: str = "combined_dataset.parquet"
     run_log_file: str = "pipeline_progress_log.csv"
@@ -105,8 +109,8 @@ def _convert(spark: SparkSession, works: list[_Work], files=None) -> list[DataFr
     for w in works:
         dataset = w.dataset
         if files is not None:
-            dataset = Dataset(dataset.dataset_id, dataset.config_name, dataset.splits, tuple(files))
-        rows = _read_present(spark, dataset).withColumn("dataset_pos", F.lit(w.pos))
+            dataset = replace(dataset, files=tuple(files))
+        rows = dataset.read(spark).withColumn("dataset_pos", F.lit(w.pos))
         if JSON_ROW in rows.columns:
             json_rows.append(rows.withColumn("dataset_id", F.lit(w.dataset_id)))
             json_mappings.append(w.mapping)
@@ -122,17 +126,6 @@ def _convert(spark: SparkSession, works: list[_Work], files=None) -> list[DataFr
     return frames
 
 
-def _read_present(spark: SparkSession, dataset: Dataset) -> DataFrame:
-    """As ``dataset.read``, for a dataset some of whose splits have no file in this step."""
-    if {s for s, _ in dataset.files} == set(range(len(dataset.splits))):
-        return dataset.read(spark)
-    from ..sources.readers import read_files, unite
-
-    return unite(
-        [read_files(spark, dataset.paths(s), s) for s in sorted({s for s, _ in dataset.files})]
-    )
-
-
 def _stage(spark, works: list[_Work], cap: int | None, folder: str) -> dict[str, Exception]:
     """Write the converted records of all datasets below ``folder``; errors per dataset.
 
@@ -271,25 +264,26 @@ def run_domain(
         note(w.dataset_id, "started", None, f"Dataset processing started for domain {domain}")
     flush()
 
-    # 2. Open and sample each dataset; one job derives all mappings from the samples.
-    ready = []
-    for w in works:
-        try:
-            w.dataset = open_dataset(spark, data_root, w.dataset_id)
-            w.samples = sample_json(spark, w.dataset, options.sample_rows)
-            ready.append(w)
-        except Exception as error:  # noqa: BLE001
-            status, message, reason = _status_of(error)
-            note(w.dataset_id, status, 0, message, reason, w)
-    mappings = _mappings(spark, ready, head.task_type, proposals)
+    # 2. Open and sample the datasets; one job per batch derives the mappings from the samples.
     relevant = []
-    for w in ready:
-        w.mapping = mappings.get(w.dataset_id)
-        if w.mapping is not None and w.mapping.is_target_dataset:
-            relevant.append(w)
-        else:
-            note(w.dataset_id, "skipped", 0,
-                 f"Skipped: dataset not relevant for domain '{head.task_type}'.", w=w)
+    for start in range(0, len(works), DATASETS_PER_DETECTION):
+        ready = []
+        for w in works[start : start + DATASETS_PER_DETECTION]:
+            try:
+                w.dataset = open_dataset(spark, data_root, w.dataset_id, options.csv_multiline)
+                w.samples = sample_json(spark, w.dataset, options.sample_rows)
+                ready.append(w)
+            except Exception as error:  # noqa: BLE001
+                status, message, reason = _status_of(error)
+                note(w.dataset_id, status, 0, message, reason, w)
+        mappings = _mappings(spark, ready, head.task_type, proposals)
+        for w in ready:
+            w.samples, w.mapping = [], mappings.get(w.dataset_id)
+            if w.mapping is not None and w.mapping.is_target_dataset:
+                relevant.append(w)
+            else:
+                note(w.dataset_id, "skipped", 0,
+                     f"Skipped: dataset not relevant for domain '{head.task_type}'.", w=w)
 
     # 3. Convert once into a written table, then work on fingerprints and places.
     total = filtered = 0

@@ -7,7 +7,7 @@ Lines rows stay JSON text (column ``types.JSON_ROW``); CSV and Parquet rows are
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -139,28 +139,45 @@ def read_json(spark: SparkSession, paths: list[str], split_pos: int = 0) -> Data
     return rows.withColumn(ORD_ROW, F.col("__item").cast("long")).drop("__item")
 
 
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "inferSchema": False}
+
+
 def read_csv(
     spark: SparkSession, paths: list[str], split_pos: int = 0, multiline: bool = True
 ) -> DataFrame:
-    """CSV with a header, all values text. ``multiline=False`` makes files without line breaks
-    inside quotes splittable."""
-    df = spark.read.options(
-        header=True, multiLine=multiline, quote='"', escape='"', inferSchema=False, mode="PERMISSIVE"
-    ).csv(paths)
-    return _task_position(df, split_pos, *[F.col(f"`{c}`") for c in df.columns])
+    """CSV with a header, all values text. Spark applies the first header to all files of a read,
+    so files are grouped by their header first.
+
+    With ``multiline`` (the default, since a quoted value may hold line breaks) a file is read by
+    one task; ``multiline=False`` makes large files splittable where no value has line breaks.
+    """
+    options = {**CSV_OPTIONS, "multiLine": multiline}
+    groups: dict[tuple, list[str]] = {}
+    for path in paths:
+        header = tuple(spark.read.options(**options).csv(path).columns)
+        groups.setdefault(header, []).append(path)
+    frames = []
+    for header, files in groups.items():
+        schema = ", ".join("`" + c.replace("`", "``") + "` STRING" for c in header)
+        df = spark.read.options(**options).schema(schema).csv(files)
+        frames.append(_task_position(df, split_pos, *[F.col(f"`{c}`") for c in df.columns]))
+    return unite(frames)
 
 
 def read_parquet(spark: SparkSession, paths: list[str], split_pos: int = 0) -> DataFrame:
-    df = spark.read.parquet(*paths)
+    """Parquet rows. Columns are those of all files, not only of the first."""
+    df = spark.read.option("mergeSchema", len(paths) > 1).parquet(*paths)
     row = F.col("_metadata.row_index")
     block = F.floor(row / ROWS_PER_BLOCK)
     return _position(df, split_pos, row, block, *[F.col(f"`{c}`") for c in df.columns])
 
 
-_READERS = {"jsonl": read_jsonl, "json": read_json, "csv": read_csv, "parquet": read_parquet}
+_READERS = {"jsonl": read_jsonl, "json": read_json, "parquet": read_parquet}
 
 
-def read_files(spark: SparkSession, paths: list[str], split_pos: int = 0) -> DataFrame:
+def read_files(
+    spark: SparkSession, paths: list[str], split_pos: int = 0, csv_multiline: bool = True
+) -> DataFrame:
     """Files of any supported format; one reader per format, other suffixes give no rows.
 
     Formats that differ in kind (JSON text and typed) meet as JSON text.
@@ -171,7 +188,14 @@ def read_files(spark: SparkSession, paths: list[str], split_pos: int = 0) -> Dat
             by_format.setdefault(fmt, []).append(path)
     if not by_format:
         raise ValueError("No supported raw data files found")
-    return unite([_READERS[fmt](spark, files, split_pos) for fmt, files in by_format.items()])
+    return unite(
+        [
+            read_csv(spark, files, split_pos, csv_multiline)
+            if fmt == "csv"
+            else _READERS[fmt](spark, files, split_pos)
+            for fmt, files in by_format.items()
+        ]
+    )
 
 
 def as_json_rows(df: DataFrame) -> DataFrame:
@@ -210,15 +234,19 @@ class Dataset:
     config_name: str | None
     splits: tuple[str, ...]
     files: tuple[tuple[int, str], ...]  # (split position, path)
+    csv_multiline: bool = True
 
     def paths(self, split_pos: int | None = None) -> list[str]:
         return [p for s, p in self.files if split_pos is None or s == split_pos]
 
     def read(self, spark: SparkSession) -> DataFrame:
         if self.config_name == RAW_CONFIG:
-            return read_files(spark, self.paths())
+            return read_files(spark, self.paths(), 0, self.csv_multiline)
         return unite(
-            [read_files(spark, self.paths(pos), pos) for pos in range(len(self.splits))]
+            [
+                read_files(spark, self.paths(pos), pos, self.csv_multiline)
+                for pos in sorted({pos for pos, _ in self.files})
+            ]
         )
 
 
@@ -246,11 +274,13 @@ def plan_dataset(folder: str, dataset_id: str, paths: list[str]) -> Dataset:
     return Dataset(dataset_id, config, tuple(splits), tuple(files))
 
 
-def open_dataset(spark: SparkSession, data_root: str, dataset_id: str) -> Dataset:
+def open_dataset(
+    spark: SparkSession, data_root: str, dataset_id: str, csv_multiline: bool = True
+) -> Dataset:
     """List and probe one dataset; falls back to its raw files, and defers when these fail too."""
     folder = f"{data_root.rstrip('/')}/{dataset_id}"
     paths = [r.path for r in list_data_files(spark, folder).select("path").collect()]
-    dataset = plan_dataset(folder, dataset_id, paths)
+    dataset = replace(plan_dataset(folder, dataset_id, paths), csv_multiline=csv_multiline)
     try:
         dataset.read(spark)
         return dataset
@@ -267,8 +297,9 @@ def raw_fallback(spark: SparkSession, dataset: Dataset, error: Exception) -> Dat
         raise DatasetDeferred("The storage asked for authentication.", "hf_auth_required") from error
     if not any(f in text for f in [*SCHEMA_FRAGMENTS, JSON_FRAGMENT]):
         raise error
-    raw = Dataset(dataset.dataset_id, RAW_CONFIG, dataset.splits,
-                  tuple((0, p) for p in dataset.paths()))
+    raw = replace(
+        dataset, config_name=RAW_CONFIG, files=tuple((0, p) for p in sorted(dataset.paths()))
+    )
     try:
         raw.read(spark)
         return raw
@@ -301,7 +332,7 @@ def sample_json(spark: SparkSession, dataset: Dataset, n: int = 12) -> list[str]
     """
     rows: list[str] = []
     for split_pos, path in dataset.files:
-        one = as_json_rows(sample_safe(read_files(spark, [path], split_pos)))
+        one = as_json_rows(sample_safe(read_files(spark, [path], split_pos, dataset.csv_multiline)))
         rows += [r[0] for r in one.select(JSON_ROW).limit(n - len(rows)).collect()]
         if len(rows) >= n:
             break

@@ -55,6 +55,17 @@ def test_csv_values_are_text(spark, tmp_path):
     assert [(r.id, r.t) for r in rows] == [("007", 'a "q"\nb\\n,c'), ("8", "é")]
 
 
+def test_files_with_other_columns(spark, tmp_path):
+    paths = [write(tmp_path / "c/1.csv", "a,b\n1,2\n"), write(tmp_path / "c/2.csv", "b,a\n3,4\n"),
+             write(tmp_path / "c/3.csv", "a,c\n5,6\n")]
+    rows = R.read_csv(spark, paths).orderBy(*R.ORDINAL).select("a", "b", "c").collect()
+    assert [tuple(r) for r in rows] == [("1", "2", None), ("4", "3", None), ("5", None, "6")]
+    one, two = str(tmp_path / "p1.parquet"), str(tmp_path / "p2.parquet")
+    spark.createDataFrame([(1,)], "a int").write.parquet(one)
+    spark.createDataFrame([(2, 3)], "a int, b int").write.parquet(two)
+    assert sorted(map(tuple, R.read_parquet(spark, [one, two]).select("a", "b").collect()), key=str) == [(1, None), (2, 3)]
+
+
 def test_listing_and_layout(spark, tmp_path):
     for name in ["d/default/train/b.jsonl", "d/default/train/a.JSONL", "d/default/test/c.jsonl", "d/other/train/x.jsonl",
                  "d/default/dataset_infos.json", "d/default/train/state.json", "d/README.md", "d/.cache/h.json"]:
