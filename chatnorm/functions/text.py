@@ -104,8 +104,8 @@ def nested_json(c: Column) -> Column:
 
 def json_string(c: Column) -> Column:
     """JSON string literal, non-ASCII characters kept, control characters in lower-case hex."""
-    wrapped = F.to_json(F.struct(c.alias("s")))
-    literal = wrapped.substr(F.lit(6), F.length(wrapped) - 6)
+    # The quotes of the literal stop the trimming of the list brackets around it.
+    literal = F.rtrim(F.ltrim(F.to_json(F.array(c)), F.lit("[")), F.lit("]"))
     lowered = F.aggregate(
         F.expr("array('A', 'B', 'C', 'D', 'E', 'F')"),
         literal,
@@ -115,11 +115,7 @@ def json_string(c: Column) -> Column:
             F.concat(F.lit("$1"), F.lower(digit)),
         ),
     )
-    return (
-        F.when(c.isNull(), F.lit("null"))
-        .when(c.rlike("[\x0b\x0e\x0f\x1a-\x1f]"), lowered)
-        .otherwise(literal)
-    )
+    return F.when(c.rlike("[\x0b\x0e\x0f\x1a-\x1f]"), lowered).otherwise(literal)
 
 
 def literal_map(pairs: dict[str, str]) -> Column:

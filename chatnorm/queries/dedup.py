@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import dedup as D
 from ..operators.cap import cap_rows, sample_rows
-from ..sources.readers import ROWS_PER_BLOCK
+from ..sources.readers import BLOCK_BITS
 from .common import table
 
 _TEXTS = ["doc_id", "lang", "source", "n_chars"]
@@ -97,7 +97,7 @@ def cap_per_dataset(spark, sf_dir):
     """At most 20 rows per source, in file order."""
     rows = table(spark, sf_dir, "documents").select(
         *_TEXTS,
-        F.floor(F.col("_metadata.row_index") / ROWS_PER_BLOCK).alias("block"),
+        F.shiftright(F.col("_metadata.row_index"), BLOCK_BITS).alias("block"),
         F.col("_metadata.row_index").alias("row"),
     )
     return cap_rows(rows, 20, ["source"], ["block"], "row").select(*_TEXTS)

@@ -21,8 +21,8 @@ IGNORED_ENDINGS = ["dataset_infos.json", "state.json"]
 WRAPPER_KEYS = ["data", "rows", "items", "examples", "records"]
 RAW_CONFIG = "__raw__"
 
-# Parquet rows per block of the ordinal; text files use the start of their input block.
-ROWS_PER_BLOCK = 1 << 20
+# Parquet files are cut into blocks of 2**20 rows; text files use the start of their input block.
+BLOCK_BITS = 20
 
 
 class DatasetDeferred(RuntimeError):
@@ -168,8 +168,7 @@ def read_parquet(spark: SparkSession, paths: list[str], split_pos: int = 0) -> D
     """Parquet rows. Columns are those of all files, not only of the first."""
     df = spark.read.option("mergeSchema", len(paths) > 1).parquet(*paths)
     row = F.col("_metadata.row_index")
-    block = F.floor(row / ROWS_PER_BLOCK)
-    return _position(df, split_pos, row, block, *[F.col(f"`{c}`") for c in df.columns])
+    return _position(df, split_pos, row, F.shiftright(row, BLOCK_BITS), *[F.col(f"`{c}`") for c in df.columns])
 
 
 _READERS = {"jsonl": read_jsonl, "json": read_json, "parquet": read_parquet}
