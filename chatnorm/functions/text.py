@@ -138,6 +138,11 @@ def to_text(c: Column, dtype: T.DataType | None = None) -> Column:
         text = python_float_text(c)
     elif is_nested(dtype):
         text = nested_json(c)
+    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        zone = "xxx" if isinstance(dtype, T.TimestampType) else ""
+        text = F.regexp_replace(
+            F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS" + zone), r"\.000000(?=$|[+-])", ""
+        )
     else:
         text = strip(c.cast("string"))
     return F.coalesce(text, F.lit(""))

@@ -54,6 +54,10 @@ class RunOptions:
     output_csv_file: str = "combined_dataset.csv"
     output_parquet_file: str = "combined_dataset.parquet"
     run_log_file: str = "pipeline_progress_log.csv"
+    # State of runs made elsewhere: a JSON list of finished ids (used with ``resume``), and a JSON
+    # object ``dataset_id -> {domain -> status}``.
+    checkpoint_file: str | None = None
+    registry_file: str | None = None
 
 
 @dataclass
@@ -161,7 +165,7 @@ def _stage_capped(spark, work: _Work, cap: int, folder: str) -> None:
     """Convert the files of one dataset in order, twice as many each time, until there are ``cap``
     records; the exact cut is made afterwards by ``cap_rows``."""
     files, done, step, found = list(work.dataset.files), 0, 1, 0
-    while done < len(files) and found < cap:
+    while done < len(files) and (found < cap or done == 0):
         path = f"{folder}/from-{done}"
         part = files[done : done + step]
         stage_records(_convert(spark, [work], part)).write.parquet(path)
@@ -180,6 +184,19 @@ def _status_of(error: Exception) -> tuple[str, str, str]:
     return "failed", "Dataset failed during processing", str(error)[:2000]
 
 
+def output_paths(head, out_root: str, options: RunOptions) -> tuple[str, str, str]:
+    """CSV, Parquet and run-log folder of a domain (``head`` is any of its catalogue rows)."""
+    names = (
+        head.output_csv_file or options.output_csv_file,
+        head.output_parquet_file or options.output_parquet_file,
+        head.run_log_file or options.run_log_file,
+    )
+    return tuple(
+        f"{out_root.rstrip('/')}/{output_name(name, head.slug, options.progress_name)}"
+        for name in names
+    )
+
+
 # --- one domain ----------------------------------------------------------------------------------
 
 
@@ -196,14 +213,7 @@ def run_domain(
     listed = catalog.where(F.col("domain") == domain)
     head = listed.first()
     check_task_type(head.task_type)
-    log_path, csv_path, parquet_path = (
-        f"{out_root.rstrip('/')}/{output_name(name, head.slug, options.progress_name)}"
-        for name in (
-            head.run_log_file or options.run_log_file,
-            head.output_csv_file or options.output_csv_file,
-            head.output_parquet_file or options.output_parquet_file,
-        )
-    )
+    csv_path, parquet_path, log_path = output_paths(head, out_root, options)
     registry_path = f"{out_root.rstrip('/')}/dataset_registry"
     cap = (
         head.max_rows_per_dataset
@@ -244,12 +254,21 @@ def run_domain(
     todo = listed.where("NOT is_repeat")
     if not options.ignore_registry:
         registry = tracking.read_registry(spark, registry_path)
+        if options.registry_file:
+            earlier = tracking.read_registry_json(spark, options.registry_file)
+            registry = registry.unionByName(
+                earlier.join(registry, ["domain", "dataset_id"], "left_anti")
+            )
         for row in tracking.registered(todo, registry).orderBy("pos").collect():
             note(row.dataset_id, "duplicate_input",
                  message="Skipped because dataset was already processed in an earlier run for this domain")
         todo = tracking.without_registered(todo, registry)
     if options.resume:
         done = tracking.done_in_log(tracking.read_log(spark, log_path))
+        if options.checkpoint_file:
+            done = tracking.done_ids(
+                done, tracking.done_in_checkpoint(spark, options.checkpoint_file)
+            )
         n_done = done.count()
         note(SYSTEM_ID, "resume", n_done, f"Resuming with {n_done} processed dataset IDs")
         for row in todo.join(done, "dataset_id", "left_semi").orderBy("pos").collect():
@@ -383,6 +402,12 @@ def run(
         rows,
         "domain STRING, dataset_id STRING, status STRING, records_written BIGINT, duplicates_filtered BIGINT",
     )
+    heads = catalog.dropDuplicates(["domain"]).collect()
+    places = local_frame(
+        spark,
+        [(h.domain, *output_paths(h, out_root, options)) for h in heads],
+        "domain STRING, csv_path STRING, parquet_path STRING, run_log_path STRING",
+    )
     summary_path = f"{out_root.rstrip('/')}/{output_name('pipeline_summary.json', options.progress_name)}"
-    tracking.summary(outcomes, options.progress_name).coalesce(1).write.mode("overwrite").json(summary_path)
+    tracking.summary(outcomes, options.progress_name, places).coalesce(1).write.mode("overwrite").json(summary_path)
     return outcomes

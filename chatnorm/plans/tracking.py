@@ -168,16 +168,18 @@ def status_counts(outcomes: DataFrame, *, rollup: bool = True) -> DataFrame:
     )
 
 
-def summary(outcomes: DataFrame, progress_name: str) -> DataFrame:
-    """One row: ``progress_name, totals, domains``; the array has one short entry per domain."""
+def summary(outcomes: DataFrame, progress_name: str, places: DataFrame) -> DataFrame:
+    """One row: ``progress_name, totals, domains``; the array has one short entry per domain,
+    with its counts and the paths in ``places``."""
     counts = status_counts(outcomes)
     numbers = [c for c in counts.columns if c != "domain"]
+    paths = [c for c in places.columns if c != "domain"]
     total = F.struct(F.count("domain").alias("domains"), *[
         F.max(F.when(F.col("domain").isNull(), F.col(c))).alias(c) for c in numbers
     ])
     per_domain = F.array_sort(
-        F.collect_list(F.when(F.col("domain").isNotNull(), F.struct("domain", *numbers)))
+        F.collect_list(F.when(F.col("domain").isNotNull(), F.struct("domain", *numbers, *paths)))
     )
-    return counts.agg(
+    return counts.join(places, "domain", "left").agg(
         F.lit(progress_name).alias("progress_name"), total.alias("totals"), per_domain.alias("domains")
     )

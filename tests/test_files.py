@@ -212,6 +212,7 @@ def test_run_and_rerun(spark, tmp_path):
     assert contents(spark.read.parquet(parquet)) == contents(csv_out) == ["q0", "q1", "q2", "q3", "q4"]
     summary = spark.read.json(f"{out}/pipeline_summary.json").first()
     assert summary.totals.records_written == 5 and summary.totals.datasets_failed == 1
+    assert summary.domains[0].parquet_path == f"{out}/combined_dataset_chat.parquet"
     assert summary.totals.record_duplicates_filtered == 3 and summary.domains[0].datasets_total == 5
     log = tracking.read_log(spark, f"{out}/pipeline_progress_log_chat.csv")
     assert {r.status for r in log.collect()} == {"started", "added", "skipped", "failed", "duplicate_input", "completed"}
@@ -238,6 +239,17 @@ def test_run_with_cap_and_without_dedup(spark, tmp_path):
     got = statuses(run(spark, domains, data, out, options))
     assert got[("o/chats", "added")] == (3, 0) and got[("o/again", "added")] == (2, 0)
     assert contents(spark.read.parquet(f"{out}/combined_dataset_chat_capped.parquet")) == ["q0", "q1", "q1", "q3", "q4"]
+    nothing = RunOptions(output_format="parquet", max_rows_per_dataset=0, progress_name="zero", ignore_registry=True)
+    assert statuses(run(spark, domains, data, out, nothing))[("o/chats", "added")] == (0, 0)
+
+
+def test_run_takes_over_earlier_state(spark, tmp_path):
+    domains = C.read_domains(spark, make_data(tmp_path / "data"))
+    registry = write(tmp_path / "registry.json", '{"o/chats": {"Chat": "added", "Other": "failed"}, "o/plain": {"Chat": "failed"}}')
+    checkpoint = write(tmp_path / "checkpoint.json", '["o/again"]')
+    options = RunOptions(output_format="parquet", resume=True, registry_file=registry, checkpoint_file=checkpoint)
+    got = statuses(run(spark, domains, str(tmp_path / "data"), str(tmp_path / "out"), options))
+    assert set(got) == {("o/chats", "duplicate_input"), ("o/again", "resumed_skip"), ("o/plain", "skipped"), ("o/none", "failed")}
 
 
 def test_run_with_proposals(spark, tmp_path):

@@ -1,4 +1,5 @@
 import json
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,6 +22,8 @@ def test_strip_covers_unicode_blanks(spark):
 def test_to_text_of_typed_values(spark):
     assert apply(spark, [True, None], lambda c: X.to_text(c, T.BooleanType()), "boolean") == ["True", ""]
     assert apply(spark, [5], lambda c: X.to_text(c, T.LongType()), "bigint") == ["5"]
+    stamps = [datetime(2024, 1, 2, 3, 4, 5), datetime(2024, 1, 2, 3, 4, 5, 500000)]
+    assert apply(spark, stamps, lambda c: X.to_text(c, T.TimestampNTZType()), "timestamp_ntz") == list(map(str, stamps))
     nested = apply(
         spark, [["a,b", None]], lambda c: X.to_text(c, T.ArrayType(T.StringType())), "array<string>"
     )
