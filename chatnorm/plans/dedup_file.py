@@ -8,6 +8,7 @@ from ..operators.dedup import dedup_counts, drop_duplicates
 from ..sinks.writers import write_table
 from ..sources.readers import read_csv, read_parquet
 from ..types import ORDINAL
+from .session import file_system
 
 
 def infer_format(path: str) -> str:
@@ -64,11 +65,10 @@ def dedup_file(
 
 
 def _swap(spark: SparkSession, new: str, old: str) -> None:
-    """Put a finished folder in the place of the old one, through the Hadoop file system API."""
-    jvm = spark.sparkContext._jvm
-    new_path, old_path = (jvm.org.apache.hadoop.fs.Path(p) for p in (new, old))
-    backup = jvm.org.apache.hadoop.fs.Path(f"{old.rstrip('/')}.old")
-    fs = old_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    """Put a finished folder in the place of the old one."""
+    fs, old_path = file_system(spark, old)
+    _, new_path = file_system(spark, new)
+    _, backup = file_system(spark, f"{old.rstrip('/')}.old")
     if not fs.rename(old_path, backup):
         raise OSError(f"could not set {old} aside")
     if not fs.rename(new_path, old_path):

@@ -29,7 +29,7 @@ from ..types import (
     mappings_frame,
 )
 from . import tracking
-from .session import shared_folder, written
+from .session import remove_folder, shared_folder, written
 
 # A row's place in a domain: dataset first, then the position inside the dataset. Unique.
 PLACE = ["dataset_pos", *ORDINAL]
@@ -306,47 +306,59 @@ def run_domain(
 
     # 3. Convert once into a written table, then work on fingerprints and places.
     total = filtered = 0
-    if relevant:
-        folder = f"{shared_folder(spark)}/staged"
-        failed = _stage(spark, relevant, cap, folder)
+    work = shared_folder(spark)
+    try:
+        failed = _stage(spark, relevant, cap, f"{work}/staged")
+        added = [w for w in relevant if w.dataset_id not in failed]
         for w in relevant:
             if w.dataset_id in failed:
                 status, message, reason = _status_of(failed[w.dataset_id])
                 note(w.dataset_id, status, 0, message, reason, w)
-        added = [w for w in relevant if w.dataset_id not in failed]
         if added:
-            staged = _staged(spark, folder, set(failed))
-            if cap is not None:
-                staged = cap_rows(staged, cap, ["dataset_id"], [ORD_SPLIT, ORD_FILE, ORD_BLOCK], ORD_ROW)
-            counts = {r.dataset_id: r["count"] for r in staged.groupBy("dataset_id").count().collect()}
-            dups: dict[str, int] = {}
-            output = staged
-            if options.deduplicate:
-                wants = options.output_format
-                existing = existing_fingerprints(
-                    spark,
-                    csv_path if wants in ("csv", "both") else None,
-                    parquet_path if wants in ("parquet", "both") else None,
-                )
-                duplicates = written(duplicate_places(staged, existing))
-                dups = {
-                    r.dataset_id: r["count"]
-                    for r in duplicates.groupBy("dataset_id").count().collect()
-                }
-                output = keep_new(staged, duplicates)
-            write_records(output, options.output_format, csv_path, parquet_path)
+            counts, dups = _write_domain(
+                spark, f"{work}/staged", work, set(failed), cap, csv_path, parquet_path, options
+            )
             for w in added:
                 n_dup = dups.get(w.dataset_id, 0)
                 n_new = counts.get(w.dataset_id, 0) - n_dup
                 total, filtered = total + n_new, filtered + n_dup
                 note(w.dataset_id, "added", n_new,
                      f"Dataset converted and appended. Duplicates filtered: {n_dup}", w=w, dup=n_dup)
+    finally:
+        remove_folder(spark, work)
     note(SYSTEM_ID, "completed", total,
          f"Domain run completed. Duplicates filtered: {filtered}")
     flush()
     return outcomes
 
 
+def _write_domain(
+    spark, staged_path: str, work: str, failed: set[str], cap, csv_path, parquet_path, options
+) -> tuple[dict[str, int], dict[str, int]]:
+    """Cap, de-duplicate and write the staged records; converted and dropped counts per dataset."""
+    staged = _staged(spark, staged_path, failed)
+    if cap is not None:
+        staged = cap_rows(staged, cap, ["dataset_id"], [ORD_SPLIT, ORD_FILE, ORD_BLOCK], ORD_ROW)
+    counts = _counts(staged)
+    if not options.deduplicate:
+        write_records(staged, options.output_format, csv_path, parquet_path)
+        return counts, {}
+    wants = options.output_format
+    existing = existing_fingerprints(
+        spark,
+        csv_path if wants in ("csv", "both") else None,
+        parquet_path if wants in ("parquet", "both") else None,
+    )
+    duplicates = written(duplicate_places(staged, existing), f"{work}/duplicates")
+    dropped = _counts(duplicates)
+    write_records(keep_new(staged, duplicates), wants, csv_path, parquet_path)
+    return counts, dropped
+
+
+def _counts(records: DataFrame) -> dict[str, int]:
+    return {r.dataset_id: r["count"] for r in records.groupBy("dataset_id").count().collect()}
+
+
 def _mappings(spark, works: list[_Work], task_type: str, proposals) -> dict[str, Mapping]:
     rows = [(w.dataset_id, task_type, i, text) for w in works for i, text in enumerate(w.samples)]
     if not rows:
