@@ -71,7 +71,7 @@ def dedup_key(
     """
     unknown = [c for c in subset or [] if c not in df.columns]
     if unknown:
-        raise ValueError(f"Column '{unknown[0]}' not found in input.")
+        raise ValueError(f"Unknown key column {unknown[0]!r}")
     if not subset and (ignore_case or strip_whitespace):
         warnings.warn("ignore_case and strip_whitespace only apply to a column subset", stacklevel=2)
         ignore_case = strip_whitespace = False

@@ -172,4 +172,4 @@ def resolve_mappings(detected: DataFrame, validated: DataFrame | None) -> DataFr
 
 def check_task_type(task_type: str) -> None:
     if task_type not in TASK_TYPES:
-        raise ValueError(f"Unsupported task type: {task_type}")
+        raise ValueError(f"unknown task type {task_type!r}")

@@ -16,7 +16,7 @@ def infer_format(path: str) -> str:
     for fmt in ("csv", "parquet"):
         if lower.endswith(f".{fmt}"):
             return fmt
-    raise ValueError(f"Unsupported file extension: {path}. Use .csv or .parquet")
+    raise ValueError(f"Neither a .csv nor a .parquet path: {path}")
 
 
 def load_table(spark: SparkSession, path: str) -> DataFrame:

@@ -181,7 +181,7 @@ def _staged(spark: SparkSession, folder: str, failed: set[str]) -> DataFrame:
 def _status_of(error: Exception) -> tuple[str, str, str]:
     if isinstance(error, DatasetDeferred):
         return "deferred", str(error), error.reason
-    return "failed", "Dataset failed during processing", str(error)[:2000]
+    return "failed", "Could not be read, converted or written", str(error)[:2000]
 
 
 def output_paths(head, out_root: str, options: RunOptions) -> tuple[str, str, str]:
@@ -261,7 +261,7 @@ def run_domain(
             )
         for row in tracking.registered(todo, registry).orderBy("pos").collect():
             note(row.dataset_id, "duplicate_input",
-                 message="Skipped because dataset was already processed in an earlier run for this domain")
+                 message="Already finished for this domain in an earlier run")
         todo = tracking.without_registered(todo, registry)
     if options.resume:
         done = tracking.done_in_log(tracking.read_log(spark, log_path))
@@ -270,17 +270,17 @@ def run_domain(
                 done, tracking.done_in_checkpoint(spark, options.checkpoint_file)
             )
         n_done = done.count()
-        note(SYSTEM_ID, "resume", n_done, f"Resuming with {n_done} processed dataset IDs")
+        note(SYSTEM_ID, "resume", n_done, f"{n_done} datasets are finished")
         for row in todo.join(done, "dataset_id", "left_semi").orderBy("pos").collect():
             note(row.dataset_id, "resumed_skip",
-                 message="Skipped because already processed in previous run")
+                 message="Already finished in this named run")
         todo = tracking.without_done(todo, done)
     works = [_Work(r.dataset_id, int(r.pos)) for r in todo.orderBy("pos").collect()]
     for row in listed.where("is_repeat").orderBy("pos").collect():
         note(row.dataset_id, "duplicate_input",
-             message="Skipped because dataset was already listed for this domain")
+             message="Listed before in this domain")
     for w in works:
-        note(w.dataset_id, "started", None, f"Dataset processing started for domain {domain}")
+        note(w.dataset_id, "started", None, f"Started in domain {domain}")
     flush()
 
     # 2. Open and sample the datasets; one job per batch derives the mappings from the samples.
@@ -302,7 +302,7 @@ def run_domain(
                 relevant.append(w)
             else:
                 note(w.dataset_id, "skipped", 0,
-                     f"Skipped: dataset not relevant for domain '{head.task_type}'.", w=w)
+                     f"Sample does not fit task type {head.task_type}", w=w)
 
     # 3. Convert once into a written table, then work on fingerprints and places.
     total = filtered = 0
@@ -315,19 +315,26 @@ def run_domain(
                 status, message, reason = _status_of(failed[w.dataset_id])
                 note(w.dataset_id, status, 0, message, reason, w)
         if added:
-            counts, dups = _write_domain(
-                spark, f"{work}/staged", work, set(failed), cap, csv_path, parquet_path, options
-            )
+            counts, dups = {}, {}
+            try:
+                counts, dups = _write_domain(
+                    spark, f"{work}/staged", work, set(failed), cap, csv_path, parquet_path, options
+                )
+            except Exception as error:  # noqa: BLE001
+                status, message, reason = _status_of(error)
+                for w in added:
+                    note(w.dataset_id, status, 0, message, reason, w)
+                added = []
             for w in added:
                 n_dup = dups.get(w.dataset_id, 0)
                 n_new = counts.get(w.dataset_id, 0) - n_dup
                 total, filtered = total + n_new, filtered + n_dup
                 note(w.dataset_id, "added", n_new,
-                     f"Dataset converted and appended. Duplicates filtered: {n_dup}", w=w, dup=n_dup)
+                     f"Converted and written; {n_dup} duplicates left out", w=w, dup=n_dup)
     finally:
         remove_folder(spark, work)
     note(SYSTEM_ID, "completed", total,
-         f"Domain run completed. Duplicates filtered: {filtered}")
+         f"Domain finished; {filtered} duplicates left out")
     flush()
     return outcomes
 

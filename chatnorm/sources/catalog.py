@@ -56,13 +56,13 @@ def parse_domains(texts: DataFrame, text_col: str = "value", keys: list[str] | N
     max_rows = optional("max_rows_per_dataset")
     ids_given = F.col("f")["dataset_ids"].isNotNull()
     error = (
-        F.when(F.col("f").isNull(), F.lit("must be an object"))
-        .when(name == "", F.lit("is missing 'name'"))
-        .when(~task.isin(*TASK_TYPES), F.concat(F.lit("has unsupported task_type "), task))
-        .when(ids_given & ids.isNull(), F.lit("'dataset_ids' must be a list of dataset IDs"))
+        F.when(F.col("f").isNull(), F.lit("is not an object"))
+        .when(name == "", F.lit("has no name"))
+        .when(~task.isin(*TASK_TYPES), F.concat(F.lit("has an unknown task type "), task))
+        .when(ids_given & ids.isNull(), F.lit("dataset_ids is not a list"))
         .when(
             optional("csv_path").isNull() & ~ids_given,
-            F.lit("must define either 'csv_path' or 'dataset_ids'"),
+            F.lit("needs csv_path or dataset_ids"),
         )
         .when(
             max_rows.isNotNull() & max_rows.try_cast("int").isNull(),
@@ -95,7 +95,7 @@ def read_domains(spark: SparkSession, path: str) -> DataFrame:
     domains = parse_domains(texts).cache()
     try:
         if domains.isEmpty():
-            raise ValueError("Domain config must contain a non-empty 'domains' list")
+            raise ValueError(f"{path} lists no domains")
         bad = domains.where("error IS NOT NULL").orderBy("entry").first()
         if bad is not None:
             raise ValueError(f"Domain entry #{bad.entry} {bad.domain!r}: {bad.error}")
@@ -108,7 +108,7 @@ def read_domains(spark: SparkSession, path: str) -> DataFrame:
 def _read_ids_csv(spark: SparkSession, path: str, column: str) -> DataFrame:
     df = spark.read.options(header=True, multiLine=True, quote='"', escape='"').csv(path)
     if column not in df.columns:
-        raise ValueError(f"CSV must contain a '{column}' column")
+        raise ValueError(f"{path} has no column {column!r}")
     return df.select(
         F.col(column).alias("raw"), F.monotonically_increasing_id().alias("pos")
     ).where(F.col("raw").isNotNull())
@@ -193,7 +193,7 @@ def select_domains(domains: DataFrame, names: list[str] | None) -> DataFrame:
     key = F.lower(strip(F.col("domain")))
     missing = [r.name for r in missing_domains(domains, wanted).collect()]
     if missing:
-        raise ValueError(f"Requested domain(s) not found in configuration: {', '.join(missing)}")
+        raise ValueError(f"No such domain: {', '.join(missing)}")
     return domains.where(key.isin(*wanted))
 
 

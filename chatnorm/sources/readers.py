@@ -188,7 +188,7 @@ def read_files(
         if (fmt := file_format(path)) is not None:
             by_format.setdefault(fmt, []).append(path)
     if not by_format:
-        raise ValueError("No supported raw data files found")
+        raise ValueError("no file of a known format")
     return unite(
         [
             read_csv(spark, files, split_pos, csv_multiline)
@@ -266,7 +266,7 @@ def plan_dataset(folder: str, dataset_id: str, paths: list[str]) -> Dataset:
             flat.append(path)
     if not layout:
         if not flat:
-            raise ValueError(f"No supported raw data files found for dataset {dataset_id}")
+            raise ValueError(f"dataset {dataset_id} has no file of a known format")
         return Dataset(dataset_id, RAW_CONFIG, tuple(p.rsplit("/", 1)[-1] for p in flat),
                        tuple((0, p) for p in flat))
     config = min(c for c, _ in layout)

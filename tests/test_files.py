@@ -243,6 +243,22 @@ def test_run_with_cap_and_without_dedup(spark, tmp_path):
     assert statuses(run(spark, domains, data, out, nothing))[("o/chats", "added")] == (0, 0)
 
 
+def test_failed_write_is_logged_and_retried(spark, tmp_path, monkeypatch):
+    from chatnorm.plans import normalize
+
+    domains = C.read_domains(spark, make_data(tmp_path / "data"))
+    data, out = str(tmp_path / "data"), str(tmp_path / "out")
+    options = RunOptions(output_format="parquet")
+    with monkeypatch.context() as patched:
+        def broken(*args, **kwargs):
+            raise OSError("disk")
+
+        patched.setattr(normalize, "write_records", broken)
+        got = statuses(run(spark, domains, data, out, options))
+    assert ("o/chats", "failed") in got and ("o/again", "failed") in got
+    assert statuses(run(spark, domains, data, out, options))[("o/chats", "added")] == (4, 2)
+
+
 def test_run_takes_over_earlier_state(spark, tmp_path):
     domains = C.read_domains(spark, make_data(tmp_path / "data"))
     registry = write(tmp_path / "registry.json", '{"o/chats": {"Chat": "added", "Other": "failed"}, "o/plain": {"Chat": "failed"}}')
