@@ -7,6 +7,7 @@ import sys
 
 from .exact_dedup import OP4_SQL, op4_exact_dedup
 from .mixing import op5_mixing
+from .near_dup import op7_near_dedup
 from .secrets import op6_secret_scans
 from .token_counts import op1_token_counts
 from .topk_search import OP9_SQL, op9_topk_search
@@ -22,6 +23,7 @@ QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_mixing": op5_mixing,
     "op6_secret_scans": op6_secret_scans,
+    "op7_near_dedup": op7_near_dedup,
     "op9_topk_search": op9_topk_search,
 }
 
