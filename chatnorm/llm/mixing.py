@@ -27,13 +27,14 @@ from .common import table, written
 # Weights of the sources in code-point order, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
 BUCKETS = 1024
+_WORD = r"[^\x20\x09-\x0D]+"
 TOLERANCE = 1e-6
 STEPS = 60
 
 
 def sized(docs: DataFrame) -> DataFrame:
     """``doc_id, source, size``: number of words of the whole text."""
-    size = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+    size = F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long")
     return docs.select("doc_id", "source", size.alias("size"))
 
 
@@ -193,6 +194,17 @@ def mix(sizes: DataFrame, total_share: float = 1.5, most_copies: int = 2) -> Dat
     )
 
 
+def mixed(docs: DataFrame) -> DataFrame:
+    """``docs`` with each row as often as the mix takes it, all columns as they are."""
+    taken = mix(sized(docs)).groupBy("doc_id", "key", "size").agg(F.max("copies").alias("copies")).where("copies > 0")
+    taken = written(taken.select(F.col("doc_id").alias("_i"), F.col("key").alias("_k"), F.col("size").alias("_n"), "copies"))
+    size = F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_id"), _key().alias("_key"), size.alias("_size"))
+    same = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_k")) & (F.col("_size") == F.col("_n"))
+    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    return rows.join(taken, same).select("_row", times.alias("_times")).select("_row.*")
+
+
 def op5_mixing(spark, sf_dir: str) -> DataFrame:
     mixed = mix(sized(table(spark, sf_dir, "documents")))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")

@@ -7,7 +7,7 @@ of ``BAND_ROWS`` values put documents into buckets; documents of similarity 0.75
 with a probability of 1 - 5e-6. Candidates are confirmed on their full sets.
 
 Groups may hold a third of all rows. So documents with equal sets are one node (their smallest id), and
-within a bucket candidates are not all pairs: first each member meets the bucket's first member, then only
+within a bucket candidates are not all pairs: first each member meets the one that shares most buckets with others, then only
 members that are still in different components meet the next members, four times as many in each round,
 until every member has been met or the bucket is one component. No link between components is lost
 this way. A node that meets very many others is salted.
@@ -226,36 +226,44 @@ def components(df: DataFrame, percent: int = 75, id_col: str = "doc_id", text_co
     # One node per set: its smallest id.
     nodes = full.groupBy("k1", "k2", "n").agg(F.min("i").alias("node"))
     members = written(full.join(nodes, ["k1", "k2", "n"]).select("i", "n", "node", F.when(F.col("i") == F.col("node"), F.col("bands")).alias("bands")))
-    entries = members.where("bands IS NOT NULL").select("node", F.explode("bands").alias("band"))
-    shared = entries.groupBy("band").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last")
-    buckets = written(entries.join(shared.select("band", "first"), "band").select("band", "node", "first").distinct())
+    entries = members.where("bands IS NOT NULL").select("node", "n", F.explode("bands").alias("band"))
+    shared = entries.groupBy("band").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count("*").alias("mates"))
+    buckets = written(entries.join(shared.where("a <> b").select("band", "mates"), "band"))
+    # Members that share most buckets come first: the source of a group of copies is nearer to them than they are to each other.
+    degrees = buckets.groupBy("node").agg(F.sum("mates").alias("degree"))
+    buckets = written(buckets.drop("mates").join(degrees, "node").select("band", "node", "n", "degree").distinct())
+    firsts = buckets.groupBy("band").agg(F.max(F.struct("degree", -F.col("node"), "n")).alias("f"))
+    firsts = firsts.select("band", (-F.col("f.col2")).alias("first"), F.col("f.n").alias("first_n"))
+    close = 100 * F.least("n", "first_n") >= percent * F.greatest("n", "first_n")  # else the sizes alone rule it out
 
     involved = buckets.select(F.col("node").alias("i")).distinct()
     texts = _Texts(spark, df.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).join(involved, "i"))
-    tested = written(buckets.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct())
+    pairs = buckets.join(firsts, "band").where("node <> first").where(close)
+    tested = written(pairs.select(F.least("first", "node").alias("a"), F.greatest("first", "node").alias("b")).distinct())
     links = written(texts.confirmed(tested, percent))
     met, roots = 1, connected(links)
     while True:
-        labelled = buckets.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+        labelled = buckets.join(roots, "node", "left").select("band", "node", "n", "degree", F.coalesce("root", "node").alias("root"))
         open_ = (
             labelled.groupBy("band")
-            .agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("n"))
-            .where((F.col("least") != F.col("most")) & (F.col("n") > met))
+            .agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("mates"))
+            .where((F.col("least") != F.col("most")) & (F.col("mates") > met))
             .select("band")
         )
         labelled = written(labelled.join(open_, "band"))
         if labelled.isEmpty():
             break
-        rank = F.row_number().over(Window.partitionBy("band").orderBy("node"))
+        rank = F.row_number().over(Window.partitionBy("band").orderBy(F.desc("degree"), "node"))
         following = (
             labelled.withColumn("rank", rank)
             .where(F.col("rank") <= 4 * met)
             .where(F.col("rank") > met)
-            .select("band", F.col("node").alias("other"), F.col("root").alias("other_root"))
+            .select("band", F.col("node").alias("other"), F.col("n").alias("first_n"), F.col("root").alias("other_root"))
         )
         pairs = (
             labelled.join(following, "band")
             .where("root <> other_root")
+            .where(close)
             .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
             .distinct()
         )

@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-import os
-import sys
+import corpus_pipeline
 
 from .exact_dedup import OP4_SQL, op4_exact_dedup
 from .mixing import op5_mixing
 from .near_dup import op7_near_dedup
+from .piece_sampling import op10_piece_sampling
 from .secrets import op6_secret_scans
+from .substring_dedup import op8_substring_dedup
 from .token_counts import op1_token_counts
 from .topk_search import OP9_SQL, op9_topk_search
 from .toxicity import op2_toxicity
 from .url_filter import OP3_SQL, op3_url_filter
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
-
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
     "op3_url_filter": op3_url_filter,
@@ -24,7 +24,9 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_secret_scans": op6_secret_scans,
     "op7_near_dedup": op7_near_dedup,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_topk_search": op9_topk_search,
+    "op10_piece_sampling": op10_piece_sampling,
 }
 
 SQL = {"op3_url_filter": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op9_topk_search": OP9_SQL}
