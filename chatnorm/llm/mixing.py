@@ -196,8 +196,8 @@ def mix(sizes: DataFrame, total_share: float = 1.5, most_copies: int = 2) -> Dat
 
 def mixed(docs: DataFrame) -> DataFrame:
     """``docs`` with each row as often as the mix takes it, all columns as they are."""
-    taken = mix(sized(docs)).groupBy("doc_id", "key", "size").agg(F.max("copies").alias("copies")).where("copies > 0")
-    taken = written(taken.select(F.col("doc_id").alias("_i"), F.col("key").alias("_k"), F.col("size").alias("_n"), "copies"))
+    taken = mix(sized(docs)).groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies")).where("copies > 0")
+    taken = written(taken.select(F.col("doc_id").alias("_i"), _key().alias("_k"), F.col("size").alias("_n"), "copies"))
     size = F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long")
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_id"), _key().alias("_key"), size.alias("_size"))
     same = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_k")) & (F.col("_size") == F.col("_n"))
