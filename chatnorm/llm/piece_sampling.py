@@ -409,6 +409,7 @@ def decode_pieces(df: DataFrame, pieces_col: str = "pieces", text_col: str = "de
     others = [c for c in df.columns if c != pieces_col]
     named = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     kept = named.drop(f"c{place}")
+    names = [*kept.columns, "text"]
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sampler(path or model_path(), 1.0).pieces
@@ -417,7 +418,7 @@ def decode_pieces(df: DataFrame, pieces_col: str = "pieces", text_col: str = "de
                 part = batch.slice(at, 256)
                 texts = [None if ids is None else own.decode(ids) for ids in part.column(place).to_pylist()]
                 columns = [c for i, c in enumerate(part.columns) if i != place]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], [*kept.columns, "text"])
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names)
 
     schema = kept.withColumn("text", F.lit("")).schema
     return named.mapInArrow(decoded, schema).toDF(*others, text_col)

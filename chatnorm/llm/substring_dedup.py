@@ -40,9 +40,9 @@ from .common import mix64, slices, table, written
 LENGTH = 50
 TRIGGER = 20
 REACH = LENGTH - TRIGGER
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 1_000_000
 #: Bytes of text for each part that triggers are dealt out to.
-PART_BYTES = 16 << 20
+PART_BYTES = 8 << 20
 NO_ID = (1 << 63) - 1
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -53,7 +53,7 @@ _powers: dict[str, np.ndarray] = {}
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers.get("up", ())) < n:
         for name, x in (("up", int(_BASE)), ("down", pow(int(_BASE), -1, 1 << 64))):
-            steps = np.full(max(n, 1 << 21), x, np.uint64)
+            steps = np.full(max(n, 1 << 20), x, np.uint64)
             steps[0] = 1
             _powers[name] = np.cumprod(steps)
     return _powers["up"], _powers["down"]
@@ -210,7 +210,7 @@ def _compared(part: pa.Table) -> pa.Table:
     found: list[tuple[np.ndarray, np.ndarray]] = []  # entries and places
     # Triggers are taken together up to a bounded number of suffixes.
     weights = np.add.reduceat(size[order].astype(np.int64), bounds) if len(bounds) else np.zeros(0, np.int64)
-    lots = np.cumsum(weights) // 4_000_000
+    lots = np.cumsum(weights) // 800_000
     for lot in np.unique(lots):
         groups = np.flatnonzero(lots == lot)
         end = bounds[groups[-1] + 1] if groups[-1] + 1 < len(bounds) else len(order)
