@@ -19,7 +19,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,18 +66,12 @@ class CuckooIndex:
 
     def insert(self, digest: bytes, *values) -> None:
         """Add a digest that is not live."""
-        entry: list = [digest, *values]
-        while (entry := self._place(entry)) is not None:  # the entry that found no slot
-            stored = [e for e in self.entries if e is not None]
-            self._clear(2 * self.buckets)
-            for e in stored:
-                left = self._place(e)
-                while left is not None:  # as unlikely as it is, the new table may overflow too
-                    stored_again = [x for x in self.entries if x is not None] + [left]
-                    self._clear(2 * self.buckets)
-                    left = None
-                    for x in stored_again:
-                        left = self._place(x) or left
+        waiting: list[list] = [[digest, *values]]
+        while waiting:
+            left = self._place(waiting.pop())
+            if left is not None:  # no slot for it: twice the buckets, filled again from the stored entries
+                waiting += [left, *self.live()]
+                self._clear(2 * self.buckets)
 
     def _place(self, entry: list) -> list | None:
         mark, bucket = self._mark(entry[0]), self._home(entry[0])
