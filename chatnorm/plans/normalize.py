@@ -181,7 +181,7 @@ def _staged(spark: SparkSession, folder: str, failed: set[str]) -> DataFrame:
 def _status_of(error: Exception) -> tuple[str, str, str]:
     if isinstance(error, DatasetDeferred):
         return "deferred", str(error), error.reason
-    return "failed", "Could not be read, converted or written", str(error)[:2000]
+    return "failed", "Could not be read, converted or written", str(error)
 
 
 def output_paths(head, out_root: str, options: RunOptions) -> tuple[str, str, str]:

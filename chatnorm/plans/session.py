@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -29,10 +30,12 @@ def build_session(app: str = "chatnorm", master: str | None = None, **conf: str)
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the cluster's checkpoint folder, which all executors can reach.
 
-    Only where the session names none (tests on one machine) a temporary folder is used.
+    Only on a single machine that names none (tests) a temporary folder is used.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="chatnorm-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/chatnorm/{uuid.uuid4().hex}"

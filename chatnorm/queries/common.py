@@ -6,19 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scoring
-from ..sources.readers import balanced
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns) -> DataFrame:
-    """Columns of a table for expressions that cost far more than a shuffle of a small table."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return balanced(spark.read.parquet(path).select(*columns), path)
-
-
 def gathered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``conv_id, messages``: the turns of a conversation in order. A conversation is one record
     and has to fit into one row, here as in every input that stores it as a list."""

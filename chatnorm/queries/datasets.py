@@ -8,7 +8,7 @@ from ..plans import tracking
 from ..sources.catalog import links_to_ids, missing_domains, parse_domains
 from ..sources.readers import json_documents, json_lines, unite
 from ..types import JSON_ROW
-from .common import spread_table, table
+from .common import table
 
 
 def dataset_catalog(spark, sf_dir):
@@ -32,7 +32,7 @@ def domain_config(spark, sf_dir):
               '{"task_type": "math", "dataset_ids": []}, {"name": "n", "task_type": "poetry"}, '
               '{"name": "n", "task_type": "math"}, {"name": "n", "task_type": "math", "dataset_ids": "a"}, 7]}'),
     )
-    documents = spread_table(spark, sf_dir, "documents", "doc_id", "lang", "source", "n_chars")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
     configs = documents.select("doc_id", text.alias("value"))
     return parse_domains(configs, keys=["doc_id"]).select(
         "doc_id",
@@ -87,7 +87,7 @@ def jsonl_load(spark, sf_dir):
         F.col("n_chars").cast("string"),
         F.lit('{"doc_id": '),
     )
-    documents = spread_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "n_chars")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
     text = documents.select(F.explode(lines).alias("value"))
     rows = json_lines(text).select(F.from_json(JSON_ROW, "doc_id BIGINT, text STRING, lang STRING").alias("r"))
     return rows.select("r.doc_id", "r.lang", F.sha1("r.text").alias("digest"))
@@ -106,7 +106,7 @@ def json_document_load(spark, sf_dir):
         F.lit('"text"'),
         F.concat(F.lit('{"data": 3, "doc_id": '), F.col("doc_id").cast("string"), F.lit("}")),
     )
-    docs = spread_table(spark, sf_dir, "documents", "doc_id", "lang").select(F.posexplode(forms).alias("form", "value"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang").select(F.posexplode(forms).alias("form", "value"))
     rows = json_documents(docs, keep=["form"])
     value = F.from_json(JSON_ROW, "doc_id BIGINT, lang STRING")
     return rows.select("form", F.col("__item").alias("item"), value.alias("r")).select(
@@ -195,7 +195,7 @@ def registry_import(spark, sf_dir):
             F.col("event_type"), F.lit('"}}'),
         )
     )
-    texts = spread_table(spark, sf_dir, "events", "event_id", "event_type").select(text.alias("value"))
+    texts = table(spark, sf_dir, "events").select("event_id", "event_type").select(text.alias("value"))
     return tracking.registry_entries(texts, "value")
 
 

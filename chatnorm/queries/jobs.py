@@ -14,7 +14,7 @@ from ..sources.outputs import existing_fingerprints
 from ..sources.readers import list_data_files, read_files
 from ..streaming.stream import drop_seen, start, stream_records
 from ..types import JSON_ROW, RECORD_COLUMNS, Mapping, local_frame
-from .common import SQL_PAIRS, gathered, spread_table, table, turn_pairs, write_json_lines
+from .common import SQL_PAIRS, gathered, table, turn_pairs, write_json_lines
 from .records import _SQL_CONVERSATION, _SQL_TWO_SIDED, _two
 
 _DOCS = Mapping(
@@ -29,7 +29,7 @@ _DOCS = Mapping(
 
 
 def _document_records(spark, sf_dir):
-    documents = spread_table(spark, sf_dir, "documents", "text", "lang", "source")
+    documents = table(spark, sf_dir, "documents").select("text", "lang", "source")
     return export_records(convert_table(documents, _DOCS))
 
 

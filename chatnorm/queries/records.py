@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import messages as msg
 from ..operators.convert import convert_json, convert_table, export_records
 from ..types import JSON_ROW, Mapping, mappings_frame
-from .common import SQL_PAIRS, gathered, spread_table, sql_json, table, turn_pairs
+from .common import SQL_PAIRS, gathered, sql_json, table, turn_pairs
 
 # A conversation as its exported JSON text, from ordered turns.
 _SQL_CONVERSATION = f"""'[' || string_agg('{{"role": "' || role || '", "content": ' || {sql_json('text')} || '}}', ', ' ORDER BY turn) || ']'"""
@@ -48,7 +48,7 @@ def metadata_build(spark, sf_dir):
     """Metadata values of every kind: short and long text, numbers, booleans, lists, nulls."""
     labels = table(spark, sf_dir, "labels")
     rows = (
-        spread_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "n_chars")
+        table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
         .join(labels, "doc_id", "left")
         .select(
             "doc_id", "text", "lang", "source", "n_chars", "quality",

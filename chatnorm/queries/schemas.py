@@ -10,7 +10,6 @@ from ..operators.proposals import json_object_in, resolve_mappings, validate_pro
 from ..types import JSON_ROW, TASK_TYPES
 from .common import (
     SQL_PAIRS,
-    spread_table,
     sql_code_score,
     sql_language_score,
     sql_math_score,
@@ -23,7 +22,7 @@ from .common import (
 
 def column_scores(spark, sf_dir):
     """Mean scores of every column of the documents per language and task type, over all rows."""
-    documents = spread_table(spark, sf_dir, "documents", "lang", "text", "source", "n_chars")
+    documents = table(spark, sf_dir, "documents").select("lang", "text", "source", "n_chars")
     parts = [
         profile_table(documents, task, ["lang"]).withColumn("task_type", F.lit(task))
         for task in TASK_TYPES
@@ -96,7 +95,7 @@ def _proposals(spark, sf_dir):
         .when(F.col("n_chars") % 3 == 1, F.col("text"))
         .otherwise(F.lit('{"is_target_dataset": true, "task_type": "math", "language": null}'))
     )
-    documents = spread_table(spark, sf_dir, "documents", "doc_id", "lang", "n_chars", "text")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars", "text")
     return documents.select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("dataset_id"),
         F.lit("math").alias("task_type"),
@@ -153,7 +152,7 @@ def json_extract(spark, sf_dir):
         F.concat(F.lit("["), made, F.lit("]")),
     )
     return (
-        spread_table(spark, sf_dir, "pages", "page_id", "html", "url")
+        table(spark, sf_dir, "pages").select("page_id", "html", "url")
         .select("page_id", F.posexplode(forms).alias("form", "raw"))
         .select("page_id", "form", F.get_json_object(json_object_in(F.col("raw")), "$.url").alias("url"))
     )

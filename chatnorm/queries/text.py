@@ -14,7 +14,6 @@ from .common import (
     sql_language_score,
     sql_math_score,
     sql_prompt_score,
-    spread_table,
     sql_vectorish,
     table,
 )
@@ -22,13 +21,8 @@ from .common import (
 
 def _all_texts(spark, sf_dir):
     """Every text of the tables with prose, markup and JSON."""
-    documents = spread_table(
-        spark, sf_dir, "documents", F.lit("documents").alias("origin"), F.col("doc_id").alias("id"), "text"
-    )
-    pages = spread_table(
-        spark, sf_dir, "pages",
-        F.lit("pages").alias("origin"), F.col("page_id").alias("id"), F.col("html").alias("text"),
-    )
+    documents = table(spark, sf_dir, "documents").select(F.lit("documents").alias("origin"), F.col("doc_id").alias("id"), "text")
+    pages = table(spark, sf_dir, "pages").select(F.lit("pages").alias("origin"), F.col("page_id").alias("id"), F.col("html").alias("text"))
     events = table(spark, sf_dir, "events").select(
         F.lit("events").alias("origin"), F.col("event_id").alias("id"), F.col("props").alias("text")
     )
@@ -151,7 +145,7 @@ def json_text_parse(spark, sf_dir):
         F.col("event_type"),
     )
     return (
-        spread_table(spark, sf_dir, "events", "event_id", "props", "event_type")
+        table(spark, sf_dir, "events").select("event_id", "props", "event_type")
         .select("event_id", F.posexplode(forms).alias("form", "raw"))
         .select("event_id", "form", X.is_json_collection(F.col("raw")).alias("is_json"))
     )
@@ -162,10 +156,8 @@ def value_to_text(spark, sf_dir):
     price = F.col("l_extendedprice")
     doubles = {"small": price / F.lit(1e9), "plain": price, "large": price * F.lit(1e9), "huge": price * F.lit(1e15)}
     flag = F.col("l_returnflag") == "R"
-    rows = spread_table(
-        spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag",
-        "l_partkey", "l_linestatus",
-    )
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag",
+        "l_partkey", "l_linestatus")
     return rows.select(
         "l_orderkey",
         "l_linenumber",

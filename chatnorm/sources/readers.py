@@ -24,7 +24,6 @@ RAW_CONFIG = "__raw__"
 # Parquet files are cut into blocks of 2**20 rows; text files use the start of their input block.
 BLOCK_BITS = 20
 
-FULL_SPLIT_BYTES = 128 << 20
 
 
 class DatasetDeferred(RuntimeError):
@@ -322,25 +321,6 @@ def stream_files(spark: SparkSession, folder: str, fmt: str, schema=None, max_fi
     return reader.schema(schema).parquet(folder)
 
 
-def balanced(df: DataFrame, path: str) -> DataFrame:
-    """Spread the rows of a small input over all cores.
-
-    A Parquet row group or a small file is read by one task, so costly expressions over a small
-    input would run on one core. Inputs that already give every core a full-size split, as any
-    large table does, are returned as they are and not shuffled.
-    """
-    spark = df.sparkSession
-    size = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .agg(F.coalesce(F.sum("length"), F.lit(0)))
-        .first()[0]
-    )
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if size < cores * FULL_SPLIT_BYTES else df
-
-
 # --- samples -------------------------------------------------------------------------------------
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation
@@ -52,13 +53,16 @@ def start(
     csv_path: str,
     parquet_path: str,
     progress: Callable[[int, int], None] | None = None,
+    run: str | None = None,
 ) -> StreamingQuery:
     """Write each micro-batch to one or two sinks and stop when the input is used up.
 
-    Each batch has its own folder, which a repeated batch overwrites, so a batch that is run
-    again after a failure leaves no second copy. Give every named run its own ``checkpoint``;
-    starting again with the same one resumes it. ``progress`` gets (batch id, rows).
+    Each batch of a run has its own folder, which a repeated batch overwrites, so a batch that is
+    run again after a failure leaves no second copy, and runs leave each other's rows alone. Give
+    every run its own ``checkpoint``; starting again with the same one resumes it. ``run`` names
+    the folder of a run (default: derived from its checkpoint). ``progress`` gets (batch id, rows).
     """
+    run = run or hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         observation = Observation()
@@ -69,8 +73,8 @@ def start(
             write_records(
                 batch_rows,
                 output_format,
-                f"{csv_path}/batch_id={batch_id}",
-                f"{parquet_path}/batch_id={batch_id}",
+                f"{csv_path}/run={run}/batch_id={batch_id}",
+                f"{parquet_path}/run={run}/batch_id={batch_id}",
                 mode="overwrite",
             )
         finally:
