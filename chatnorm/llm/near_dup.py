@@ -236,7 +236,8 @@ def components(df: DataFrame, percent: int = 75, id_col: str = "doc_id", text_co
     firsts = firsts.select("band", (-F.col("f.col2")).alias("first"), F.col("f.n").alias("first_n"))
     close = 100 * F.least("n", "first_n") >= percent * F.greatest("n", "first_n")  # else the sizes alone rule it out
 
-    involved = buckets.select(F.col("node").alias("i")).distinct()
+    # The hint deals the texts by id, so a task writes only the buckets it holds, one file each.
+    involved = buckets.select(F.col("node").alias("i")).distinct().hint("merge")
     texts = _Texts(spark, df.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).join(involved, "i"))
     pairs = buckets.join(firsts, "band").where("node <> first").where(close)
     tested = written(pairs.select(F.least("first", "node").alias("a"), F.greatest("first", "node").alias("b")).distinct())
