@@ -2,13 +2,15 @@
 
 A document's set holds its distinct shingles of five words. Under each of ``PERMUTATIONS`` random orders
 of the shingles both the least and the greatest one are kept, so a hash evaluation gives two signature
-values, each equal between two documents with a probability equal to the similarity of their sets. Bands
-of ``BAND_ROWS`` values put documents into buckets; documents of similarity 0.75 share one of the buckets
-with a probability of 1 - 5e-6. Candidates are confirmed on their full sets.
+values, each equal between two documents with a probability equal to the similarity of their sets. Each of
+``BANDS`` bands takes ``BAND_ROWS`` of the values and puts documents into buckets; documents of similarity
+0.75 share none of the buckets with a probability of about 6e-5. One bit of each value is kept as well: of a pair with
+the least similarity, more bits than a limit differ with a probability below ``UNLIKELY``, and a pair
+that merely shares a passage is told apart by them before any text is read. Candidates are confirmed on their full sets.
 
 Groups may hold a third of all rows. So documents with equal sets are one node (their smallest id), and
 within a bucket candidates are not all pairs: first each member meets the one that shares most buckets with others, then only
-members that are still in different components meet the next members, four times as many in each round,
+members that are still in different components meet the next members, 32 times as many in each round,
 until every member has been met or the bucket is one component. No link between components is lost
 this way. A node that meets very many others is salted.
 
@@ -20,6 +22,7 @@ that has several texts, linked if any of them is. Other columns are not looked a
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +35,11 @@ from .common import mix64, slices, table, written
 
 WORDS = 5
 PERMUTATIONS = 64
-BAND_ROWS = 4
+BANDS = 80
+BAND_ROWS = 6
+#: How unlikely it may be that the signature bits rule a pair of the least similarity out.
+UNLIKELY = 1e-6
+GROWTH = 32
 SALT_ROWS = 256
 
 _ODD = np.random.Generator(np.random.PCG64(20240731))
@@ -41,6 +48,7 @@ _PLACES = _ODD.integers(0, 1 << 63, WORDS + 1, np.uint64) * np.uint64(2) + np.ui
 _SCALE = _ODD.integers(0, 1 << 63, PERMUTATIONS, np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFT = _ODD.integers(0, 1 << 63, PERMUTATIONS, np.uint64)
 _BAND = _ODD.integers(0, 1 << 63, BAND_ROWS + 1, np.uint64) * np.uint64(2) + np.uint64(1)
+_MEMBERS = np.array([_ODD.choice(2 * PERMUTATIONS, BAND_ROWS, replace=False) for _ in range(BANDS)])
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -103,23 +111,45 @@ def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return owner[new], found[new]
 
 
-def band_keys(starts: np.ndarray, found: np.ndarray) -> np.ndarray:
-    """Bucket keys of the sets that begin at ``starts``: a row per set, a column per band."""
-    bands_of_one_end = PERMUTATIONS // BAND_ROWS
-    keys = np.zeros((len(starts), 2 * bands_of_one_end), np.uint64)
+def signatures(starts: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Least and greatest values of the sets that begin at ``starts``: a row per set, a column per value."""
+    values = np.empty((len(starts), 2 * PERMUTATIONS), np.uint64)
     for p in range(PERMUTATIONS):
-        values = found * _SCALE[p] + _SHIFT[p]
-        band, row = divmod(p, BAND_ROWS)
-        keys[:, band] += mix64(np.minimum.reduceat(values, starts)) * _BAND[row]
-        keys[:, bands_of_one_end + band] += mix64(np.maximum.reduceat(values, starts)) * _BAND[row]
-    return mix64(keys + np.arange(keys.shape[1], dtype=np.uint64) * _BAND[BAND_ROWS])
+        order = found * _SCALE[p] + _SHIFT[p]
+        values[:, 2 * p] = np.minimum.reduceat(order, starts)
+        values[:, 2 * p + 1] = np.maximum.reduceat(order, starts)
+    return mix64(values)
 
 
-_PROFILE = "i bigint, n bigint, k1 bigint, k2 bigint, bands array<bigint>"
+def band_keys(values: np.ndarray) -> np.ndarray:
+    """Bucket keys of signatures: a row per set, a column per band."""
+    keys = np.arange(BANDS, dtype=np.uint64) * _BAND[BAND_ROWS] + np.zeros((len(values), 1), np.uint64)
+    for row in range(BAND_ROWS):
+        keys += values[:, _MEMBERS[:, row]] * _BAND[row]
+    return mix64(keys)
+
+
+def bit_words(values: np.ndarray) -> np.ndarray:
+    """One bit of each signature value: a row per set, two words of 64 bits."""
+    bits = (values & np.uint64(1)).reshape(len(values), 2, PERMUTATIONS)
+    return (bits << np.arange(PERMUTATIONS, dtype=np.uint64)).sum(2, dtype=np.uint64)
+
+
+def binomial_limit(unlike: float) -> int:
+    """The number of bits that a pair exceeds with a probability below ``UNLIKELY``, if values differ with ``unlike``."""
+    n, p = 2 * PERMUTATIONS, unlike / 2  # half of the values that differ agree in a bit
+    tail, limit = 0.0, n
+    while limit >= 0 and tail + (chance := math.comb(n, limit) * p**limit * (1 - p) ** (n - limit)) < UNLIKELY:
+        tail, limit = tail + chance, limit - 1
+    return limit
+
+
+_PROFILE = "i bigint, n bigint, k1 bigint, k2 bigint, s1 bigint, s2 bigint, bands array<bigint>"
 
 
 def profiles(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``i, n, k1, k2, bands`` of each row: size and digest of its set, and its bucket keys (none if it is empty)."""
+    """``i, n, k1, k2, s1, s2, bands`` of each row: size and digest of its set, signature bits, and its bucket keys
+    (none if it is empty)."""
 
     def profiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, "t"):
@@ -127,12 +157,14 @@ def profiles(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             n = np.bincount(owner, minlength=len(texts))
             full = np.flatnonzero(n)
             starts = (np.cumsum(n) - n)[full]
-            k = np.zeros((2, len(texts)), np.uint64)
+            k = np.zeros((4, len(texts)), np.uint64)
             counts = np.zeros(len(texts), np.int64)
             if len(full):
                 k[0, full] = np.add.reduceat(mix64(found), starts)
                 k[1, full] = np.add.reduceat(mix64(found ^ _BASE), starts)
-                keys = band_keys(starts, found)
+                values = signatures(starts, found)
+                k[2:, full] = bit_words(values).T
+                keys = band_keys(values)
                 counts[full] = keys.shape[1]
                 flat = keys.reshape(-1).view(np.int64)
             else:
@@ -141,11 +173,10 @@ def profiles(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 [
                     batch.column(0),
                     pa.array(n.astype(np.int64)),
-                    pa.array(k[0].view(np.int64)),
-                    pa.array(k[1].view(np.int64)),
+                    *[pa.array(x.view(np.int64)) for x in k],
                     pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(flat)),
                 ],
-                ["i", "n", "k1", "k2", "bands"],
+                ["i", "n", "k1", "k2", "s1", "s2", "bands"],
             )
 
     named = df.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"))
@@ -225,16 +256,23 @@ def components(df: DataFrame, percent: int = 75, id_col: str = "doc_id", text_co
     full = rows.where("n > 0 AND i IS NOT NULL")
     # One node per set: its smallest id.
     nodes = full.groupBy("k1", "k2", "n").agg(F.min("i").alias("node"))
-    members = written(full.join(nodes, ["k1", "k2", "n"]).select("i", "n", "node", F.when(F.col("i") == F.col("node"), F.col("bands")).alias("bands")))
-    entries = members.where("bands IS NOT NULL").select("node", "n", F.explode("bands").alias("band"))
+    own_bands = F.when(F.col("i") == F.col("node"), F.col("bands")).alias("bands")
+    members = written(full.join(nodes, ["k1", "k2", "n"]).select("i", "n", "s1", "s2", "node", own_bands))
+    nodes = members.where("bands IS NOT NULL")
+    entries = nodes.select("node", F.explode("bands").alias("band"))
     shared = entries.groupBy("band").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count("*").alias("mates"))
     buckets = written(entries.join(shared.where("a <> b").select("band", "mates"), "band"))
     # Members that share most buckets come first: the source of a group of copies is nearer to them than they are to each other.
     degrees = buckets.groupBy("node").agg(F.sum("mates").alias("degree"))
-    buckets = written(buckets.drop("mates").join(degrees, "node").select("band", "node", "n", "degree").distinct())
-    firsts = buckets.groupBy("band").agg(F.max(F.struct("degree", -F.col("node"), "n")).alias("f"))
-    firsts = firsts.select("band", (-F.col("f.col2")).alias("first"), F.col("f.n").alias("first_n"))
-    close = 100 * F.least("n", "first_n") >= percent * F.greatest("n", "first_n")  # else the sizes alone rule it out
+    degrees = degrees.join(nodes.select("node", F.struct("n", "s1", "s2").alias("profile")), "node")
+    buckets = written(buckets.drop("mates").join(degrees, "node").select("band", "node", "profile", "degree").distinct())
+    firsts = buckets.groupBy("band").agg(F.max(F.struct("degree", -F.col("node"), "profile")).alias("f"))
+    firsts = firsts.select("band", (-F.col("f.col2")).alias("first"), F.col("f.profile").alias("other_profile"))
+    # Else the sizes or the signature bits rule a pair out.
+    one, two = (lambda c: F.col(f"profile.{c}")), (lambda c: F.col(f"other_profile.{c}"))
+    differ = F.bit_count(one("s1").bitwiseXOR(two("s1"))) + F.bit_count(one("s2").bitwiseXOR(two("s2")))
+    most = binomial_limit(1 - percent / 100)
+    close = (100 * F.least(one("n"), two("n")) >= percent * F.greatest(one("n"), two("n"))) & (differ <= most)
 
     # The hint deals the texts by id, so a task writes only the buckets it holds, one file each.
     involved = buckets.select(F.col("node").alias("i")).distinct().hint("merge")
@@ -244,7 +282,7 @@ def components(df: DataFrame, percent: int = 75, id_col: str = "doc_id", text_co
     links = written(texts.confirmed(tested, percent))
     met, roots = 1, connected(links)
     while True:
-        labelled = buckets.join(roots, "node", "left").select("band", "node", "n", "degree", F.coalesce("root", "node").alias("root"))
+        labelled = buckets.join(roots, "node", "left").select("band", "node", "profile", "degree", F.coalesce("root", "node").alias("root"))
         open_ = (
             labelled.groupBy("band")
             .agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("mates"))
@@ -257,21 +295,24 @@ def components(df: DataFrame, percent: int = 75, id_col: str = "doc_id", text_co
         rank = F.row_number().over(Window.partitionBy("band").orderBy(F.desc("degree"), "node"))
         following = (
             labelled.withColumn("rank", rank)
-            .where(F.col("rank") <= 4 * met)
+            .where(F.col("rank") <= GROWTH * met)
             .where(F.col("rank") > met)
-            .select("band", F.col("node").alias("other"), F.col("n").alias("first_n"), F.col("root").alias("other_root"))
+            .select("band", F.col("node").alias("other"), F.col("profile").alias("other_profile"), F.col("root").alias("other_root"))
         )
         pairs = (
             labelled.join(following, "band")
-            .where("root <> other_root")
-            .where(close)
+            .where((F.col("root") != F.col("other_root")) & close)
             .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
             .distinct()
         )
         pairs = written(pairs.join(tested, ["a", "b"], "left_anti"))
-        links = written(links.unionByName(texts.confirmed(pairs, percent)))
-        tested = tested.unionByName(pairs)
-        met, roots = 4 * met, connected(links)
+        tested, met = tested.unionByName(pairs), GROWTH * met
+        if pairs.isEmpty():
+            continue
+        found = written(texts.confirmed(pairs, percent))
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            roots = connected(links)
 
     texts.drop()
     linked = members.join(roots, "node", "left").select("i", "n", F.coalesce("root", "node").alias("root"))

@@ -300,8 +300,14 @@ def test_signatures_estimate_similarity():
     owner, found = near_dup.shingles([a, b])
     x, y = (set(found[owner == k].tolist()) for k in (0, 1))
     assert len(x & y) / len(x | y) == 356 / 436
-    keys = near_dup.band_keys(np.searchsorted(owner, [0, 1]), found)
-    assert keys.shape == (2, 32) and 3 <= (keys[0] == keys[1]).sum() <= 28
+    values = near_dup.signatures(np.searchsorted(owner, [0, 1]), found)
+    assert abs((values[0] == values[1]).mean() - 356 / 436) < 0.12
+    keys = near_dup.band_keys(values)
+    assert keys.shape == (2, near_dup.BANDS) and 5 <= (keys[0] == keys[1]).sum() < near_dup.BANDS
+    one, two = near_dup.bit_words(values)
+    differ = int(one[0] ^ two[0]).bit_count() + int(one[1] ^ two[1]).bit_count()
+    assert differ == ((values[0] ^ values[1]) & np.uint64(1)).sum() <= near_dup.binomial_limit(0.25)
+    assert near_dup.binomial_limit(0.0) == 0 and 30 < near_dup.binomial_limit(0.25) < 45
 
 
 # Repeated passages.
