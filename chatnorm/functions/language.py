@@ -7,25 +7,44 @@ from pyspark.sql import functions as F
 
 from .text import literal_map, strip
 
-# Label -> spellings that stand for it.
-LANGUAGE_SPELLINGS = {
-    "english": ["en", "eng", "english", "en-us", "en-gb"],
-    "hindi": ["hi", "hin", "hindi"],
-    "spanish": ["es", "spa", "spanish"],
-    "french": ["fr", "fra", "french"],
-    "german": ["de", "deu", "german"],
-    "chinese": ["zh", "zho", "chinese"],
-    "japanese": ["ja", "jpn", "japanese"],
-    "korean": ["ko", "kor", "korean"],
-    "multilingual": ["multilingual", "multiple", "mixed"],
-    "unknown": ["unknown"],
+# Spelling -> label.
+LANGUAGE_LABELS = {
+    "en": "english",
+    "eng": "english",
+    "english": "english",
+    "en-us": "english",
+    "en-gb": "english",
+    "hindi": "hindi",
+    "hi": "hindi",
+    "hin": "hindi",
+    "spanish": "spanish",
+    "es": "spanish",
+    "spa": "spanish",
+    "french": "french",
+    "fr": "french",
+    "fra": "french",
+    "de": "german",
+    "deu": "german",
+    "german": "german",
+    "zh": "chinese",
+    "zho": "chinese",
+    "chinese": "chinese",
+    "ja": "japanese",
+    "jpn": "japanese",
+    "japanese": "japanese",
+    "ko": "korean",
+    "kor": "korean",
+    "korean": "korean",
+    "multilingual": "multilingual",
+    "multiple": "multilingual",
+    "mixed": "multilingual",
+    "unknown": "unknown",
 }
 LANGUAGE_COLUMNS = ("language", "lang", "locale")
 
 
 def _label(c: Column) -> Column:
-    pairs = {s: label for label, spellings in LANGUAGE_SPELLINGS.items() for s in spellings}
-    return literal_map(pairs)[c]
+    return literal_map(LANGUAGE_LABELS)[c]
 
 
 def normalize_language(text: Column) -> Column:

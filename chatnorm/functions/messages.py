@@ -22,9 +22,14 @@ from .text import (
 )
 
 # Fixed values.
-ROLE_SPELLINGS = {
-    "user": ["human", "user", "prompt"],
-    "assistant": ["assistant", "model", "gpt", "bot"],
+ROLE_LABELS = {
+    "human": "user",
+    "user": "user",
+    "prompt": "user",
+    "assistant": "assistant",
+    "model": "assistant",
+    "gpt": "assistant",
+    "bot": "assistant",
 }
 ROLE_KEYS = ["role", "from", "speaker"]
 CONTENT_KEYS = ["content", "value", "text"]
@@ -39,7 +44,7 @@ _ITEMS = "array<struct<m:map<string,string>,t:map<string,variant>>>"
 def role_alias(role: Column, role_mapping: dict[str, str] | None = None) -> Column:
     """Known spellings of a role become ``user`` / ``assistant``; other roles stay."""
     if role_mapping is None:
-        pairs = {s: name for name, spellings in ROLE_SPELLINGS.items() for s in spellings}
+        pairs = ROLE_LABELS
     else:
         pairs = {s.lower(): name for s, name in role_mapping.items()}
     lower = F.lower(role)
