@@ -137,67 +137,153 @@ class Pieces:
         return text[1:] if text.startswith(" ") else text
 
 
+class Trie:
+    """The vocabulary as a trie whose steps are looked up for many places at once."""
+
+    def __init__(self, pieces: Pieces):
+        steps: dict[int, int] = {}
+        ends = {}
+        for string, piece in pieces.ids.items():
+            state = 0
+            for c in string:
+                state = steps.setdefault(state << 21 | ord(c), len(steps) + 1)
+            ends[state] = piece
+        self.keys = np.array(sorted(steps), np.int64)
+        self.next = np.array([steps[k] for k in self.keys.tolist()], np.int64)
+        self.ends = np.full(len(steps) + 1, -1, np.int32)
+        self.ends[list(ends)] = list(ends.values())
+        self.maybe = np.zeros(1 << 22, bool)
+        self.maybe[self._slot(self.keys)] = True
+
+    @staticmethod
+    def _slot(keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * _STEP) >> np.uint64(42)
+
+    def step(self, states: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the states go on with their code point, and to which states."""
+        keys = states << 21 | codes
+        on = np.flatnonzero(self.maybe[self._slot(keys)])
+        keys = keys[on]
+        at = np.searchsorted(self.keys, keys)
+        at[at == len(self.keys)] = 0
+        real = self.keys[at] == keys
+        return on[real], self.next[at[real]]
+
+
+class Words(dict):
+    """Numbers of words in the order in which they were first asked for."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        self[word] = n = len(self)
+        return n
+
+
 class Sampler:
     """Lattices of words and the search. Nodes are places in words, edges pieces that start there."""
 
     def __init__(self, pieces: Pieces):
-        self.pieces = pieces
+        self.pieces, self.trie = pieces, Trie(pieces)
+        self.logs = np.array(pieces.log)
         self._forget()
 
     def _forget(self) -> None:
-        self.words: dict[str, int] = {}
+        self.words = Words()
         self._node, self._size = array("i"), array("i")  # of a word: first node, length
         self._first = array("i")  # of a node: first edge
         self._piece, self._step = array("i"), array("i")  # of an edge
         self._log = array("d")  # its log probability at its node
-        self.up_to, self.only, self._done = np.zeros(0), np.zeros(0, bool), (0, 0)
-
-    def _add(self, word: str) -> int:
-        pieces, n = self.pieces, len(word)
-        get, logs, longest, exp = pieces.ids.get, pieces.log, pieces.longest, math.exp
-        ahead = [0.0] * (n + 1)  # log of the sum over all paths from here to the end
-        found: list[list[tuple[float, int, int]]] = [[]] * n
-        for i in range(n - 1, -1, -1):
-            edges = [
-                (logs[piece] + ahead[j], piece, j - i)
-                for j in range(min(n, i + longest), i, -1)
-                if (piece := get(word[i:j])) is not None
-            ]
-            if not edges or edges[-1][2] > 1:
-                spelled = word[i].encode("utf-8", "surrogatepass")
+        self.up_to, self.rest, self._done = np.zeros(0), np.zeros(0), (0, 0)
+
+    def _edges(self, codes: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Place, length, piece and log probability of each edge, by place and from the longest to the shortest;
+        ``left`` has the number of characters to the end of the word."""
+        pieces = self.pieces
+        place, state, length = np.arange(len(codes)), np.zeros(len(codes), np.int64), 0
+        found = []
+        while len(place):
+            on, state = self.trie.step(state, codes[place + length])
+            place, length = place[on], length + 1
+            piece = self.trie.ends[state]
+            hit = piece >= 0
+            found.append((place[hit], np.full(int(hit.sum()), length), piece[hit], self.logs[piece[hit]]))
+            if length == 1:
+                bare = np.ones(len(codes), bool)
+                bare[found[0][0]] = False
+                bare = np.flatnonzero(bare)
+                code = codes[bare]
+                n_bytes = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
                 if pieces.bytes:
-                    piece = pieces.bytes[spelled[0]] if len(spelled) == 1 else -ord(word[i])
+                    spelled = -code
+                    spelled[code < 0x80] = [pieces.bytes[c] for c in code[code < 0x80].tolist()]
                 else:
-                    piece = pieces.unknown
-                edges.append((len(spelled) * pieces.log_byte + ahead[i + 1], piece, 1))
-            if len(edges) == 1:
-                ahead[i] = edges[0][0]
-            else:
-                top = max(edges)[0]
-                ahead[i] = top + math.log(sum([exp(e[0] - top) for e in edges]))
-            found[i] = edges
-        self._node.append(len(self._first))
-        self._size.append(n)
-        at = len(self._piece)
-        for edges in found:
-            self._first.append(at)
-            at += len(edges)
-        self._piece.extend([e[1] for edges in found for e in edges])
-        self._step.extend([e[2] for edges in found for e in edges])
-        self._log.extend([e[0] - here for edges, here in zip(found, ahead) for e in edges])  # noqa: B905
-        self.words[word] = len(self._node) - 1
-        return len(self._node) - 1
+                    spelled = np.full(len(code), pieces.unknown)
+                found.append((bare, np.ones(len(bare), np.int64), spelled, n_bytes * pieces.log_byte))
+            on = left[place] > length
+            place, state = place[on], state[on]
+        place, length, piece, log = (np.concatenate(c) for c in zip(*found, strict=True))
+        order = np.argsort(place * (pieces.longest + 1) - length, kind="stable")
+        return place[order], length[order], piece[order], log[order]
+
+    def _build(self) -> None:
+        """Lattices of the words that are new, all at a time: at each distance from the ends of the words the log
+        of the sum over all paths from there to the end."""
+        new, self.words.new = self.words.new, []
+        if not new:
+            return
+        codes = np.frombuffer("".join(new).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        sizes = np.array([len(w) for w in new])
+        starts = np.cumsum(sizes) - sizes
+        left = np.repeat(starts + sizes, sizes) - np.arange(len(codes))
+        place, length, piece, log = self._edges(codes, left)
+        counts = np.bincount(place, minlength=len(codes))
+        first = np.cumsum(counts) - counts
+
+        nodes = np.argsort(left, kind="stable")
+        own = counts[nodes]
+        begin = np.cumsum(own) - own
+        edges = np.repeat(first[nodes] - begin, own) + np.arange(len(place))
+        log_of, to = log[edges], place[edges] + length[edges]
+        at_end = left[place[edges]] == length[edges]
+        to[at_end] = len(codes)
+        ahead = np.zeros(len(codes) + 1)
+        node_at = np.concatenate([[0], np.cumsum(np.bincount(left)[1:])])
+        edge_at = np.append(begin, len(place))[node_at]
+        for d in range(len(node_at) - 1):
+            here = slice(node_at[d], node_at[d + 1])
+            value = log_of[edge_at[d] : edge_at[d + 1]] + ahead[to[edge_at[d] : edge_at[d + 1]]]
+            at = begin[here] - edge_at[d]
+            top = np.maximum.reduceat(value, at)
+            ahead[nodes[here]] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, own[here])), at))
+        end = np.where(left[place] == length, 0.0, ahead[np.minimum(place + length, len(codes))])
+
+        self._node.frombytes((starts + len(self._first)).astype(np.int32).tobytes())
+        self._size.frombytes(sizes.astype(np.int32).tobytes())
+        self._first.frombytes((first + len(self._piece)).astype(np.int32).tobytes())
+        self._piece.frombytes(piece.astype(np.int32).tobytes())
+        self._step.frombytes(length.astype(np.int32).tobytes())
+        self._log.frombytes((log + end - ahead[place]).tobytes())
 
     def _summed(self) -> None:
-        """For each new edge: the probabilities at its node up to it, and whether it is the only one there."""
+        """For each new edge: the probabilities at its node up to it, and those of the others there."""
         nodes, edges = self._done
         begin = self.first[nodes:].astype(np.int64) - edges
         sizes = np.diff(np.append(begin, len(self.piece) - edges))
-        sums = np.cumsum(np.exp(self.log[edges:]))
+        own = np.exp(self.log[edges:])
+        sums = np.cumsum(own)
         up_to = sums - np.repeat(np.concatenate([[0.0], sums])[begin], sizes)
         up_to[begin + sizes - 1] = 2.0  # the last edge takes what rounding leaves
         self.up_to = np.concatenate([self.up_to, up_to])
-        self.only = np.concatenate([self.only, np.repeat(sizes == 1, sizes)])
+        # Where an edge is nearly certain, the sum of the others is more exact than what it leaves of 1.
+        likely = own > 0.5
+        rest = np.where(likely, 0.0, 1.0 - own)
+        if len(begin):
+            rest[likely] = np.repeat(np.add.reduceat(np.where(likely, 0.0, own), begin), sizes)[likely]
+        self.rest = np.concatenate([self.rest, rest])
         self._done = len(self.first), len(self.piece)
 
     def sample(self, keys: np.ndarray, texts: list[str], k: int) -> list[list[tuple[float, float, np.ndarray]]]:
@@ -205,7 +291,7 @@ class Sampler:
         bound of the first path that was not taken (or minus infinity) and no pieces."""
         if len(self._piece) > CACHED_EDGES:
             self._forget()
-        cut, known, add = self.pieces.cut, self.words.get, self._add
+        cut, number = self.pieces.cut, self.words.__getitem__
         place_of: list[int] = []
         counts, lengths = [], []
         for text in texts:
@@ -213,9 +299,8 @@ class Sampler:
             own = cut.findall(normal)
             counts.append(len(own))
             lengths.append(len(normal))
-            for w in own:
-                i = known(w)
-                place_of.append(add(w) if i is None else i)
+            place_of.extend(map(number, own))
+        self._build()
         word = np.array(place_of, np.int64)
         view = lambda a, t: np.frombuffer(a, t) if len(a) else np.zeros(0, t)
         self.node, self.size, self.first = (view(a, np.int32) for a in (self._node, self._size, self._first))
@@ -322,12 +407,11 @@ class Sampler:
         while done < len(mass):
             if done and len(waiting) > k and mass[done] + MOST_NOISE < waiting[k][0]:
                 break
-            end = min(len(mass), done + 64)
+            end = min(len(mass), done + 256)
             now = slice(start + done, start + end)
-            rest = -np.expm1(np.minimum(logs[now], 0.0))
-            for i in np.flatnonzero((rest < 1e-6) & ~self.only[edges[now]]).tolist() + ([0] if done == 0 and taken else []):
-                gone = taken if done == 0 and i == 0 and taken else (int(edges[now][i]),)
-                rest[i] = sum(math.exp(self.log[e]) for e in self._ways(gone))
+            rest = self.rest[edges[now]]
+            if done == 0 and taken:
+                rest[0] = sum(math.exp(self.log[e]) for e in self._ways(taken))
             open_ = np.flatnonzero(rest > 0)
             u = noise(np.full(len(open_), key), sample, places[now][open_] - begin, 2)
             location = mass[done:end][open_] + np.log(rest[open_])
