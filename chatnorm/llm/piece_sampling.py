@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +46,8 @@ BLANK = "▁"
 CACHED_EDGES = 4_000_000
 #: The largest Gumbel value of a uniform number with 53 bits, and a little more.
 MOST_NOISE = 37.5
+#: Steps of a path that the search looks at in one go.
+BLOCK = 128
 
 #: Latin letters and ASCII characters other than letters are cut apart, unless others stand beside them.
 _L, _B = r"A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", r"\x00-@\[-`{-\x7f"
@@ -94,6 +97,7 @@ class Pieces:
         self.log = (np.log(weight / total) / temperature).tolist()
         self.log_byte = math.log(rare / total) / temperature
         self.longest = max(map(len, self.ids))
+        self._arrow = None
         self.cut = self._cut()
 
     def _cut(self) -> re.Pattern:
@@ -118,6 +122,27 @@ class Pieces:
             out += [i] if i >= 0 else [self.bytes[b] for b in chr(-i).encode("utf-8", "surrogatepass")]
         return np.array(out, np.int32)
 
+    def decode_all(self, lists: pa.ListArray) -> pa.Array:
+        """Texts of lists of pieces (null: null)."""
+        if self._arrow is None:
+            plain = [bytes([self.byte_of[i]]) if i in self.byte_of else x.replace(BLANK, " ").encode() for i, x in enumerate(self.strings)]
+            begun = [x.removeprefix(b" ") for x in plain]  # as the first piece of a text
+            self._arrow = pa.array(plain + begun, pa.large_binary())
+        places = lists.flatten().to_numpy().astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]).astype(np.int64)
+        places[ends[:-1][np.diff(ends) > 0]] += len(self.strings)
+        _, offsets, data = self._arrow.take(pa.array(places)).buffers()
+        offsets = np.frombuffer(offsets, np.int64)[ends]
+        texts = pa.Array.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(offsets.tobytes()), data])
+        try:
+            texts = texts.cast(pa.string())
+            plainly = not pc.any(pc.match_substring(texts, BLANK)).as_py()
+        except pa.ArrowInvalid:  # byte pieces that aren't UTF-8
+            plainly = False
+        if not plainly:
+            return pa.array([None if x is None else self.decode(x) for x in lists.to_pylist()], pa.string())
+        return pc.if_else(lists.is_valid(), texts, pa.scalar(None, pa.string()))
+
     def decode(self, ids: list[int]) -> str:
         strings, spelled = self.strings, self.byte_of
         if spelled.keys().isdisjoint(ids):
@@ -197,7 +222,7 @@ class Sampler:
         self._first = array("i")  # of a node: first edge
         self._piece, self._step = array("i"), array("i")  # of an edge
         self._log = array("d")  # its log probability at its node
-        self.up_to, self.rest, self._done = np.zeros(0), np.zeros(0), (0, 0)
+        self._up_to, self._rest, self._done = array("d"), array("d"), (0, 0)
 
     def _edges(self, codes: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Place, length, piece and log probability of each edge, by place and from the longest to the shortest;
@@ -277,13 +302,13 @@ class Sampler:
         sums = np.cumsum(own)
         up_to = sums - np.repeat(np.concatenate([[0.0], sums])[begin], sizes)
         up_to[begin + sizes - 1] = 2.0  # the last edge takes what rounding leaves
-        self.up_to = np.concatenate([self.up_to, up_to])
+        self._up_to.frombytes(up_to.tobytes())
         # Where an edge is nearly certain, the sum of the others is more exact than what it leaves of 1.
         likely = own > 0.5
         rest = np.where(likely, 0.0, 1.0 - own)
         if len(begin):
             rest[likely] = np.repeat(np.add.reduceat(np.where(likely, 0.0, own), begin), sizes)[likely]
-        self.rest = np.concatenate([self.rest, rest])
+        self._rest.frombytes(rest.tobytes())
         self._done = len(self.first), len(self.piece)
 
     def sample(self, keys: np.ndarray, texts: list[str], k: int) -> list[list[tuple[float, float, np.ndarray]]]:
@@ -307,10 +332,11 @@ class Sampler:
         self.piece, self.step = view(self._piece, np.int32), view(self._step, np.int32)
         self.log = view(self._log, np.float64)
         self._summed()
+        self.up_to, self.rest = view(self._up_to, np.float64), view(self._rest, np.float64)
         try:
             return self._sampled(keys, word, np.array(counts), np.array(lengths), k)
         finally:
-            self.node = self.size = self.first = self.piece = self.step = self.log = None
+            self.node = self.size = self.first = self.piece = self.step = self.log = self.up_to = self.rest = None
 
     def _walk(self, key: np.ndarray, sample: int, node: np.ndarray, place: np.ndarray, left: np.ndarray, begin: np.ndarray, edge_at: np.ndarray) -> None:
         """Draw paths from nodes to the ends of their words; ``edge_at`` gets each edge (plus one) at its place."""
@@ -355,7 +381,8 @@ class Sampler:
             for t in active:
                 own = slice(bounds[t], bounds[t + 1])
                 out[t].append((float(logs[own].sum()), value[t], self.piece[edges[own]]))
-                self._wait(waiting[t], keys[t], sample, used[own], logs[own], edges[own], branch[t], value[t], int(begin[t]), k)
+            self._wait(list(active), waiting, keys, sample, used, logs, edges, bounds, branch, value, begin, k)
+            for t in active:
                 if waiting[t] and sample + 1 < k:
                     value[t], parent, at, taken, before = waiting[t].pop(0)
                     edge = self._another(taken, keys[t], sample + 1, at - int(begin[t]))
@@ -398,31 +425,43 @@ class Sampler:
         )
         return edge_at
 
-    def _wait(self, waiting, key, sample, places, logs, edges, branch, value, begin, k) -> None:
-        """Put the parts beside a new path into the queue: at each of its steps, all ways but those taken."""
-        at, taken, before = branch
-        start = int(np.searchsorted(places, at))
-        mass = before + np.concatenate([[0.0], np.cumsum(logs[start:])])[:-1]
-        done = 0
-        while done < len(mass):
-            if done and len(waiting) > k and mass[done] + MOST_NOISE < waiting[k][0]:
-                break
-            end = min(len(mass), done + 256)
-            now = slice(start + done, start + end)
-            rest = self.rest[edges[now]]
-            if done == 0 and taken:
-                rest[0] = sum(math.exp(self.log[e]) for e in self._ways(taken))
-            open_ = np.flatnonzero(rest > 0)
-            u = noise(np.full(len(open_), key), sample, places[now][open_] - begin, 2)
-            location = mass[done:end][open_] + np.log(rest[open_])
-            bound = -np.logaddexp(-value, np.log(-np.log(u)) - location)
-            for i in np.argsort(-bound)[: k + 1].tolist():
-                j = int(open_[i])
-                gone = taken if done + j == 0 and taken else (int(edges[now][j]),)
-                waiting.append((float(bound[i]), sample, int(places[now][j]), gone, float(mass[done + j])))
-            waiting.sort(key=lambda w: -w[0])
-            del waiting[k + 1 :]
-            done = end
+    def _wait(self, texts, waiting, keys, sample, places, logs, edges, bounds, branch, value, begin, k) -> None:
+        """Put the parts beside the new paths into the queues: at each step, all ways but those taken. The steps of a
+        path are looked at in blocks, until no later one can win."""
+        start = np.searchsorted(places, np.array([branch[t][0] for t in texts], np.int64))
+        mass = np.array([branch[t][2] for t in texts], np.float64)
+        rows, first = np.array(texts, np.int64), True
+        while True:
+            on = np.flatnonzero(start < bounds[rows + 1])
+            rows, start, mass = rows[on], start[on], mass[on]
+            if not len(rows):
+                return
+            steps = start[:, None] + np.arange(BLOCK)
+            inside = steps < bounds[rows + 1][:, None]
+            steps = np.minimum(steps, len(places) - 1)
+            sums = np.cumsum(np.where(inside, logs[steps], 0.0), axis=1)
+            before = mass[:, None] + np.concatenate([np.zeros((len(rows), 1)), sums[:, :-1]], axis=1)
+            rest = np.where(inside, self.rest[edges[steps]], 0.0)
+            if first:
+                for i, t in enumerate(rows.tolist()):
+                    if branch[t][1]:
+                        rest[i, 0] = sum(math.exp(self.log[e]) for e in self._ways(branch[t][1]))
+            u = noise(keys[rows][:, None], sample, places[steps] - begin[rows][:, None], 2)
+            with np.errstate(divide="ignore"):
+                location = before + np.log(rest)
+            bound = -np.logaddexp(-np.array([value[t] for t in rows.tolist()])[:, None], np.log(-np.log(u)) - location)
+            best = np.argsort(-bound, axis=1, kind="stable")[:, : k + 1]
+            start, mass, on = start + BLOCK, mass + sums[:, -1], np.ones(len(rows), bool)
+            for i, t in enumerate(rows.tolist()):
+                queue = waiting[t]
+                for j in best[i].tolist():
+                    if rest[i, j] > 0:
+                        gone = branch[t][1] if first and j == 0 and branch[t][1] else (int(edges[steps[i, j]]),)
+                        queue.append((float(bound[i, j]), sample, int(places[steps[i, j]]), gone, float(before[i, j])))
+                queue.sort(key=lambda w: -w[0])
+                del queue[k + 1 :]
+                on[i] = len(queue) <= k or mass[i] + MOST_NOISE >= queue[k][0]
+            rows, start, mass, first = rows[on], start[on], mass[on], False
 
     def _ways(self, taken: tuple[int, ...]) -> list[int]:
         """The edges of a node but those taken (at least one)."""
@@ -500,9 +539,9 @@ def decode_pieces(df: DataFrame, pieces_col: str = "pieces", text_col: str = "de
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = [None if ids is None else own.decode(ids) for ids in part.column(place).to_pylist()]
+                texts = own.decode_all(part.column(place))
                 columns = [c for i, c in enumerate(part.columns) if i != place]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names)
+                yield pa.RecordBatch.from_arrays([*columns, texts], names)
 
     schema = kept.withColumn("text", F.lit("")).schema
     return named.mapInArrow(decoded, schema).toDF(*others, text_col)
