@@ -32,6 +32,7 @@ import re
 from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -477,13 +478,14 @@ class Sampler:
         return ways[min(int(np.searchsorted(sums, u * sums[-1])), len(ways) - 1)]
 
 
-_SAMPLERS: dict[tuple[str, float], Sampler] = {}
+@cache
+def vocabulary(path: str, temperature: float = 1.0) -> Pieces:
+    return Pieces(path, temperature)
 
 
+@cache
 def sampler(path: str, temperature: float) -> Sampler:
-    if (path, temperature) not in _SAMPLERS:
-        _SAMPLERS[path, temperature] = Sampler(Pieces(path, temperature))
-    return _SAMPLERS[path, temperature]
+    return Sampler(vocabulary(path, temperature))
 
 
 def log_inclusion(log_prob: float, bound: float) -> float:
@@ -501,7 +503,7 @@ def sample_pieces(
     kind = df.schema[id_col].dataType.simpleString()
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sampler(path or model_path(), temperature)
+        own = sampler(path or model_path(), float(temperature))
         for batch, texts in slices(batches, "t", 1 << 19):
             keys = mix64(np.array(batch.column(2).to_pylist(), np.int64).view(np.uint64))
             found = own.sample(keys, texts, k)
@@ -535,7 +537,7 @@ def decode_pieces(df: DataFrame, pieces_col: str = "pieces", text_col: str = "de
     names = [*kept.columns, "text"]
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sampler(path or model_path(), 1.0).pieces
+        own = vocabulary(path or model_path())
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
