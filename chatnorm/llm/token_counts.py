@@ -125,7 +125,8 @@ class PrefixCounter:
             state = states.get(prefix) if i <= longest else None
             if state is None:
                 state = [0, 0, 0]
-                for j in range(max(0, i - longest), i):
+                # One last token fits, and mostly a short one.
+                for j in range(i - 1, max(0, i - longest) - 1, -1):
                     piece = prefix[j:]
                     token = inner.get(piece)
                     if token is not None and not state[1]:
@@ -139,6 +140,8 @@ class PrefixCounter:
                         fits = pairs.get(key) if j else True
                         if self._side_by_side(last[j], token) if fits is None else fits:
                             state[2] = count[j] + 1
+                    if state[1] and state[2]:
+                        break
                 if i <= longest:
                     states[prefix] = state
             last.append(state[0])
@@ -168,7 +171,12 @@ class PrefixCounter:
         for m in self._words.finditer(low):
             out += [total] * (m.start() - at)  # white space other than ASCII
             word = m.group()
-            counts = self._word(word)
+            known = self._ids.get(word) if word.isascii() and word.isalpha() else None
+            if known is None:
+                counts = self._word(word)
+            else:
+                start = self._start[known] + 1
+                counts = self._pool[start : start + self._size[known] - 1].tolist()
             if word[0] == "'" and len(word) > 1 and word[1].isalpha():
                 # What is cut off inside a contraction is split otherwise: ' alone, then letters.
                 counts = [1] + [1 + c for c in self._word(word[1:])][:-1] + counts[-1:]
