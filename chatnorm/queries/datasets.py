@@ -57,20 +57,19 @@ def domain_missing(spark, sf_dir):
 
 
 def split_union(spark, sf_dir):
-    """The languages of the documents as splits with different columns, read as one dataset."""
+    """The languages of the documents as splits with different columns, read as one dataset. Documents in any
+    other language or without one are in the last split."""
     documents = table(spark, sf_dir, "documents").withColumn("n_chars", F.col("n_chars"))
 
-    def split(pos, name, *columns):
-        return documents.where(F.col("lang") == name).select(
-            *columns, F.lit(pos).alias("split_pos"), F.lit(name).alias("split")
-        )
+    def split(pos, which, *columns):
+        return documents.where(which).select(*columns, F.lit(pos).alias("split_pos"), F.col("lang").alias("split"))
 
     united = unite(
         [
-            split(0, "en", "doc_id", "source", "n_chars"),
-            split(1, "fr", "doc_id", "source"),
-            split(2, "de", "doc_id", "n_chars"),
-            split(3, "es", "doc_id"),
+            split(0, "lang = 'en'", "doc_id", "source", "n_chars"),
+            split(1, "lang = 'fr'", "doc_id", "source"),
+            split(2, "lang = 'de'", "doc_id", "n_chars"),
+            split(3, "lang IS NULL OR lang NOT IN ('en', 'fr', 'de')", "doc_id"),
         ]
     )
     return united.select("doc_id", "source", "n_chars", "split_pos", "split")
