@@ -2,10 +2,11 @@
 
 1. A character language model: counts of letter triples over all texts, with one class for each of
    a-z, one for other letters and one for everything else.
-2. Restoring: a disguised word (letters replaced by figures or signs, letters drawn out, letters set
-   apart by blanks, dots or dashes) is a lattice of letters it may stand for. Viterbi decoding finds the
-   path that is most likely under the channel and the language model. A word that is not disguised has
-   a lattice with one path and is its own restoration.
+2. Restoring: every word with a figure, a sign, a doubled letter or a format character (letters may be
+   replaced or drawn out), and every run of two and more pieces of up to ``PIECE`` characters parted by
+   white space, signs or format characters (letters may be set apart) is a lattice of letters it may
+   stand for. Viterbi decoding finds the path that is most likely under the channel and the language
+   model. Any other word has a lattice with one path and is its own restoration.
 3. Scoring: words and beginnings of words of the restored text that mark toxic texts, each with the
    share of toxic ones among the training texts that have it. They are put together as independent
    causes: ``1 - (1 - p0) * product(1 - p)``.
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -43,16 +45,31 @@ HELD_FEATURES = 300_000
 # The letters that a sign may stand for.
 SIGNS = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
-    "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c", "{": "c", "€": "e", "£": "l", "¡": "i",
+    "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c", "{": "c", "€": "e", "£": "l", "¡": "i", "#": "h",
 }
 GAPS = set(".-_*~'`,/\\ ")
+#: Characters that show nothing: soft hyphens, zero-width characters, marks of direction.
+FORMAT = "\u00ad\u061c\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2069\ufeff"
+#: Characters of a piece in a run of pieces.
+PIECE = 3
 #: Channel: log probability that a letter is written as such, that a sign stands for a letter or for
-#: itself, that a sign between letters stands for nothing, that a drawn-out letter is one or two.
-PLAIN, SIGN, ITSELF, NOTHING, ONE, TWO = (math.log(p) for p in (0.9, 0.3, 0.1, 0.5, 0.6, 0.4))
+#: itself, that a sign between letters stands for nothing, that a drawn-out letter is one or two, that a
+#: doubled letter is one, that white space beside more than a single character stands for nothing.
+PLAIN, SIGN, ITSELF, NOTHING, ONE, TWO, DRAWN, CLOSED = (math.log(p) for p in (0.9, 0.3, 0.1, 0.5, 0.6, 0.4, 0.3, 0.1))
 
 _WORD = re.compile(r"[^\W\d_]+")
-_DISGUISED = re.compile(r"[a-z][^\sa-z]*[0-9@$!|+(<{€£¡*.\-_~][^\sa-z]*[a-z]|[0-9@$!|+(<€£]+[a-z]{2}|([a-z])\1\1")
-_APART = re.compile(r"(?<![^\W_])[a-z0-9@$!](?:[ .\-_*][a-z0-9@$!]){3,}(?![^\W_])")
+_EDGES = ".,;:?\"')]}>\u00ab\u00bb\u2018\u2019\u201c\u201d\u201e\u2026"
+_UNSURE = re.compile(r"[^\w\s]|[\d_]|([^\W\d_])\1")
+_GAP = r"[\s.\-_*~'`,/\\%s]" % FORMAT
+_RUN = re.compile(rf"{_GAP}+|(.)\1*", re.DOTALL)
+_MEMBER = r"[^\W_]|[@$!|+(<{€£¡#]"
+_APART = re.compile(
+    rf"(?<![^\W_])(?:{_MEMBER}){{1,{PIECE}}}(?:{_GAP}+(?:{_MEMBER}){{1,{PIECE}}}(?![^\W_]))+(?![^\W_])"
+)
+#: The beginning of a piece that leaves the decoder one state: two letters, neither of them doubled.
+_SURE = re.compile(rf"(?<![^{_GAP[1:-1]}])([a-z])(?!\1)([a-z])(?!\2)")
+
+_SINGLE = {chr(96 + k): (chr(96 + k), [((k,), PLAIN)]) for k in range(1, 27)}
 
 
 def letter_classes(text: str) -> np.ndarray:
@@ -96,35 +113,51 @@ class Restorer:
         two = two / two.sum(1, keepdims=True)
         three = counts + 5 * two[None]
         self.log = np.log(three / three.sum(2, keepdims=True)).tolist()
+        self._parts: dict[tuple[str, bool, bool], str] = {}
 
     def lattice(self, span: str) -> list[list[tuple[tuple[int, ...], float]]]:
-        """For each run of a character: the classes it may stand for and the channel's log probability."""
-        columns, i = [], 0
-        while i < len(span):
-            c, run = span[i], 1
-            while i + run < len(span) and span[i + run] == c:
-                run += 1
-            if "a" <= c <= "z":
-                k = ord(c) - 96
-                if run < 3:
-                    columns.append([((k,) * run, PLAIN * run)])
+        """For each run of a character, and each gap: the classes it may stand for and the channel's log probability."""
+        return [ways for _, ways in self.columns(span)]
+
+    def columns(self, span: str) -> list[tuple[str, list[tuple[tuple[int, ...], float]]]]:
+        """The columns of the lattice with the character that each run is made of."""
+        columns = []
+        for m in _RUN.finditer(span):
+            if (plain := _SINGLE.get(m.group())) is not None:
+                columns.append(plain)
+                continue
+            c, run = m.group()[0], m.end() - m.start()
+            if m.group(1) is None:
+                before, after = span[max(m.start() - 2, 0) : m.start()], span[m.end() : m.end() + 2]
+                single = not any(len(x) == 2 and x.isalnum() for x in (before, after))
+                if single or not any(x.isspace() for x in m.group()):
+                    columns.append((c, [((), NOTHING), ((0,), ITSELF)]))
                 else:
-                    columns.append([((k,), ONE), ((k, k), TWO)])
+                    columns.append((c, [((0,), PLAIN), ((), CLOSED)]))
             elif c.isalpha():
-                columns.append([((OTHER,) * min(run, 2), PLAIN)])
+                k = ord(c) - 96 if "a" <= c <= "z" else OTHER
+                if run == 1:
+                    columns.append((c, [((k,), PLAIN)]))
+                elif run == 2:
+                    columns.append((c, [((k, k), PLAIN * 2), ((k,), DRAWN)]))
+                else:
+                    columns.append((c, [((k,), ONE), ((k, k), TWO)]))
             else:
                 ways = [((ord(x) - 96,) * n, SIGN) for x in SIGNS.get(c, "") for n in ((1, 2) if run > 1 else (1,))]
-                if c in GAPS or c in "*!":
+                if c == "!" or unicodedata.category(c) in ("Cf", "Mn", "Me"):
                     ways.append(((), NOTHING))
-                columns.append([*ways, ((0,), ITSELF)])
-            i += run
+                columns.append((c, [*ways, ((0,), ITSELF)]))
         return columns
 
-    def restore(self, span: str) -> str:
-        """Most likely words of a lower-cased span, parted by blanks; ties go to the first way of the lattice."""
+    def decoded(self, columns: list, start: tuple[int, int], end: bool) -> str:
+        """Most likely text of some columns after two classes; ``end`` tells that the span ends with them."""
         log = self.log
-        best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-        for ways in self.lattice(span):
+        best: dict[tuple[int, int], tuple[float, tuple | None]] = {start: (0.0, None)}
+        for c, ways in columns:
+            if len(ways) == 1 and len(best) == 1:  # all paths share this step, its probability decides nothing
+                ((a, b), (score, path)), (classes, _) = *best.items(), ways[0]
+                best = {(*((a, b, *classes)[-2:]),): (score, (path, classes, c))}
+                continue
             step: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (score, path) in best.items():
                 for classes, channel in ways:
@@ -134,16 +167,44 @@ class Restorer:
                             s += log[x][y][k]
                         x, y = y, k
                     if (x, y) not in step or s > step[x, y][0]:
-                        step[x, y] = s, (path, classes)
+                        step[x, y] = s, (path, classes, c)
             best = step
         _, (_, path) = max(
-            ((score + log[a][b][0], (score, path)) for (a, b), (score, path) in best.items()), key=lambda x: x[0]
+            ((score + log[a][b][0] * end, (score, path)) for (a, b), (score, path) in best.items()), key=lambda x: x[0]
         )
-        out: list[tuple[int, ...]] = []
+        out: list[str] = []
         while path:
-            path, classes = path
-            out.append(classes)
-        return "".join("*" if k == OTHER else chr(96 + k) if k else " " for classes in reversed(out) for k in classes)
+            path, classes, c = path
+            out.append("".join(c if k == OTHER else chr(96 + k) if k else " " for k in classes))
+        return "".join(reversed(out))
+
+    def restore(self, span: str) -> str:
+        """Most likely words of a lower-cased span, parted by blanks; ties go to the first way of the lattice."""
+        return self.decoded(self.columns(span), (0, 0), True)
+
+    def restore_run(self, span: str) -> str:
+        """The same for a run of pieces. Two letters of one way each leave the decoder one state, so what is before
+        and behind them is decoded on its own, and known parts are taken again."""
+        out, start = [], 0
+        for m in _SURE.finditer(span):
+            out.append(self._part(span[max(start - 2, 0) : m.end()], start > 0, False))
+            start = m.end()
+        if start < len(span) or not out:
+            out.append(self._part(span[max(start - 2, 0) :], start > 0, True))
+        return "".join(out)
+
+    def _part(self, text: str, behind: bool, end: bool) -> str:
+        known = self._parts.get((text, behind, end))
+        if known is None:
+            columns = self.columns(text)
+            if behind:
+                known = self.decoded(columns[2:], (ord(text[0]) - 96, ord(text[1]) - 96), end)
+            else:
+                known = self.decoded(columns, (0, 0), end)
+            if len(self._parts) >= CACHED_TOKENS:
+                self._parts.clear()
+            self._parts[text, behind, end] = known
+        return known
 
 
 def beginnings(word: str) -> list[str]:
@@ -157,13 +218,15 @@ class Reader:
     def __init__(self, triples: dict[int, int]):
         self.restorer = Restorer(triples)
         self._known: dict[str, tuple[str, ...]] = {}
+        self._runs: dict[str, tuple[str, ...]] = {}
 
     def words_of(self, token: str) -> tuple[str, ...]:
         known = self._known.get(token)
         if known is None:
             words = _WORD.findall(token)
-            if _DISGUISED.search(token):
-                words += self.restorer.restore(token.strip(".,;:?\"'")).split()
+            bare = token.strip(_EDGES)
+            if _UNSURE.search(bare):
+                words += self.restorer.restore(bare).split()
             known = tuple(words)
             if len(self._known) >= CACHED_TOKENS:
                 self._known.clear()
@@ -171,8 +234,20 @@ class Reader:
         return known
 
     def spaced(self, low: str) -> list[str]:
-        """Words that are written letter by letter."""
-        return [w for m in _APART.finditer(low) for w in self.restorer.restore(m.group()).split() if len(w) > 2]
+        """Words of three letters and more that are set apart: those that aren't pieces of their run."""
+        found: set[str] = set()
+        for m in _APART.finditer(low):
+            span = m.group()
+            words = self._runs.get(span)
+            if words is None:
+                pieces = span.split()
+                words = tuple(w for w in self.restorer.restore_run(span).split() if len(w) > 2 and w not in pieces)
+                if len(self._runs) >= CACHED_TOKENS:
+                    self._runs.clear()
+                self._runs[span] = words
+            if words:
+                found.update(words)
+        return sorted(found)
 
     def words(self, text: str) -> set[str]:
         low = text.lower()

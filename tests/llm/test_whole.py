@@ -1,0 +1,35 @@
+"""Inputs that the operators once passed over."""
+
+import random
+from collections import Counter
+
+from chatnorm.llm import toxicity
+
+
+def test_disguises_of_every_form():
+    text = "the idiot moron stupid loser clown trash bum scum said word " * 50
+    classes = toxicity.letter_classes("\n\n" + text + "\n\n")
+    reader = toxicity.Reader(Counter(((classes[:-2] * 28 + classes[1:-1]) * 28 + classes[2:]).tolist()))
+    forms = {
+        "moron": ["moroon", "m/o/r/o/n", "m,o,r,o,n", "m - o - r - o - n", "mo ron", "m  o  r  o  n", "m\to\tr\to\tn",
+                  "m\no\nr\no\nn", "mo\u200bron", "m\u200bo\u200br\u200bo\u200bn", "mo\u00adron"],
+        "scum": ["sscum", "sc um"],
+        "trash": ["tra5#"],
+        "idiot": ["1d107"],
+        "bum": ["b u m", "b.u.m"],
+    }
+    for word, spelled in forms.items():
+        for form in spelled:
+            assert word in reader.words(f"the {form} said"), form
+    assert "gr\u00f6\u00dfe" in reader.words("gr\u00f6\u00df3")
+
+
+def test_runs_are_decoded_part_by_part_as_a_whole():
+    r = random.Random(3)
+    text = " ".join("".join(r.choice("abcdeorst") for _ in range(r.randint(1, 6))) for _ in range(400))
+    classes = toxicity.letter_classes("\n\n" + text + "\n\n")
+    restorer = toxicity.Restorer(Counter(((classes[:-2] * 28 + classes[1:-1]) * 28 + classes[2:]).tolist()))
+    for _ in range(300):
+        pieces = ["".join(r.choice("abcdeorst0$") for _ in range(r.randint(1, 3))) for _ in range(r.randint(2, 8))]
+        span = "".join(p + r.choice((" ", "  ", "-", " - ", "\n")) for p in pieces[:-1]) + pieces[-1]
+        assert restorer.restore_run(span) == restorer.restore(span), span
