@@ -1,11 +1,12 @@
 """Secrets in texts: fixed patterns, and strings of high entropy in sliding windows.
 
 Patterns (``assign``, ``access``, ``hex``) give the base spans. The method adds ``entropy`` spans: a
-candidate is a run of letters, figures and ``+/_=-`` of at least ``WINDOW`` characters with a letter and
-a figure. A window slides over it; Shannon entropy is kept up to date by taking one character out of the
-counts and one in, for each character class (hexadecimal, letters and figures, all) on its own: the
+candidate is a run of letters, figures and ``+/_=-`` of at least 16 characters with a letter. Windows of
+16, 20 and 24 characters slide over it; Shannon entropy is kept up to date by taking one character out of the
+counts and one in, for each character class (hexadecimal, letters, letters and figures, all) on its own: the
 entropy of a window counts for the narrowest class that holds all its characters. Windows at or above
-the threshold of their class are joined to spans. Candidates that the allow list names (UUIDs, words
+the threshold of their class and length are joined to spans. The thresholds are those that 90 of 100 random
+strings of exactly that length reach; of longer ones more are found. Candidates that the allow list names (UUIDs, words
 joined by dashes, straight runs of the alphabet or of figures, digests named as such) are left out, and
 so are spans that a base span covers.
 
@@ -34,16 +35,28 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")  # the runs of 32 and more among all runs
 KINDS = ("assign", "access", "hex", "entropy")
 
-WINDOW = 24
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW)
-#: Classes from narrow to wide, each with the bits per character from which a window counts.
-CLASSES = (
-    (frozenset("0123456789abcdef"), 3.2),
-    (frozenset("0123456789ABCDEF"), 3.2),
-    (frozenset("abcdefghijklmnopqrstuvwxyz0123456789"), 3.9),
-    (frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 3.9),
-    (frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"), 4.0),
-)
+_LOWER, _UPPER, _FIGURES = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+#: Bits per character from which a window counts, by its length, for each class below. The tenth percentile of
+#: 200,000 random strings of the class, or less; letters of one case with figures as for 32 symbols (base32).
+THRESHOLDS = {
+    16: (2.95, 2.95, 3.2, 3.2, 3.32, 3.32, 3.5, 3.57),
+    20: (3.12, 3.12, 3.44, 3.44, 3.54, 3.54, 3.78, 3.82),
+    24: (3.2, 3.2, 3.6, 3.6, 3.74, 3.74, 3.97, 4.0),
+}
+#: Members of the classes from narrow to wide.
+MEMBERS = tuple(
+    map(
+        frozenset,
+        (
+            _FIGURES + "abcdef", _FIGURES + "ABCDEF", _LOWER, _UPPER, _LOWER + _FIGURES, _UPPER + _FIGURES,
+            _LOWER + _UPPER, _LOWER + _UPPER + _FIGURES + "+/_=-",
+        ),
+    )
+)
+LEAST, WINDOW = min(THRESHOLDS), max(THRESHOLDS)
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
+#: The classes with the thresholds of the longest window.
+CLASSES = tuple(zip(MEMBERS, THRESHOLDS[WINDOW], strict=True))
 ALLOWED = (
     re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"),
     re.compile(r"[A-Za-z]*[0-9]{0,4}(?:[-_/=+][A-Za-z]*[0-9]{0,4})+"),  # words and short numbers, joined
@@ -51,7 +64,7 @@ ALLOWED = (
 )
 #: The share of steps to the next character (``abc``, ``123``) from which a run is a straight one.
 STRAIGHT = 0.5
-_BITS = [0.0] + [n * math.log2(n) for n in range(1, WINDOW + 1)]
+_BITS = [0.0] + [n * math.log2(n) for n in range(1, WINDOW + 2)]
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -72,10 +85,11 @@ def allowed(candidate: str) -> bool:
     return steps >= STRAIGHT * (len(candidate) - 1)
 
 
-def entropy_windows(candidate: str) -> list[tuple[int, int]]:
-    """Joined windows whose entropy reaches the threshold of their narrowest class (start, end)."""
+def entropy_windows(candidate: str, window: int = WINDOW) -> list[tuple[int, int]]:
+    """Joined windows of one length whose entropy reaches the threshold of their narrowest class (start, end)."""
     counts: dict[str, int] = {}
-    outside = [0] * len(CLASSES)  # characters of the window that a class lacks
+    thresholds = THRESHOLDS[window]
+    outside = [0] * len(MEMBERS)  # characters of the window that a class lacks
     total = 0.0  # sum of n log n over the counts; entropy is log W - total / W
     spans: list[list[int]] = []
 
@@ -84,19 +98,19 @@ def entropy_windows(candidate: str) -> list[tuple[int, int]]:
         n = counts.get(c, 0)
         total += _BITS[n + by] - _BITS[n]
         counts[c] = n + by
-        for k, (members, _) in enumerate(CLASSES):
+        for k, members in enumerate(MEMBERS):
             if c not in members:
                 outside[k] += by
 
     for i, c in enumerate(candidate):
         change(c, 1)
-        if i >= WINDOW:
-            change(candidate[i - WINDOW], -1)
-        if i >= WINDOW - 1:
-            entropy = math.log2(WINDOW) - total / WINDOW
-            least = next(least for k, (_, least) in enumerate(CLASSES) if not outside[k])
+        if i >= window:
+            change(candidate[i - window], -1)
+        if i >= window - 1:
+            entropy = math.log2(window) - total / window
+            least = next(least for k, least in enumerate(thresholds) if not outside[k])
             if entropy >= least - 1e-9:
-                start = i - WINDOW + 1
+                start = i - window + 1
                 if spans and start <= spans[-1][1]:
                     spans[-1][1] = i + 1
                 else:
@@ -104,13 +118,24 @@ def entropy_windows(candidate: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in spans]
 
 
+def all_windows(candidate: str) -> list[tuple[int, int]]:
+    """Joined windows of all lengths."""
+    spans: list[tuple[int, int]] = []
+    for a, b in sorted(span for w in THRESHOLDS if w <= len(candidate) for span in entropy_windows(candidate, w)):
+        if spans and a <= spans[-1][1]:
+            spans[-1] = spans[-1][0], max(b, spans[-1][1])
+        else:
+            spans.append((a, b))
+    return spans
+
+
 def entropy_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     found = []
     for m in _CANDIDATE.finditer(text):
         s = m.group()
-        if s.isalpha() or s.isdigit() or not any(c.isdigit() for c in s) or not any(c.isalpha() for c in s) or allowed(s):
+        if not any(c.isalpha() for c in s) or allowed(s):
             continue
-        for a, b in entropy_windows(s):
+        for a, b in all_windows(s):
             a, b = a + m.start(), b + m.start()
             if not any(x <= a and b <= y for x, y, _ in base):
                 found.append((a, b, "entropy"))
