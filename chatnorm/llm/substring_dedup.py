@@ -7,7 +7,9 @@ least of those in some string of ``LENGTH`` bytes. So every such string holds a
 bytes alone decide. A phrase is what the strings around a trigger can reach: up to ``LENGTH`` - ``TRIGGER``
 bytes on either side. Equal strings lie in phrases with equal triggers.
 
-Dictionary and parse: phrases are dealt out by their triggers, as hashes with the ids of their documents.
+Dictionary and parse: phrases are dealt out as hashes with the ids of their documents; a trigger's own part gets
+no more than two rows a block. The strings of a hot trigger (more than ``HOT`` phrases) are dealt by two 64-bit hashes
+of their own, once a block, and the least id of each counts, so no task depends on one trigger's frequency.
 Of a phrase that occurs in several documents, all but the first are settled at once: the whole phrase
 repeats. What is left is the dictionary: the first occurrence of each phrase whose trigger other
 phrases share. Only for these are the bytes fetched, and the suffixes of at least ``LENGTH`` bytes of all
@@ -44,6 +46,8 @@ BLOCK_CHARS = 1_000_000
 #: Bytes of text for each part that triggers are dealt out to.
 PART_BYTES = 8 << 20
 NO_ID = (1 << 63) - 1
+#: Phrases of a trigger, counted per block, from which its strings are dealt by their own hashes.
+HOT = 2_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _TOP = np.uint64((1 << 64) - (1 << 24))
@@ -97,6 +101,7 @@ class Parsed:
         def hashed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return mix64((sums[b] - sums[a]) * down[a])
 
+        self.hashed = hashed
         marks = np.zeros(len(raw), bool)
         room = np.zeros(len(raw) + 1, np.int32)  # strings that begin here
         for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
@@ -132,10 +137,38 @@ class Parsed:
         self.new = np.flatnonzero(new)
         self.group = np.cumsum(new) - 1  # of each entry in that order
 
-    def parts(self, n: int) -> np.ndarray:
-        """Part of each group, ascending."""
+    def phrase_parts(self, n: int) -> np.ndarray:
+        """Part of each group by its phrase."""
+        return _part_of(self.phrase[self.order[self.new]], n)
+
+    def firsts(self) -> tuple[np.ndarray, np.ndarray]:
+        """The first group of each trigger, and the trigger's number of each group."""
         t = self.trigger[self.order[self.new]]
-        return ((t >> np.uint64(24)) * np.uint64(n) >> np.uint64(24)).astype(np.int64)
+        new = np.ones(len(t), bool)
+        new[1:] = t[1:] != t[:-1]
+        return np.flatnonzero(new), np.cumsum(new) - 1
+
+    def strings(self, entries: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Places, documents' numbers and two hashes of the strings of ``LENGTH`` bytes in some phrases."""
+        n = np.maximum(self.b[entries] - self.a[entries] - LENGTH + 1, 0)
+        place = np.arange(int(n.sum())) + np.repeat(self.a[entries] - (np.cumsum(n) - n), n)
+        doc = np.repeat(self.doc[entries], n)
+        place, first = np.unique(place, return_index=True)
+        one, two = (self.hashed(place + i, place + j) for i, j in ((0, LENGTH), (0, LENGTH // 2)))
+        return place, doc[first], one, mix64(two ^ one * _BASE)
+
+
+def _part_of(hashes: np.ndarray, n: int) -> np.ndarray:
+    # Triggers are the least of several hashes, so their own top bits would crowd the first parts.
+    return ((mix64(hashes) >> np.uint64(40)) * np.uint64(n) >> np.uint64(24)).astype(np.int64)
+
+
+def _cuts(part: np.ndarray) -> list[tuple[int, int, int]]:
+    """Part, start and end of the runs of equal parts."""
+    if not len(part):
+        return []
+    at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])).tolist()
+    return [(int(part[a]), a, b) for a, b in zip(at, [*at[1:], len(part)], strict=True)]
 
 
 def _block(row) -> Parsed:
@@ -156,29 +189,58 @@ def _joined(doc: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray,
     return doc[first], a[first], np.maximum.reduceat(b, first)
 
 
-def _settled(part: pa.Table) -> pa.Table:
-    """Codes of the entries of one part: 0 nothing, 1 the whole phrase repeats, 2 its bytes are needed."""
-    blobs = [_unpacked(x.as_py(), np.uint64, np.uint64, np.int64) for x in part.column("blob")]
+def _settled(part: pa.Table, hot_from: int) -> pa.Table:
+    """Codes of the entries of one part. Even parts hold triggers (0 nothing to compare, 2 bytes are needed, 3 the
+    trigger is hot), odd parts phrases (1 the whole phrase repeats)."""
+    number = part.column("part")[0].as_py()
+    blobs = [_unpacked(x.as_py(), np.uint64, np.uint64, np.int64, np.int64) for x in part.column("blob")]
     sizes = np.array([len(b[0]) for b in blobs])
-    trigger, phrase, ident = (np.concatenate([b[i] for b in blobs]) for i in range(3))
+    trigger, phrase, ident, n = (np.concatenate([b[i] for b in blobs]) for i in range(4))
     order = np.lexsort((ident, phrase, trigger))
     t, f, d = trigger[order], phrase[order], ident[order]
-    new_t = np.ones(len(t), bool)
-    new_t[1:] = t[1:] != t[:-1]
-    new_f = new_t.copy()
-    new_f[1:] |= f[1:] != f[:-1]
-    least = d[np.flatnonzero(new_f)][np.cumsum(new_f) - 1]
-    at = np.flatnonzero(new_t)
-    of = np.cumsum(new_t) - 1
-    phrases = np.add.reduceat(new_f.astype(np.int64), at)[of]
-    docs_differ = (np.minimum.reduceat(d, at) != np.maximum.reduceat(d, at))[of]
-    code = np.where(d > least, 1, np.where((phrases > 1) & docs_differ, 2, 0)).astype(np.uint8)
+    new = np.ones(len(t), bool)
+    new[1:] = t[1:] != t[:-1]
+    if number % 2:
+        new[1:] |= f[1:] != f[:-1]
+    at, of = np.flatnonzero(new), np.cumsum(new) - 1
+    if number % 2:
+        code = (d > d[at][of]).astype(np.uint8)
+    else:
+        docs_differ = np.minimum.reduceat(d, at) != np.maximum.reduceat(d, at)
+        phrases_differ = np.minimum.reduceat(f, at) != np.maximum.reduceat(f, at)
+        hot = np.add.reduceat(n[order], at) > hot_from
+        code = np.where(docs_differ & phrases_differ, np.where(hot, 3, 2), 0).astype(np.uint8)[of]
     back = np.empty(len(code), np.uint8)
     back[order] = code
     cuts = np.split(back, np.cumsum(sizes)[:-1])
     return pa.table({"block": part.column("block"), "part": part.column("part"), "codes": pa.array([_squeezed(c.tobytes()) for c in cuts], pa.binary())})
 
 
+def _least(part: pa.Table) -> pa.Table:
+    """Places of strings of hot triggers in one part that repeat an earlier document: the least id of each string."""
+    blobs = [_unpacked(x.as_py(), np.uint64, np.uint64, np.int64, np.int32, np.int64) for x in part.column("blob")]
+    source = np.repeat(np.arange(len(blobs)), [len(b[0]) for b in blobs])
+    one, two, ident, doc, place = (np.concatenate([b[i] for b in blobs]) for i in range(5))
+    hit = _repeats(one, two, ident)
+    ranges, blocks = [], []
+    for k, block in enumerate(part.column("block").to_pylist()):
+        own = hit & (source == k)
+        if own.any():
+            ranges.append(_packed(doc[own], place[own], place[own] + LENGTH))
+            blocks.append(block)
+    return pa.table({"block": pa.array(blocks, pa.int64()), "ranges": pa.array(ranges, pa.binary())})
+
+
+def _repeats(one: np.ndarray, two: np.ndarray, ident: np.ndarray) -> np.ndarray:
+    """Whether an entry's two hashes also belong to a smaller id."""
+    order = np.lexsort((ident, two, one))
+    new = np.ones(len(order), bool)
+    new[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
+    hit = np.zeros(len(order), bool)
+    hit[order] = ident[order] > ident[order][np.flatnonzero(new)][np.cumsum(new) - 1]
+    return hit
+
+
 def _suffix_ranks(words: np.ndarray) -> np.ndarray:
     """Ranks of rows of 8-byte words in lexicographic order, equal for equal rows: prefix refinement."""
     rank = np.zeros(len(words), np.int64)
@@ -242,7 +304,7 @@ def _compared(part: pa.Table) -> pa.Table:
     return pa.table({"block": pa.array(blocks, pa.int64()), "ranges": pa.array(ranges, pa.binary())})
 
 
-def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (the bytes that stay) of each row."""
     spark = df.sparkSession
     folder = shared_folder(spark)
@@ -271,26 +333,50 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         for batch in batches:
             for k in range(batch.num_rows):
                 parsed = _block([batch.column(c)[k].as_py() for c in (1, 2, 3)])
-                first = parsed.order[parsed.new]
-                part = parsed.parts(parts)
-                cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else []
-                for a, b in zip(cuts, [*cuts[1:], len(part)], strict=True) if len(part) else ():
-                    own = first[a:b]
-                    blob = _packed(parsed.trigger[own], parsed.phrase[own], parsed.id[own])
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(k, 1), pa.array([int(part[a])], pa.int64()), pa.array([blob])],
-                        ["block", "part", "blob"],
-                    )
+                groups = parsed.order[parsed.new]
+                first, of = parsed.firsts()
+                lots = []
+                if len(groups):
+                    # A trigger sends the least and the greatest of its ids and phrases here, a row for each,
+                    # whatever its frequency; its count rides on the first.
+                    ids, phrases = parsed.id[groups], parsed.phrase[groups]
+                    n = np.bincount(of)
+                    low, high = np.minimum.reduceat(ids, first), np.maximum.reduceat(ids, first)
+                    last = np.maximum.reduceat(phrases, first)
+                    more = np.flatnonzero(n > 1)
+                    t = parsed.trigger[groups[first]]
+                    rows = [np.concatenate([t, t[more]]), np.concatenate([phrases[first], last[more]]), np.concatenate([low, high[more]]), np.concatenate([n, 0 * more])]
+                    lots.append((0, _part_of(rows[0], parts), rows))
+                    lots.append((1, parsed.phrase_parts(parts), [parsed.trigger[groups], phrases, ids, np.ones(len(groups), np.int64)]))
+                for kind, part, rows in lots:
+                    order = np.argsort(part, kind="stable")
+                    for p, a, b in _cuts(part[order]):
+                        blob = _packed(*(r[order[a:b]] for r in rows))
+                        yield pa.RecordBatch.from_arrays(
+                            [batch.column(0).slice(k, 1), pa.array([2 * p + kind], pa.int64()), pa.array([blob])],
+                            ["block", "part", "blob"],
+                        )
 
     hashes = blocks.select("block", "ids", "ends", "raw").mapInArrow(dealt, "block bigint, part bigint, blob binary")
-    codes = hashes.groupBy("part").applyInArrow(_settled, "block bigint, part bigint, codes binary")
+    codes = hashes.groupBy("part").applyInArrow(lambda part: _settled(part, hot), "block bigint, part bigint, codes binary")
     codes = codes.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("part", "codes"))).alias("codes"))
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 parsed = _block([batch.column(c)[k].as_py() for c in (1, 2, 3)])
-                code = np.frombuffer(b"".join(_opened(x["codes"]) for x in batch.column(4)[k].as_py()), np.uint8)
+                lists = batch.column(4)[k].as_py()
+                by_trigger, by_phrase = (
+                    np.frombuffer(b"".join(_opened(x["codes"]) for x in lists if x["part"] % 2 == kind), np.uint8) for kind in (0, 1)
+                )
+                groups = parsed.order[parsed.new]
+                first, of = parsed.firsts()
+                t = parsed.trigger[groups[first]]
+                t = np.concatenate([t, t[np.bincount(of) > 1]]) if len(t) else t
+                code, repeated = np.empty(len(t), np.uint8), np.empty(len(groups), np.uint8)
+                code[np.argsort(_part_of(t, parts), kind="stable")] = by_trigger
+                repeated[np.argsort(parsed.phrase_parts(parts), kind="stable")] = by_phrase
+                code = np.where(repeated == 1, 1, code[of])
                 least = parsed.id[parsed.order[parsed.new]]
                 later = parsed.id[parsed.order] > least[parsed.group]
                 code = np.where(later, 1, code[parsed.group])
@@ -300,9 +386,23 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 yield pa.RecordBatch.from_arrays(
                     [block, pa.array([-1], pa.int64()), pa.array([_packed(doc.astype(np.int32), a, b)])], ["block", "part", "blob"]
                 )
+                place, in_doc, one, two = parsed.strings(parsed.order[code == 3])
+                if len(place):
+                    # Strings of hot triggers are dealt by their own hashes; a block sends the first of each.
+                    ident = parsed.ids[in_doc]
+                    gone = _repeats(one, two, ident)
+                    blob = _packed(in_doc[gone].astype(np.int32), place[gone], place[gone] + LENGTH)
+                    yield pa.RecordBatch.from_arrays([block, pa.array([-1], pa.int64()), pa.array([blob])], ["block", "part", "blob"])
+                    kept = np.flatnonzero(~gone)
+                    part = _part_of(one[kept], parts)
+                    kept = kept[np.argsort(part, kind="stable")]
+                    for p, a, b in _cuts(np.sort(part)):
+                        e = kept[a:b]
+                        blob = _packed(one[e], two[e], ident[e], in_doc[e].astype(np.int32), place[e])
+                        yield pa.RecordBatch.from_arrays([block, pa.array([parts + p], pa.int64()), pa.array([blob])], ["block", "part", "blob"])
                 asked = np.flatnonzero(code == 2)
-                part = parsed.parts(parts)[parsed.group[asked]]
                 own = parsed.order[asked]
+                part = _part_of(parsed.trigger[own], parts)
                 for p in np.unique(part):
                     e = own[part == p]
                     size = (parsed.b[e] - parsed.a[e]).astype(np.int32)
@@ -313,9 +413,10 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     both = blocks.join(codes, "block").select("block", "ids", "ends", "raw", "codes")
     found = written(both.mapInArrow(coded, "block bigint, part bigint, blob binary"))
-    compared = found.where("part >= 0").groupBy("part").applyInArrow(_compared, "block bigint, ranges binary")
+    compared = found.where(F.col("part").between(0, parts - 1)).groupBy("part").applyInArrow(_compared, "block bigint, ranges binary")
+    least = found.where(F.col("part") >= parts).groupBy("part").applyInArrow(_least, "block bigint, ranges binary")
     whole = found.where("part < 0").select("block", F.col("blob").alias("ranges"))
-    ranges = whole.unionByName(compared).groupBy("block").agg(F.collect_list("ranges").alias("ranges"))
+    ranges = whole.unionByName(compared).unionByName(least).groupBy("block").agg(F.collect_list("ranges").alias("ranges"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
