@@ -1,4 +1,7 @@
-"""Removal of passages that repeat an earlier document, by prefix-free parsing.
+"""Removal of passages that repeat an earlier document, by phrases around rolling-hash triggers.
+
+This is the first half of prefix-free parsing: there is no parse, no suffix array of it and no corpus order, as
+only the least id of equal strings is asked for.
 
 A byte goes if it is covered by a string of ``LENGTH`` bytes that also starts in a document with a smaller id.
 
