@@ -5,10 +5,13 @@ from __future__ import annotations
 import corpus_pipeline
 
 from .exact_dedup import OP4_SQL, op4_exact_dedup
+from .filter_audit import OP12_SQL, op12_filter_audit
 from .mixing import op5_mixing
 from .near_dup import op7_near_dedup
 from .piece_sampling import op10_piece_sampling
+from .private_data import op11_private_data
 from .secrets import op6_secret_scans
+from .source_divergence import OP13_SQL, op13_source_divergence
 from .substring_dedup import op8_substring_dedup
 from .token_counts import op1_token_counts
 from .topk_search import OP9_SQL, op9_topk_search
@@ -27,6 +30,15 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_topk_search": op9_topk_search,
     "op10_piece_sampling": op10_piece_sampling,
+    "op11_private_data": op11_private_data,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_source_divergence": op13_source_divergence,
 }
 
-SQL = {"op3_url_filter": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op9_topk_search": OP9_SQL}
+SQL = {
+    "op3_url_filter": OP3_SQL,
+    "op4_exact_dedup": OP4_SQL,
+    "op9_topk_search": OP9_SQL,
+    "op12_filter_audit": OP12_SQL,
+    "op13_source_divergence": OP13_SQL,
+}
