@@ -13,7 +13,7 @@ from ..operators.dedup import fingerprint
 from ..operators.detect import detect_mappings, json_cells
 from ..operators.proposals import check_task_type, resolve_mappings, validate_proposals
 from ..sources.catalog import output_name, resolve_catalog, select_domains
-from ..sources.outputs import existing_fingerprints
+from ..sources.fingerprint_index import FingerprintIndex, refresh
 from ..sources.readers import Dataset, DatasetDeferred, open_dataset, sample_json
 from ..sinks.writers import FORMATS, write_records
 from ..types import (
@@ -82,19 +82,20 @@ def stage_records(frames: list[DataFrame]) -> DataFrame:
     )
 
 
-def duplicate_places(staged: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def duplicate_places(staged: DataFrame, known: list[FingerprintIndex] = ()) -> DataFrame:
     """Places of the records to leave out: those that are not the first of their fingerprint, and
     those already in earlier output.
 
     Only fingerprints and places are shuffled, never texts. The first place per fingerprint is a
-    partial aggregate, so one fingerprint on a third of all rows costs one row per task. The
-    anti join is on the place, which is unique and spreads evenly.
+    partial aggregate, so one fingerprint on a third of all rows costs one row per task. They meet
+    the indexes of earlier output bucket by bucket. The last anti join is on the place, which is
+    unique and spreads evenly.
     """
     place = F.struct(*PLACE)
     keys = staged.select("dataset_id", "fp", *PLACE)
     firsts = keys.groupBy("fp").agg(F.min(place).alias("place"))
-    if existing is not None:
-        firsts = firsts.join(existing.select(F.unhex("fp").alias("fp")), "fp", "left_anti")
+    for index in known:
+        firsts = index.unseen(firsts)
     return keys.select("dataset_id", *PLACE).join(firsts.select("place.*"), PLACE, "left_anti")
 
 
@@ -351,12 +352,9 @@ def _write_domain(
         write_records(staged, options.output_format, csv_path, parquet_path)
         return counts, {}
     wants = options.output_format
-    existing = existing_fingerprints(
-        spark,
-        csv_path if wants in ("csv", "both") else None,
-        parquet_path if wants in ("parquet", "both") else None,
-    )
-    duplicates = written(duplicate_places(staged, existing), f"{work}/duplicates")
+    outputs = [(fmt, path) for fmt, path in (("csv", csv_path), ("parquet", parquet_path)) if wants in (fmt, "both")]
+    known = [index for fmt, path in outputs if (index := refresh(spark, path, fmt))]
+    duplicates = written(duplicate_places(staged, known), f"{work}/duplicates")
     dropped = _counts(duplicates)
     write_records(keep_new(staged, duplicates), wants, csv_path, parquet_path)
     return counts, dropped

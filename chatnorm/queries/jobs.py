@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.convert import convert_table, export_records
+from ..operators.dedup import fingerprint
 from ..plans.dedup_file import dedup_file
 from ..plans.normalize import RunOptions, run
-from ..plans.session import shared_folder
+from ..plans.session import shared_folder, written
 from ..sinks.writers import write_records, write_table
 from ..sources.catalog import DOMAIN_DDL
+from ..sources.fingerprint_index import refresh
 from ..sources.outputs import existing_fingerprints
-from ..sources.readers import list_data_files, read_files
-from ..streaming.stream import drop_seen, start, stream_records
+from ..sources.readers import list_data_files, read_files, stream_dataset, stream_files
+from ..streaming.stream import drop_known, drop_seen, run_name, start, stream_records
 from ..types import JSON_ROW, RECORD_COLUMNS, Mapping, local_frame
 from .common import SQL_PAIRS, gathered, table, turn_pairs, write_json_lines
 from .records import _SQL_CONVERSATION, _SQL_TWO_SIDED, _two
@@ -53,17 +55,41 @@ def output_fingerprints(spark, sf_dir):
     """Fingerprints of earlier output, the union of its CSV and its Parquet form."""
     folder = shared_folder(spark)
     records = _document_records(spark, sf_dir)
-    labels = table(spark, sf_dir, "labels")
-    write_records(
-        records.where("language = 'english'"), "csv", f"{folder}/out.csv", f"{folder}/out.parquet"
-    )
-    labelled = table(spark, sf_dir, "documents").join(labels, "doc_id", "left_semi")
-    write_records(
-        export_records(convert_table(labelled, _DOCS)), "parquet", f"{folder}/out.csv", f"{folder}/out.parquet"
-    )
+    labelled = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left_semi")
+    write_records(records.where("language = 'english'"), "csv", f"{folder}/out.csv", f"{folder}/out.parquet")
+    # Also what the CSV has, where it is labelled: the two overlap.
+    for part in (records.where("language <> 'english'"), export_records(convert_table(labelled, _DOCS))):
+        write_records(part, "parquet", f"{folder}/out.csv", f"{folder}/out.parquet")
     return existing_fingerprints(spark, f"{folder}/out.csv", f"{folder}/out.parquet")
 
 
+def _first_run(records):
+    """What the earlier of two runs writes; the later one gets all records."""
+    return records.where("language IN ('english', 'german')")
+
+
+def fingerprint_index(spark, sf_dir):
+    """Two runs over one output, as CSV and as Parquet. The second run drops what the index of the first knows,
+    writes the rest, and brings the index up to date: each fingerprint with the run that wrote it."""
+    folder = shared_folder(spark)
+    outputs = {"csv": f"{folder}/out.csv", "parquet": f"{folder}/out.parquet"}
+    records = _document_records(spark, sf_dir)
+    write_records(_first_run(records), "both", *outputs.values())
+    indexes = [refresh(spark, path, fmt) for fmt, path in outputs.items()]
+    staged = written(records.withColumn("fp", F.unhex(fingerprint(F.col("conversation"), F.col("reasoning")))))
+    new = staged.groupBy("fp").agg(*[F.first(c).alias(c) for c in RECORD_COLUMNS])
+    for index in indexes:
+        new = index.unseen(new)
+    new = written(new)
+    write_records(new, "both", *outputs.values())
+    wrote = new.select("fp", F.lit(2).alias("run"))
+    frames = [
+        refresh(spark, path, fmt).rows.select("fp").distinct().withColumn("format", F.lit(fmt)) for fmt, path in outputs.items()
+    ]
+    known = frames[0].unionByName(frames[1]).join(wrote, "fp", "left")
+    return known.select("format", F.lower(F.hex("fp")).alias("fp"), F.coalesce("run", F.lit(1)).alias("run"))
+
+
 def raw_file_load(spark, sf_dir):
     """One dataset in three file formats and a copy of all rows in a file of another kind, which is refused:
     listed, sorted, read by format, united."""
@@ -73,7 +99,7 @@ def raw_file_load(spark, sf_dir):
     documents.where("lang = 'en'").write.parquet(f"{folder}/data/a")
     write_table(documents.where("lang = 'fr'"), f"{folder}/data/b", "csv")
     # Text files need a known suffix, which the text writer does not give: JSON writer instead.
-    write_json_lines(documents.where("lang NOT IN ('en', 'fr', 'es')"), f"{folder}/data/c")
+    write_json_lines(documents.where("lang IS NULL OR lang NOT IN ('en', 'fr')"), f"{folder}/data/c")
     documents.select(row.alias("value")).write.text(f"{folder}/data/ignored")
     paths = [r.path for r in list_data_files(spark, folder).collect()]
     value = F.from_json(JSON_ROW, "doc_id STRING, lang STRING, text STRING")
@@ -150,7 +176,55 @@ def stream_dedup(spark, sf_dir):
     return written.select("conversation", "language", "dataset_id")
 
 
+def stream_incremental_dedup(spark, sf_dir):
+    """Documents as a file stream over output that a batch run left: neither what that run wrote nor what the
+    stream itself wrote is written again, also after a second start."""
+    folder = shared_folder(spark)
+    out, checkpoint = f"{folder}/out", f"{folder}/checkpoint"
+    earlier = _first_run(_document_records(spark, sf_dir)).dropDuplicates(["conversation"])
+    write_records(earlier, "parquet", "", f"{out}/batch")
+    rows = stream_files(spark, sf_dir, "parquet", table(spark, sf_dir, "documents").schema, glob="documents.parquet")
+    for _ in range(2):
+        index = refresh(spark, out, "parquet")
+        records = drop_known(stream_records(rows, _DOCS, "nl"), [index], run_name(checkpoint))
+        start(drop_seen(records), checkpoint, "parquet", "", out).awaitTermination()
+    frames = [
+        spark.read.schema(earlier.schema).option("recursiveFileLookup", True).parquet(path).withColumn("writer", F.lit(writer))
+        for writer, path in (("batch", f"{out}/batch"), ("stream", f"{out}/run={run_name(checkpoint)}"))
+    ]
+    return frames[0].unionByName(frames[1]).select("conversation", "language", "dataset_id", "writer")
+
+
+def stream_formats(spark, sf_dir):
+    """Documents as a dataset of four file formats, among files that are none, read as one file stream."""
+    folder = shared_folder(spark)
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    row = F.to_json(F.struct("doc_id", "lang", "text"))
+    documents.where("lang = 'en'").write.parquet(f"{folder}/data/a")
+    write_table(documents.where("lang = 'fr'"), f"{folder}/data/b", "csv")
+    write_json_lines(documents.where("lang = 'de'"), f"{folder}/data/c")
+    # One JSON document for each source, a list of objects.
+    rest = documents.join(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
+    rest = rest.where("lang IS NULL OR lang NOT IN ('en', 'fr', 'de')").groupBy("source").agg(F.collect_list(row).alias("rows"))
+    listed = F.concat(F.lit("["), F.array_join("rows", ",\n"), F.lit("]"))
+    rest.select("source", listed.alias("value")).repartition("source").write.partitionBy("source").options(
+        sep="\x01", quote="", escapeQuotes=False, header=False, extension="json"
+    ).csv(f"{folder}/data/d")
+    documents.select(row.alias("value")).write.text(f"{folder}/data/ignored")
+    value = F.from_json(JSON_ROW, "doc_id STRING, lang STRING, text STRING")
+    rows = stream_dataset(spark, f"{folder}/data", max_files=2).select(value.alias("r"))
+    query = rows.select(F.col("r.doc_id").cast("bigint").alias("doc_id"), "r.lang", F.sha1("r.text").alias("digest"))
+    path = f"{folder}/out"
+    query.writeStream.format("parquet").options(path=path, checkpointLocation=f"{folder}/checkpoint").trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    return spark.read.schema("doc_id BIGINT, lang STRING, digest STRING").parquet(path)
+
+
 QUERIES = {
+    "stream_formats": stream_formats,
+    "fingerprint_index": fingerprint_index,
+    "stream_incremental_dedup": stream_incremental_dedup,
     "format_round_trip": format_round_trip,
     "output_fingerprints": output_fingerprints,
     "raw_file_load": raw_file_load,
@@ -166,14 +240,22 @@ _SQL_DOCS = f"""
       'docs' AS dataset_id FROM documents"""
 _FP = "sha1(conversation || chr(10) || '<SEP>' || chr(10))"
 
+_SQL_FIRST = "language IN ('english', 'german')"
+
 SQL = {
+    "stream_formats": "SELECT doc_id, lang, sha1(text) AS digest FROM documents",
+    "fingerprint_index": f"""
+        SELECT f.format, {_FP} AS fp, CASE WHEN bool_or({_SQL_FIRST}) THEN 1 ELSE 2 END AS run
+        FROM ({_SQL_DOCS}), (SELECT unnest(['csv', 'parquet']) AS format) f GROUP BY ALL""",
+    "stream_incremental_dedup": f"""
+        SELECT conversation, language, dataset_id, CASE WHEN {_SQL_FIRST} THEN 'batch' ELSE 'stream' END AS writer
+        FROM ({_SQL_DOCS}) GROUP BY ALL""",
     "format_round_trip": f"""
         SELECT f.format, sha1(conversation) AS digest, language, reasoning, metadata, dataset_id
         FROM ({_SQL_DOCS}), (SELECT unnest(['csv', 'parquet']) AS format) f""",
     "output_fingerprints": f"""
-        SELECT DISTINCT {_FP} AS fp FROM ({_SQL_DOCS}) d
-        WHERE language = 'english' OR EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
-    "raw_file_load": "SELECT doc_id, lang, sha1(text) AS digest FROM documents WHERE lang <> 'es'",
+        SELECT DISTINCT {_FP} AS fp FROM ({_SQL_DOCS})""",
+    "raw_file_load": "SELECT doc_id, lang, sha1(text) AS digest FROM documents",
     "dedup_file_job": """
         SELECT doc_id, lang, source, n_chars, sha1(text) AS digest FROM documents
         QUALIFY count(*) OVER (PARTITION BY text) = 1""",

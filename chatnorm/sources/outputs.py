@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from ..operators.dedup import fingerprint
 
-_TWO = "conversation STRING, reasoning STRING"
-
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether anything can be listed at a path."""
@@ -27,16 +25,29 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
+def read_output(spark: SparkSession, paths: str | list[str], fmt: str) -> DataFrame:
+    """Conversation and reasoning of output that lies in a folder or in single files."""
+    if fmt == "parquet":
+        reader = spark.read.option("recursiveFileLookup", True)
+        rows = reader.parquet(paths) if isinstance(paths, str) else reader.parquet(*paths)
+    else:
+        rows = spark.read.options(
+            header=True, multiLine=True, quote='"', escape='"', recursiveFileLookup=True
+        ).csv(paths)
+    return rows.select("conversation", "reasoning", "_metadata")
+
+
 def parquet_fingerprints(spark: SparkSession, path: str) -> DataFrame:
     """Reads the two columns it needs and nothing else."""
-    return spark.read.parquet(path).select(
+    return read_output(spark, path, "parquet").select(
         fingerprint(F.col("conversation"), F.col("reasoning")).alias("fp")
     )
 
 
 def csv_fingerprints(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.options(header=True, multiLine=True, quote='"', escape='"').csv(path)
-    return rows.select(fingerprint(F.col("conversation"), F.col("reasoning")).alias("fp"))
+    return read_output(spark, path, "csv").select(
+        fingerprint(F.col("conversation"), F.col("reasoning")).alias("fp")
+    )
 
 
 def existing_fingerprints(

@@ -11,6 +11,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import json_fields, json_items, strip, variant_kind
 from ..types import JSON_ROW, ORD_BLOCK, ORD_FILE, ORD_ROW, ORD_SPLIT, ORDINAL
@@ -309,16 +310,71 @@ def raw_fallback(spark: SparkSession, dataset: Dataset, error: Exception) -> Dat
         ) from raw_error
 
 
-def stream_files(spark: SparkSession, folder: str, fmt: str, schema=None, max_files: int = 1000):
-    """The same layout as a file stream: JSON Lines as text rows, CSV and Parquet with a schema."""
-    reader = spark.readStream.option("maxFilesPerTrigger", max_files).option(
-        "recursiveFileLookup", True
-    )
+def _any_case(suffix: str) -> str:
+    """A suffix as a glob that takes it in any case."""
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in suffix)
+
+
+# File names of each format, as globs of Spark's file sources.
+GLOBS = {s[1:]: f"*{_any_case(s)}" for s in SUFFIXES} | {
+    "jsonl": f"*{{{_any_case('.jsonl')},{_any_case('.jsonl.gz')}}}"
+}
+
+
+def stream_files(
+    spark: SparkSession,
+    folder: str,
+    fmt: str,
+    schema: T.StructType | str | None = None,
+    max_files: int = 1000,
+    glob: str | None = None,
+) -> DataFrame:
+    """Files of one format below a folder as a stream, in the shape the batch reader gives them, with their
+    place: JSON Lines and JSON documents as JSON text, CSV and Parquet typed.
+
+    Files of other formats and metadata files are left alone. Without a ``schema``, CSV and Parquet take that
+    of the files that are there at the start; a CSV file with another header then makes the stream fail,
+    where a reader that goes by position would mix up columns. The row within a block of a text file is not
+    known in a stream (null); :func:`numbered` adds it to a micro-batch.
+    """
+    if fmt not in GLOBS:
+        raise ValueError(f"unknown format {fmt!r}; known are {', '.join(sorted(GLOBS))}")
+    options = {"recursiveFileLookup": True, "pathGlobFilter": glob or GLOBS[fmt]}
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files).options(**options)
+    data = is_data_file(F.col("_metadata.file_path"))
+    unknown, block = F.lit(None).cast("long"), F.col("_metadata.file_block_start")
     if fmt == "jsonl":
-        return json_lines(reader.text(folder))
+        return json_lines(_position(reader.text(folder).where(data), 0, unknown, block, "value"), keep=ORDINAL)
+    if fmt == "json":
+        docs = _position(reader.text(folder, wholetext=True).where(data), 0, unknown, block, "value")
+        return json_documents(docs, keep=ORDINAL).withColumn(ORD_ROW, F.col("__item").cast("long")).drop("__item")
     if fmt == "csv":
-        return reader.options(header=True, quote='"', escape='"', multiLine=True).schema(schema).csv(folder)
-    return reader.schema(schema).parquet(folder)
+        options |= {**CSV_OPTIONS, "multiLine": True, "enforceSchema": False}
+        rows = reader.options(**options).schema(schema or spark.read.options(**options).csv(folder).schema).csv(folder)
+        return _position(rows.where(data), 0, unknown, block, *[F.col(f"`{c}`") for c in rows.columns])
+    rows = reader.schema(schema or spark.read.options(**options).parquet(folder).schema).parquet(folder)
+    row = F.col("_metadata.row_index")
+    columns = [F.col(f"`{c}`") for c in rows.columns]
+    return _position(rows.where(data), 0, row, F.shiftright(row, BLOCK_BITS), *columns)
+
+
+def numbered(batch: DataFrame) -> DataFrame:
+    """Rows of a micro-batch with the row numbers that the stream could not give."""
+    return batch.withColumn(ORD_ROW, F.coalesce(ORD_ROW, F.monotonically_increasing_id()))
+
+
+def stream_dataset(
+    spark: SparkSession, folder: str, schemas: dict[str, T.StructType | str] | None = None, max_files: int = 1000
+) -> DataFrame:
+    """Files of all formats below a folder as one stream of JSON rows, dispatched by suffix.
+
+    Formats that have a schema in ``schemas`` or files at the start are read; CSV and Parquet files of a format
+    that is neither named nor there yet would need a schema, so name it if they are to come later.
+    """
+    schemas = schemas or {}
+    there = {file_format(r.path) for r in list_data_files(spark, folder).select("path").collect()}
+    formats = [fmt for fmt in GLOBS if fmt in ("jsonl", "json") or fmt in schemas or fmt in there]
+    return unite([as_json_rows(stream_files(spark, folder, fmt, schemas.get(fmt), max_files)) for fmt in formats])
 
 
 # --- samples -------------------------------------------------------------------------------------

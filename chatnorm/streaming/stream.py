@@ -13,6 +13,7 @@ from ..functions.messages import conversation_json
 from ..operators.convert import convert_json, convert_table
 from ..operators.dedup import fingerprint
 from ..sinks.writers import write_records
+from ..sources.fingerprint_index import FingerprintIndex
 from ..types import JSON_ROW, RECORD_COLUMNS, Mapping
 
 
@@ -39,13 +40,32 @@ def stream_records(rows: DataFrame, mapping: Mapping, domain: str) -> DataFrame:
 
 
 def drop_seen(records: DataFrame, within: str | None = None, event_time: str | None = None) -> DataFrame:
-    """Drop records seen earlier in the stream. The state is one key per record and is kept for
+    """Drop records seen earlier in the stream; :func:`drop_known` takes care of other runs. The state is one key per record and is kept for
     ever; with ``within`` (and an ``event_time`` column) it expires."""
     if within:
         return records.withWatermark(event_time, within).dropDuplicatesWithinWatermark(["domain", "fp"])
     return records.dropDuplicates(["domain", "fp"])
 
 
+def drop_known(records: DataFrame, indexes: list[FingerprintIndex], run: str) -> DataFrame:
+    """Drop records that earlier output has, whoever wrote it. Comes before :func:`drop_seen`, so that
+    known records never enter its state.
+
+    What the stream ``run`` wrote itself doesn't count: a batch that is run again after a failure must
+    give its rows again, and its earlier batches are in the state.
+    """
+    fp = F.unhex("fp")
+    for index in indexes:
+        known = index.others(run).withColumnRenamed("fp", "__known")
+        records = records.join(known, fp == F.col("__known"), "left_anti")
+    return records
+
+
+def run_name(checkpoint: str) -> str:
+    """Name of the run that a checkpoint folder belongs to."""
+    return hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+
 def start(
     records: DataFrame,
     checkpoint: str,
@@ -62,7 +82,7 @@ def start(
     every run its own ``checkpoint``; starting again with the same one resumes it. ``run`` names
     the folder of a run (default: derived from its checkpoint). ``progress`` gets (batch id, rows).
     """
-    run = run or hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+    run = run or run_name(checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         observation = Observation()
