@@ -206,7 +206,7 @@ def stream_formats(spark, sf_dir):
     # One JSON document for each source, a list of objects.
     rest = documents.join(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
     rest = rest.where("lang IS NULL OR lang NOT IN ('en', 'fr', 'de')").groupBy("source").agg(F.collect_list(row).alias("rows"))
-    listed = F.concat(F.lit("["), F.array_join("rows", ",\n"), F.lit("]"))
+    listed = F.concat(F.lit("["), F.array_join("rows", ", "), F.lit("]"))
     rest.select("source", listed.alias("value")).repartition("source").write.partitionBy("source").options(
         sep="\x01", quote="", escapeQuotes=False, header=False, extension="json"
     ).csv(f"{folder}/data/d")
