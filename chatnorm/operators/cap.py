@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ..plans.session import written
 
 
-def cap_rows(df: DataFrame, cap: int, group: list[str], block: list[str], row: str) -> DataFrame:
+def cap_rows(
+    df: DataFrame, cap: int, group: list[str], block: list[str], row: str, taken: DataFrame | None = None
+) -> DataFrame:
     """First ``cap`` rows of each group in (block, row) order.
 
     ``block`` columns cut a group into runs of bounded length, ``row`` orders the rows of a run.
@@ -16,13 +18,20 @@ def cap_rows(df: DataFrame, cap: int, group: list[str], block: list[str], row: s
     cap is reached is found on those counts, and only that block is ranked. The last kept position
     per group (one short row each) then filters the rows in place, without a shuffle of them
     while that table is small enough to broadcast.
+
+    ``taken`` (group columns and ``taken``) has rows of the groups that count already.
     """
     if cap <= 0:
         return df.where(F.lit(False))
+    if taken is not None:
+        df = df.join(taken.where(F.col("taken") >= cap), group, "left_anti")
     counts = df.groupBy(*group, *block).agg(F.count(F.lit(1)).alias("__n"))
     so_far = F.sum("__n").over(
         Window.partitionBy(*group).orderBy(*block).rowsBetween(Window.unboundedPreceding, 0)
     )
+    if taken is not None:
+        counts = counts.join(taken, group, "left")
+        so_far = so_far + F.coalesce("taken", F.lit(0))
     edges = written(
         counts.withColumn("__upto", so_far)
         .where((F.col("__upto") >= cap) & (F.col("__upto") - F.col("__n") < cap))

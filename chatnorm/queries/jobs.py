@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ..operators.convert import convert_table, export_records
@@ -14,11 +16,15 @@ from ..sources.catalog import DOMAIN_DDL
 from ..sources.fingerprint_index import refresh
 from ..sources.outputs import existing_fingerprints
 from ..sources.readers import list_data_files, read_files, stream_dataset, stream_files
+from ..streaming.domain_stream import dataset_of, start_domain
 from ..streaming.stream import drop_known, drop_seen, run_name, start, stream_records
-from ..types import JSON_ROW, RECORD_COLUMNS, Mapping, local_frame
+from ..types import JSON_ROW, RECORD_COLUMNS, Mapping, local_frame, mappings_frame
 from .common import SQL_PAIRS, gathered, table, turn_pairs, write_json_lines
 from .records import _SQL_CONVERSATION, _SQL_TWO_SIDED, _two
 
+# Folder that Spark's writer gives to rows without a value of a partition column.
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+RECORD_DDL = ", ".join(f"{c} STRING" for c in RECORD_COLUMNS)
 _DOCS = Mapping(
     "docs",
     "natural_language",
@@ -221,7 +227,72 @@ def stream_formats(spark, sf_dir):
     return spark.read.schema("doc_id BIGINT, lang STRING, digest STRING").parquet(path)
 
 
+_CHATS = Mapping("org/chats", "natural_language", conversation_type="multi_turn", messages_field="messages")
+_PAIRS = Mapping(
+    "org/pairs", "natural_language", conversation_type="single_turn", user_field="question", assistant_field="answer"
+)
+
+
+def _domain_stream(spark, folder, mappings, depth, max_files=2, **options):
+    """One start of the stream over what lies below ``data``, with the mapping table as it is now."""
+    mappings_frame(spark, mappings).write.mode("overwrite").parquet(f"{folder}/mappings")
+    rows = stream_dataset(spark, f"{folder}/data", max_files=max_files)
+    rows = rows.withColumn("dataset_id", dataset_of(f"{folder}/data", depth))
+    start_domain(
+        rows,
+        lambda s: s.read.parquet(f"{folder}/mappings"),
+        f"{folder}/checkpoint",
+        "parquet",
+        "",
+        f"{folder}/out",
+        deep=False,
+        **options,
+    ).awaitTermination()
+
+
+def stream_domain(spark, sf_dir):
+    """Three datasets in one stream. The second has no mapping yet when its rows come in; the second start has one
+    for all, and a third dataset. Duplicates of any batch are dropped."""
+    folder = shared_folder(spark)
+    documents = table(spark, sf_dir, "documents").select("text", "lang", "source")
+    write_json_lines(documents, f"{folder}/data/org/docs/default/train")
+    write_json_lines(gathered(spark, sf_dir), f"{folder}/data/org/chats/default/train")
+    docs = replace(_DOCS, dataset_id="org/docs")
+    _domain_stream(spark, folder, [docs], 2)
+    write_json_lines(turn_pairs(spark, sf_dir), f"{folder}/data/org/pairs/default/train")
+    _domain_stream(spark, folder, [docs, _CHATS, _PAIRS], 2)
+    out = spark.read.schema(local_frame(spark, [], RECORD_DDL).schema).parquet(f"{folder}/out")
+    return out.select("conversation", "language", "dataset_id")
+
+
+def stream_cap(spark, sf_dir):
+    """At most 20 records per dataset, one for each source, exactly, over batches and starts: English and German
+    documents come with the first start, the others with the second."""
+    folder = shared_folder(spark)
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    mappings = [
+        replace(_DOCS, dataset_id=r.id, metadata_fields=("doc_id",))
+        for r in documents.select(F.concat(F.lit("source="), F.coalesce("source", F.lit(_NULL_FOLDER))).alias("id")).distinct().collect()
+    ]
+    early = F.coalesce(F.col("lang").isin("en", "de"), F.lit(False))
+    for part, rows in enumerate((documents.where(early), documents.where(~early))):
+        row = F.to_json(F.struct("doc_id", "text", "lang"))
+        ordered = rows.select("source", "doc_id", row.alias("value")).repartition("source").sortWithinPartitions("source", "doc_id")
+        ordered.drop("doc_id").write.mode("append").partitionBy("source").options(
+            sep="\x01", quote="", escapeQuotes=False, header=False, extension="jsonl"
+        ).csv(f"{folder}/data")
+        _domain_stream(spark, folder, mappings, 1, max_files=16, cap=20, deduplicate=False)
+    out = spark.read.schema(local_frame(spark, [], RECORD_DDL).schema).parquet(f"{folder}/out")
+    return out.select(
+        F.get_json_object("metadata", "$.doc_id").cast("bigint").alias("doc_id"),
+        F.nullif(F.replace("dataset_id", F.lit("source=")), F.lit(_NULL_FOLDER)).alias("source"),
+        F.sha1("conversation").alias("digest"),
+    )
+
+
 QUERIES = {
+    "stream_domain": stream_domain,
+    "stream_cap": stream_cap,
     "stream_formats": stream_formats,
     "fingerprint_index": fingerprint_index,
     "stream_incremental_dedup": stream_incremental_dedup,
@@ -243,6 +314,19 @@ _FP = "sha1(conversation || chr(10) || '<SEP>' || chr(10))"
 _SQL_FIRST = "language IN ('english', 'german')"
 
 SQL = {
+    "stream_domain": f"""
+        SELECT DISTINCT conversation, language, 'org/docs' AS dataset_id FROM ({_SQL_DOCS})
+        UNION ALL
+        SELECT DISTINCT conversation, 'unknown', 'org/chats' FROM (SELECT {_SQL_CONVERSATION} AS conversation {_SQL_TWO_SIDED})
+        UNION ALL
+        SELECT conversation, 'unknown', 'org/pairs' FROM (
+          SELECT DISTINCT {_two('question', 'answer')} AS conversation FROM ({SQL_PAIRS}))
+        WHERE conversation NOT IN (SELECT {_SQL_CONVERSATION} {_SQL_TWO_SIDED})""",
+    "stream_cap": f"""
+        SELECT d.doc_id, d.source, sha1(conversation) AS digest
+        FROM ({_SQL_DOCS}) x JOIN documents d USING (doc_id)
+        QUALIFY row_number() OVER (
+          PARTITION BY d.source ORDER BY CASE WHEN d.lang IN ('en', 'de') THEN 0 ELSE 1 END, d.doc_id) <= 20""",
     "stream_formats": "SELECT doc_id, lang, sha1(text) AS digest FROM documents",
     "fingerprint_index": f"""
         SELECT f.format, {_FP} AS fp, CASE WHEN bool_or({_SQL_FIRST}) THEN 1 ELSE 2 END AS run

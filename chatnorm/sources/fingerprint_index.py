@@ -33,19 +33,19 @@ _FILES = "path STRING, length BIGINT, modified BIGINT"
 
 @dataclass(frozen=True)
 class FingerprintIndex:
-    """``rows`` has ``fp BINARY, run STRING`` (the stream run that wrote it, or null)."""
+    """``rows`` has ``fp BINARY, run STRING, batch BIGINT``: the stream run and batch that wrote it, or nulls."""
 
     rows: DataFrame
     buckets: int
 
-    def others(self, run: str | None = None) -> DataFrame:
-        """Fingerprints written by anything but a stream run."""
+    def others(self, run: str | None = None, before: int = 0) -> DataFrame:
+        """Fingerprints written by anything but a stream run, or by its batches ``before`` one."""
         rows = self.rows
         if run is not None:
-            rows = rows.where(F.col("run").isNull() | (F.col("run") != run))
+            rows = rows.where(F.col("run").isNull() | (F.col("run") != run) | (F.col("batch") < before))
         return rows.select("fp")
 
-    def unseen(self, keys: DataFrame, run: str | None = None) -> DataFrame:
+    def unseen(self, keys: DataFrame, run: str | None = None, before: int = 0) -> DataFrame:
         """Rows of ``keys`` (with a binary ``fp``, dealt by it) whose fingerprint is not in the index.
 
         Rows dealt into another number of partitions are dealt anew; the index stays where it is. Not an anti
@@ -54,7 +54,7 @@ class FingerprintIndex:
         """
         if int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")) != self.buckets:
             keys = keys.repartition(self.buckets, "fp")
-        known = self.others(run).withColumnRenamed("fp", "__known")
+        known = self.others(run, before).withColumnRenamed("fp", "__known")
         return keys.join(known, F.col("fp") == F.col("__known"), "left").where("__known IS NULL").drop("__known")
 
 
@@ -68,9 +68,10 @@ def _listed(spark: SparkSession, output: str) -> DataFrame:
     return found.select("path", "length", F.unix_micros("modificationTime").alias("modified"))
 
 
-def _run_of(path: Column) -> Column:
-    run = F.regexp_extract(path, "/run=([^/]+)/batch_id=", 1)
-    return F.when(run != "", run)
+def _written_by(path: Column) -> list[Column]:
+    """Stream run and batch that a path names."""
+    run, batch = (F.regexp_extract(path, "/run=([^/]+)/batch_id=([0-9]+)/", i) for i in (1, 2))
+    return [F.when(run != "", run).alias("run"), F.when(run != "", batch).cast("long").alias("batch")]
 
 
 def _table(spark: SparkSession, generation: str, buckets: int) -> str:
@@ -78,7 +79,7 @@ def _table(spark: SparkSession, generation: str, buckets: int) -> str:
     name = f"fingerprints_{hashlib.sha1(generation.encode()).hexdigest()}"
     location = f"{generation}/buckets-{buckets}".replace("'", "\\'")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} (fp BINARY, run STRING) USING parquet "
+        f"CREATE TABLE IF NOT EXISTS {name} (fp BINARY, run STRING, batch BIGINT) USING parquet "
         f"CLUSTERED BY (fp) SORTED BY (fp) INTO {buckets} BUCKETS LOCATION '{location}'"
     )
     spark.catalog.refreshTable(name)
@@ -87,7 +88,7 @@ def _table(spark: SparkSession, generation: str, buckets: int) -> str:
 
 def _append(spark: SparkSession, generation: str, buckets: int, rows: DataFrame) -> None:
     """One file per bucket: each task has the rows of one."""
-    rows.select("fp", "run").write.insertInto(_table(spark, generation, buckets))
+    rows.select("fp", "run", "batch").write.insertInto(_table(spark, generation, buckets))
 
 
 def _buckets_of(generations: Generations, generation: str) -> int:
@@ -98,22 +99,30 @@ def _parsed(spark: SparkSession, files: list[str], fmt: str, buckets: int) -> Da
     """Distinct fingerprints of output files, dealt into buckets."""
     rows = read_output(spark, files, fmt).select(
         F.unhex(fingerprint(F.col("conversation"), F.col("reasoning"))).alias("fp"),
-        _run_of(F.col("_metadata.file_path")).alias("run"),
+        *_written_by(F.col("_metadata.file_path")),
     )
     return rows.distinct().repartition(buckets, "fp")
 
 
 def refresh(
-    spark: SparkSession, output: str, fmt: str, buckets: int | None = None, compact_after: int = COMPACT_AFTER
+    spark: SparkSession,
+    output: str,
+    fmt: str,
+    buckets: int | None = None,
+    compact_after: int = COMPACT_AFTER,
+    without: str | None = None,
 ) -> FingerprintIndex | None:
     """Bring the index of an output folder (``fmt`` csv or parquet) up to date; None where there is no output.
 
-    One writer at a time maintains the index of an output folder; readers need not wait for it.
+    One writer at a time maintains the index of an output folder; readers need not wait for it. Files whose path
+    holds ``without`` are left for later: what a batch that may be run again writes.
     """
     if not path_exists(spark, output):
         return None
     generations = Generations(spark, index_root(output))
     now = _listed(spark, output)
+    if without:
+        now = now.where(~F.col("path").contains(without))
     generation = generations.current()
     if generation is not None:
         covered = spark.read.schema(_FILES).parquet(f"{generation}/files")
