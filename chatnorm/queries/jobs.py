@@ -15,7 +15,7 @@ from ..sinks.writers import write_records, write_table
 from ..sources.catalog import DOMAIN_DDL
 from ..sources.fingerprint_index import refresh
 from ..sources.outputs import existing_fingerprints
-from ..sources.readers import list_data_files, read_files, stream_dataset, stream_files
+from ..sources.readers import list_data_files, read_csv, read_files, stream_dataset, stream_files
 from ..streaming.domain_stream import dataset_of, start_domain
 from ..streaming.stream import drop_known, drop_seen, run_name, start, stream_records
 from ..types import JSON_ROW, RECORD_COLUMNS, Mapping, local_frame, mappings_frame
@@ -227,6 +227,22 @@ def stream_formats(spark, sf_dir):
     return spark.read.schema("doc_id BIGINT, lang STRING, digest STRING").parquet(path)
 
 
+def csv_block_load(spark, sf_dir):
+    """Documents in CSV files whose values hold line breaks and quotes, each file read by many tasks."""
+    folder = shared_folder(spark)
+    quoted = F.concat(F.lit('"'), F.col("text"), F.lit('"\r\n,'), F.col("lang"))
+    documents = table(spark, sf_dir, "documents").select("doc_id", quoted.alias("text"), "lang")
+    write_table(documents.coalesce(2), f"{folder}/docs", "csv")
+    paths = [r.path for r in list_data_files(spark, folder).collect()]
+    block = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 18))  # small files, so small blocks
+    try:
+        rows = written(read_csv(spark, paths).select("doc_id", "lang", F.sha1("text").alias("digest")))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    return rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "digest")
+
+
 _CHATS = Mapping("org/chats", "natural_language", conversation_type="multi_turn", messages_field="messages")
 _PAIRS = Mapping(
     "org/pairs", "natural_language", conversation_type="single_turn", user_field="question", assistant_field="answer"
@@ -291,6 +307,7 @@ def stream_cap(spark, sf_dir):
 
 
 QUERIES = {
+    "csv_block_load": csv_block_load,
     "stream_domain": stream_domain,
     "stream_cap": stream_cap,
     "stream_formats": stream_formats,
@@ -314,6 +331,8 @@ _FP = "sha1(conversation || chr(10) || '<SEP>' || chr(10))"
 _SQL_FIRST = "language IN ('english', 'german')"
 
 SQL = {
+    "csv_block_load": """
+        SELECT doc_id, lang, sha1('"' || text || '"' || chr(13) || chr(10) || ',' || lang) AS digest FROM documents""",
     "stream_domain": f"""
         SELECT DISTINCT conversation, language, 'org/docs' AS dataset_id FROM ({_SQL_DOCS})
         UNION ALL

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import json_fields, json_items, strip, variant_kind
+from ..plans.session import file_system
 from ..types import JSON_ROW, ORD_BLOCK, ORD_FILE, ORD_ROW, ORD_SPLIT, ORDINAL
+from .csv_blocks import read_csv_blocks
 
 # Fixed values.
 SUFFIXES = [".jsonl", ".json", ".csv", ".parquet"]
@@ -145,27 +147,46 @@ CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "inferSchema": False
 
 
 def read_csv(
-    spark: SparkSession, paths: list[str], split_pos: int = 0, multiline: bool = True
+    spark: SparkSession, paths: list[str], split_pos: int = 0, multiline: bool = True, first_rows: bool = False
 ) -> DataFrame:
     """CSV with a header, all values text. Spark applies the first header to all files of a read,
     so files are grouped by their header first.
 
-    With ``multiline`` (the default, since a quoted value may hold line breaks) a file is read by
-    one task; ``multiline=False`` makes large files splittable where no value has line breaks.
+    With ``multiline`` (the default, since a quoted value may hold line breaks) a file that fits into
+    one input block is read by one task, and a larger one by a task per block (``csv_blocks``). Both
+    give the same rows. ``multiline=False`` saves the look at quotes where no value has line
+    breaks. ``first_rows`` reads any file from its beginning, for a reader that soon stops.
     """
     options = {**CSV_OPTIONS, "multiLine": multiline}
+    block = input_block(spark)
     groups: dict[tuple, list[str]] = {}
     for path in paths:
         header = tuple(spark.read.options(**options).csv(path).columns)
-        groups.setdefault(header, []).append(path)
+        in_blocks = multiline and not first_rows and file_length(spark, path) > block
+        groups.setdefault((header, in_blocks), []).append(path)
     frames = []
-    for header, files in groups.items():
+    for (header, in_blocks), files in groups.items():
+        if in_blocks:
+            rows = read_csv_blocks(spark, files, list(header), CSV_OPTIONS)
+            frames.append(rows.withColumn(ORD_SPLIT, F.lit(split_pos)).select(*[f"`{c}`" for c in header], *ORDINAL))
+            continue
         schema = ", ".join("`" + c.replace("`", "``") + "` STRING" for c in header)
         df = spark.read.options(**options).schema(schema).csv(files)
         frames.append(_task_position(df, split_pos, *[F.col(f"`{c}`") for c in df.columns]))
     return unite(frames)
 
 
+def file_length(spark: SparkSession, path: str) -> int:
+    fs, hadoop_path = file_system(spark, path)
+    return fs.getFileStatus(hadoop_path).getLen()
+
+
+def input_block(spark: SparkSession) -> int:
+    """Bytes of a file that one task reads at most."""
+    text = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    return spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
+
+
 def read_parquet(spark: SparkSession, paths: list[str], split_pos: int = 0) -> DataFrame:
     """Parquet rows. Columns are those of all files, not only of the first."""
     df = spark.read.option("mergeSchema", len(paths) > 1).parquet(*paths)
@@ -177,7 +198,7 @@ _READERS = {"jsonl": read_jsonl, "json": read_json, "parquet": read_parquet}
 
 
 def read_files(
-    spark: SparkSession, paths: list[str], split_pos: int = 0, csv_multiline: bool = True
+    spark: SparkSession, paths: list[str], split_pos: int = 0, csv_multiline: bool = True, first_rows: bool = False
 ) -> DataFrame:
     """Files of any supported format; one reader per format, other suffixes give no rows.
 
@@ -191,7 +212,7 @@ def read_files(
         raise ValueError("no file of a known format")
     return unite(
         [
-            read_csv(spark, files, split_pos, csv_multiline)
+            read_csv(spark, files, split_pos, csv_multiline, first_rows)
             if fmt == "csv"
             else _READERS[fmt](spark, files, split_pos)
             for fmt, files in by_format.items()
@@ -388,7 +409,7 @@ def sample_json(spark: SparkSession, dataset: Dataset, n: int = 12) -> list[str]
     """
     rows: list[str] = []
     for split_pos, path in dataset.files:
-        one = as_json_rows(sample_safe(read_files(spark, [path], split_pos, dataset.csv_multiline)))
+        one = as_json_rows(sample_safe(read_files(spark, [path], split_pos, dataset.csv_multiline, first_rows=True)))
         rows += [r[0] for r in one.select(JSON_ROW).limit(n - len(rows)).collect()]
         if len(rows) >= n:
             break
