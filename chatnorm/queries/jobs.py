@@ -15,10 +15,10 @@ from ..sinks.writers import write_records, write_table
 from ..sources.catalog import DOMAIN_DDL
 from ..sources.fingerprint_index import refresh
 from ..sources.outputs import existing_fingerprints
-from ..sources.readers import list_data_files, read_csv, read_files, stream_dataset, stream_files
+from ..sources.readers import list_data_files, read_csv, read_files, read_json, stream_dataset, stream_files
 from ..streaming.domain_stream import dataset_of, start_domain
 from ..streaming.stream import drop_known, drop_seen, run_name, start, stream_records
-from ..types import JSON_ROW, RECORD_COLUMNS, Mapping, local_frame, mappings_frame
+from ..types import JSON_ROW, ORD_FILE, RECORD_COLUMNS, Mapping, local_frame, mappings_frame
 from .common import SQL_PAIRS, gathered, table, turn_pairs, write_json_lines
 from .records import _SQL_CONVERSATION, _SQL_TWO_SIDED, _two
 
@@ -243,6 +243,36 @@ def csv_block_load(spark, sf_dir):
     return rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "digest")
 
 
+def json_block_load(spark, sf_dir):
+    """All documents as two JSON documents, a list and a list wrapped among other members, each cut into its
+    objects by many tasks."""
+    folder = shared_folder(spark)
+    rows = table(spark, sf_dir, "documents").select(
+        "lang", F.to_json(F.struct("doc_id", "lang", F.concat(F.lit('}"{['), "text").alias("text"))).alias("row")
+    )
+    # A document is a line of a file: its beginning, its rows and its end in this order, one file each.
+    for name, which, start, end in (
+        ("list", "lang = 'en'", "[", "]"),
+        ("wrapped", "lang IS NULL OR lang <> 'en'", '{"n": [{"doc_id": 0}], "items": [1, ', '], "after": {"x": {"doc_id": 0}}}'),
+    ):
+        inner = rows.where(which).select(F.lit(1).alias("place"), F.concat("row", F.lit(",")).alias("value"))
+        ends = local_frame(spark, [(0, start), (2, "null" + end)], "place INT, value STRING")
+        lines = ends.unionByName(inner).coalesce(1).sortWithinPartitions("place")
+        lines.select("value").write.options(
+            sep="\x01", quote="", escapeQuotes=False, header=False, extension="json"
+        ).csv(f"{folder}/data/{name}")
+    paths = [r.path for r in list_data_files(spark, folder).collect()]
+    block = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 18))  # small files, so small blocks
+    try:
+        found = written(read_json(spark, paths).select(JSON_ROW, ORD_FILE))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    value = F.from_json(JSON_ROW, "doc_id BIGINT, lang STRING, text STRING")
+    form = F.regexp_extract(ORD_FILE, "/data/([a-z]+)/", 1)
+    return found.select(value.alias("r"), form.alias("form")).select("form", "r.doc_id", "r.lang", F.sha1("r.text").alias("digest"))
+
+
 _CHATS = Mapping("org/chats", "natural_language", conversation_type="multi_turn", messages_field="messages")
 _PAIRS = Mapping(
     "org/pairs", "natural_language", conversation_type="single_turn", user_field="question", assistant_field="answer"
@@ -307,6 +337,7 @@ def stream_cap(spark, sf_dir):
 
 
 QUERIES = {
+    "json_block_load": json_block_load,
     "csv_block_load": csv_block_load,
     "stream_domain": stream_domain,
     "stream_cap": stream_cap,
@@ -331,6 +362,9 @@ _FP = "sha1(conversation || chr(10) || '<SEP>' || chr(10))"
 _SQL_FIRST = "language IN ('english', 'german')"
 
 SQL = {
+    "json_block_load": """
+        SELECT CASE WHEN lang = 'en' THEN 'list' ELSE 'wrapped' END AS form, doc_id, lang,
+          sha1('}"{[' || text) AS digest FROM documents""",
     "csv_block_load": """
         SELECT doc_id, lang, sha1('"' || text || '"' || chr(13) || chr(10) || ',' || lang) AS digest FROM documents""",
     "stream_domain": f"""

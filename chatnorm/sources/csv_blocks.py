@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..types import ORD_BLOCK, ORD_FILE, ORD_ROW
+from .blocks import block_lines, block_runs, block_states, parts_of_records
 
 #: Text inside quotes up to a quote that isn't doubled, and a field outside of them. A quote counts as one only at
 #: the beginning of a field; what follows the closing quote belongs to the field up to the separator.
@@ -42,34 +43,6 @@ def ends_inside(line: str, inside: bool) -> bool:
     return bool((_STAYS if inside else _OPENS).match(line))
 
 
-def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return spark.read.text(paths, lineSep="\n").select(
-        F.col("_metadata.file_path").alias(ORD_FILE),
-        F.col("_metadata.file_block_start").alias(ORD_BLOCK),
-        F.monotonically_increasing_id().alias(ORD_ROW),
-        "value",
-    )
-
-
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], dict[str, pa.Array]]]:
-    """Consecutive rows of one block: ``(file, block)`` and their columns. A block may come in several runs."""
-    for batch in batches:
-        columns = dict(zip(batch.schema.names, batch.columns, strict=True))
-        files, blocks = columns[ORD_FILE], columns[ORD_BLOCK]
-        start = 0
-        while start < batch.num_rows:
-            key = files[start].as_py(), blocks[start].as_py()
-            low, high = start, batch.num_rows - 1
-            while low < high:  # rows of a block are neighbours: halve towards its last one
-                middle = (low + high + 1) // 2
-                if (files[middle].as_py(), blocks[middle].as_py()) == key:
-                    low = middle
-                else:
-                    high = middle - 1
-            yield key, {name: column.slice(start, low + 1 - start) for name, column in columns.items()}
-            start = low + 1
-
-
 _ENDS = f"{ORD_FILE} string, {ORD_BLOCK} bigint, if_outside boolean, if_inside boolean, crlf boolean"
 
 
@@ -78,7 +51,7 @@ def block_ends(lines: DataFrame) -> DataFrame:
 
     def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends: dict[tuple[str, int], list[bool]] = {}
-        for key, columns in _runs(batches):
+        for key, columns in block_runs(batches):
             texts = columns["value"].to_pylist()
             state = ends.setdefault(key, [False, True, texts[0].endswith("\r")])
             for line in texts:
@@ -93,27 +66,6 @@ def block_ends(lines: DataFrame) -> DataFrame:
     return lines.mapInArrow(folded, _ENDS)
 
 
-def block_begins(ends: DataFrame) -> DataFrame:
-    """``file, block, begins, stops, crlf``: whether each block begins and ends inside quotes, and the file's line ends.
-
-    A block either ends the same way for both beginnings, or keeps the beginning, or turns it round. So a block
-    begins as the last one of the first kind before it ended (outside, at the start of a file), turned round
-    once for each block in between that does so.
-    """
-    order = Window.partitionBy(ORD_FILE).orderBy(ORD_BLOCK)
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    fixed = F.col("if_outside") == F.col("if_inside")
-    turns = F.when(~fixed & F.col("if_outside"), 1).otherwise(0)
-    turned = ends.withColumn("turned", F.sum(turns).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    last = F.last(F.when(fixed, F.struct("if_outside", "turned")), ignorenulls=True).over(before)
-    since = F.coalesce(F.sum(turns).over(before), F.lit(0)) - F.coalesce(last["turned"], F.lit(0))
-    begins = F.coalesce(last["if_outside"], F.lit(False)).cast("int").bitwiseXOR((since % 2).cast("int")) == 1
-    known = turned.withColumn("begins", begins)
-    stops = F.when(F.col("begins"), F.col("if_inside")).otherwise(F.col("if_outside"))
-    crlf = F.first("crlf").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    return known.select(ORD_FILE, ORD_BLOCK, "begins", stops.alias("stops"), crlf.alias("crlf"))
-
-
 class _Cutter:
     """Cuts the lines of one block after the other into records."""
 
@@ -171,7 +123,7 @@ def _cut(pieces: bool):
             out.clear()
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-        for key, columns in _runs(batches):
+        for key, columns in block_runs(batches):
             if cutter is None or key != cutter.key:
                 add(cutter and cutter.rest())
                 cutter = _Cutter(key, columns["begins"][0].as_py(), columns["crlf"][0].as_py())
@@ -189,25 +141,17 @@ def _cut(pieces: bool):
 
 def csv_records(spark: SparkSession, paths: list[str]) -> DataFrame:
     """``file, block, row, text`` of each record but the headers; the place is that of its first line."""
-    lines = _lines(spark, paths)
-    states = block_begins(block_ends(lines)).persist(StorageLevel.MEMORY_AND_DISK)
+    lines = block_lines(spark, paths, "\n")
+    first = Window.partitionBy(ORD_FILE).orderBy(ORD_BLOCK).rowsBetween(Window.unboundedPreceding, 0)
+    states = block_states(block_ends(lines)).withColumn("crlf", F.first("crlf").over(first))
+    states = states.select(ORD_FILE, ORD_BLOCK, "begins", "stops", "crlf").persist(StorageLevel.MEMORY_AND_DISK)
     place = [ORD_FILE, ORD_BLOCK, ORD_ROW]
     # The order within a block matters. A broadcast join keeps it, a shuffle join wouldn't.
     known = lines.join(states, [ORD_FILE, ORD_BLOCK]).sortWithinPartitions(*place)
     whole = known.mapInArrow(_cut(pieces=False), _PIECE).select(*place, "text")
     over = lines.join(states.where("begins OR stops"), [ORD_FILE, ORD_BLOCK]).sortWithinPartitions(*place)
     pieces = over.mapInArrow(_cut(pieces=True), _PIECE)
-    tails = F.sum(F.when(F.col("kind") == "tail", 1).otherwise(0))
-    numbered = pieces.withColumn("record", tails.over(Window.partitionBy(ORD_FILE).orderBy(ORD_BLOCK, ORD_ROW)))
-    parts = F.array_sort(F.collect_list(F.struct(ORD_BLOCK, ORD_ROW, "text")))
-    # Heads without a tail go on with a header.
-    joined = numbered.where("record > 0").groupBy(ORD_FILE, "record").agg(parts.alias("parts")).select(
-        ORD_FILE,
-        F.col("parts")[0][ORD_BLOCK].alias(ORD_BLOCK),
-        F.col("parts")[0][ORD_ROW].alias(ORD_ROW),
-        F.array_join(F.transform("parts", lambda p: p["text"]), "\n").alias("text"),
-    )
-    return whole.unionByName(joined)
+    return whole.unionByName(parts_of_records(pieces, "\n"))
 
 
 def read_csv_blocks(spark: SparkSession, paths: list[str], header: list[str], options: dict) -> DataFrame:

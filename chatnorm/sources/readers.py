@@ -17,6 +17,7 @@ from ..functions.text import json_fields, json_items, strip, variant_kind
 from ..plans.session import file_system
 from ..types import JSON_ROW, ORD_BLOCK, ORD_FILE, ORD_ROW, ORD_SPLIT, ORDINAL
 from .csv_blocks import read_csv_blocks
+from .json_blocks import json_objects
 
 # Fixed values.
 SUFFIXES = [".jsonl", ".json", ".csv", ".parquet"]
@@ -137,10 +138,22 @@ def read_jsonl(spark: SparkSession, paths: list[str], split_pos: int = 0) -> Dat
     return json_lines(lines, keep=ORDINAL)
 
 
-def read_json(spark: SparkSession, paths: list[str], split_pos: int = 0) -> DataFrame:
-    docs = _task_position(spark.read.text(paths, wholetext=True), split_pos, "value")
-    rows = json_documents(docs, keep=ORDINAL)
-    return rows.withColumn(ORD_ROW, F.col("__item").cast("long")).drop("__item")
+def read_json(
+    spark: SparkSession, paths: list[str], split_pos: int = 0, first_rows: bool = False
+) -> DataFrame:
+    """JSON documents. One that fits into one input block is one row of one task; larger ones are cut into
+    their objects by a task per block (``json_blocks``), which has the same rows of every well-formed document."""
+    block = input_block(spark)
+    large = [] if first_rows else [p for p in paths if file_length(spark, p) > block]
+    frames = []
+    if small := [p for p in paths if p not in set(large)]:
+        docs = _task_position(spark.read.text(small, wholetext=True), split_pos, "value")
+        rows = json_documents(docs, keep=ORDINAL)
+        frames.append(rows.withColumn(ORD_ROW, F.col("__item").cast("long")).drop("__item"))
+    if large:
+        rows = json_objects(spark, large, WRAPPER_KEYS).withColumn(ORD_SPLIT, F.lit(split_pos))
+        frames.append(json_lines(rows, "text", keep=ORDINAL))
+    return union_by_name(frames)
 
 
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "inferSchema": False}
@@ -194,7 +207,7 @@ def read_parquet(spark: SparkSession, paths: list[str], split_pos: int = 0) -> D
     return _position(df, split_pos, row, F.shiftright(row, BLOCK_BITS), *[F.col(f"`{c}`") for c in df.columns])
 
 
-_READERS = {"jsonl": read_jsonl, "json": read_json, "parquet": read_parquet}
+_READERS = {"jsonl": read_jsonl, "parquet": read_parquet}
 
 
 def read_files(
@@ -214,6 +227,8 @@ def read_files(
         [
             read_csv(spark, files, split_pos, csv_multiline, first_rows)
             if fmt == "csv"
+            else read_json(spark, files, split_pos, first_rows)
+            if fmt == "json"
             else _READERS[fmt](spark, files, split_pos)
             for fmt, files in by_format.items()
         ]
@@ -239,6 +254,10 @@ def unite(frames: list[DataFrame]) -> DataFrame:
                 types.setdefault(f.name, set()).add(f.dataType.simpleString())
         if any(JSON_ROW in f.columns for f in frames) or any(len(t) > 1 for t in types.values()):
             frames = [as_json_rows(f) for f in frames]
+    return union_by_name(frames)
+
+
+def union_by_name(frames: list[DataFrame]) -> DataFrame:
     united = frames[0]
     for frame in frames[1:]:
         united = united.unionByName(frame, allowMissingColumns=True)
