@@ -136,17 +136,17 @@ def latest_status(spark, sf_dir):
 
 
 def skip_done(spark, sf_dir):
-    """Datasets left after the registry check and, in a resumed run, after the done ids of the
-    run log (here: of domain dom0)."""
+    """Datasets left after the registry check and, in a resumed run, after the done ids of the run log (entries
+    of all domains, those of few records taken as not done) and of a checkpoint (ids with a very large entry)."""
     log = _log(spark, sf_dir)
     catalog = log.select("domain", "dataset_id").distinct()
     registry = tracking.latest_per_key(log, ["domain", "dataset_id"], "status", ["ts", "event_id"])
     left = tracking.without_registered(catalog, registry)
-    quick = tracking.done_in_log(
-        log.where("domain = 'dom0' AND records_written > 150").withColumn("status", F.upper("status"))
-    )
-    listed = log.where("domain = 'dom0' AND records_written > 200").select("dataset_id")
-    return tracking.without_done(left, tracking.done_ids(quick, listed))
+    unfinished = (F.col("records_written") <= 200) & F.col("status").isin("added", "skipped")
+    status = F.when(unfinished, "started").otherwise(F.upper("status"))
+    quick = tracking.done_in_log(log.withColumn("status", status))
+    listed = log.where("records_written > 300")
+    return tracking.without_done(left, tracking.done_ids(quick, listed.select("dataset_id")))
 
 
 def skip_report(spark, sf_dir):
@@ -262,9 +262,8 @@ SQL = {
             SELECT 1 FROM latest r WHERE r.domain = c.domain AND r.dataset_id = c.dataset_id
               AND r.status IN ('added', 'skipped', 'resumed_skip', 'duplicate_input'))
           AND NOT EXISTS (
-            SELECT 1 FROM log d WHERE d.dataset_id = c.dataset_id AND d.domain = 'dom0'
-              AND (d.records_written > 200
-                   OR (d.records_written > 150 AND d.status IN ('added', 'skipped'))))""",
+            SELECT 1 FROM log d WHERE d.dataset_id = c.dataset_id
+              AND (d.records_written > 300 OR (d.records_written > 200 AND d.status IN ('added', 'skipped'))))""",
     "skip_report": f"""
         WITH {_SQL_LOG} SELECT domain, dataset_id FROM latest WHERE status IN ('added', 'skipped')""",
     "run_summary": f"""

@@ -25,11 +25,14 @@ def multi_turn_convert(spark, sf_dir):
 
 
 def single_turn_convert(spark, sf_dir):
-    """Prompt, auxiliary text and answer from three columns; documents serve as auxiliary text."""
+    """Prompt, auxiliary text and answer from three columns. Documents serve as auxiliary text of the turns of
+    the conversation with their id, and each of them as that of a row of its own."""
     documents = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("conv_id"), F.col("text").alias("input"), "lang", "source"
     )
-    rows = turn_pairs(spark, sf_dir).join(documents, "conv_id", "left")
+    turns = turn_pairs(spark, sf_dir)
+    own = documents.withColumns({"turn": F.lit(-1), "question": F.col("source"), "answer": F.upper("lang")})
+    rows = turns.join(documents, "conv_id", "left").unionByName(own)
     mapping = Mapping(
         "pairs",
         "math",
@@ -221,7 +224,10 @@ SQL = {
           {_LANG} AS language, d.source AS reasoning,
           '{{"dataset_id": "pairs", "task_type": "math", "language_source": "lang", "source_fields": ["question", "input", "answer"], "turn": ' || p.turn || '}}' AS metadata,
           'pairs' AS dataset_id
-        FROM ({SQL_PAIRS}) p LEFT JOIN documents d ON d.doc_id = p.conv_id""",
+        FROM (
+          SELECT * FROM ({SQL_PAIRS})
+          UNION ALL SELECT doc_id, -1, source, upper(lang) FROM documents) p
+        LEFT JOIN documents d ON d.doc_id = p.conv_id""",
     "metadata_build": f"""
         SELECT d.doc_id, '{{"dataset_id": "docs", "task_type": "code_generation", "language_source": "schema.language", "source_fields": ["lang", null, "source"]'
           || CASE WHEN length(text) <= 500 THEN ', "text": ' || {sql_json('text')} ELSE '' END

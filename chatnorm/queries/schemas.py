@@ -33,8 +33,8 @@ def column_scores(spark, sf_dir):
 
 
 def _json_datasets(spark, sf_dir):
-    """Rows of several datasets as JSON text: question/answer pairs in three styles per parity of
-    the conversation, and conversations as message lists."""
+    """Rows of several datasets as JSON text: question/answer pairs per parity of the conversation,
+    all documents by language, and conversations as message lists."""
     pairs = turn_pairs(spark, sf_dir)
     coded = pairs.select(
         F.concat(F.lit("code-"), (F.col("conv_id") % 2).cast("string")).alias("dataset_id"),
@@ -50,11 +50,12 @@ def _json_datasets(spark, sf_dir):
             )
         ).alias(JSON_ROW),
     )
-    prose = pairs.select(
-        F.lit("prose").alias("dataset_id"),
+    documents = table(spark, sf_dir, "documents")
+    prose = documents.select(
+        F.concat(F.lit("prose-"), F.coalesce("lang", F.lit(""))).alias("dataset_id"),
         F.lit("natural_language").alias("task_type"),
-        F.struct("conv_id", "turn").alias("row_pos"),
-        F.to_json(F.struct("turn", F.lit("x").alias("tag"), F.lit("y").alias("other"))).alias(JSON_ROW),
+        F.struct(F.col("doc_id").alias("conv_id"), F.lit(0).cast(pairs.schema["turn"].dataType).alias("turn")).alias("row_pos"),
+        F.to_json(F.struct("n_chars", F.col("text").alias("body"), F.col("source").alias("origin"))).alias(JSON_ROW),
     )
     turns = table(spark, sf_dir, "conversations")
     chats = turns.select(
@@ -203,13 +204,22 @@ _SQL_DETECT = f"""
       QUALIFY row_number() OVER (PARTITION BY conv_id % 2 ORDER BY conv_id, turn) <= 12),
     cells AS (
       UNPIVOT sampled ON instruction, input, output INTO NAME col VALUE v),
+    prose AS (
+      SELECT 'prose-' || coalesce(lang, '') AS dataset_id, text AS body, source AS origin FROM documents
+      QUALIFY row_number() OVER (PARTITION BY lang ORDER BY doc_id) <= 12),
+    prose_cells AS (
+      UNPIVOT prose ON body, origin INTO NAME col VALUE v),
+    scored AS (
+      SELECT dataset_id, col, v, {sql_prompt_score('v')} AS prompt, {sql_code_score('v')} AS answer FROM cells
+      UNION ALL
+      SELECT dataset_id, col, v, {sql_language_score('v')}, {sql_language_score('v')} FROM prose_cells),
     scores AS (
       SELECT dataset_id, col,
-        CASE col WHEN 'instruction' THEN 1 WHEN 'input' THEN 2 ELSE 3 END AS pos,
-        avg({sql_prompt_score('v')}) AS prompt, avg({sql_code_score('v')}) AS answer,
+        CASE WHEN col IN ('instruction', 'body') THEN 1 WHEN col IN ('input', 'origin') THEN 2 ELSE 3 END AS pos,
+        avg(prompt) AS prompt, avg(answer) AS answer,
         count(*) FILTER (NOT {sql_vectorish('v')}) >= greatest(1, count(*) // 2)
           AND avg(length(v)) FILTER (NOT {sql_vectorish('v')}) <= 1200 AS fits
-      FROM cells GROUP BY dataset_id, col),
+      FROM scored GROUP BY dataset_id, col),
     s1 AS (SELECT dataset_id, arg_max(col, (answer, -pos)) AS a, max(answer) AS a_score FROM scores GROUP BY dataset_id),
     s2 AS (
       SELECT dataset_id, arg_max(col, (prompt, -pos)) AS u, max(prompt) AS u_score
@@ -217,16 +227,19 @@ _SQL_DETECT = f"""
     s3 AS (
       SELECT dataset_id, arg_max(CASE WHEN prompt >= 0.8 AND fits THEN col ELSE '' END, (prompt, -pos)) AS i
       FROM scores JOIN s1 USING (dataset_id) JOIN s2 USING (dataset_id)
-      WHERE col <> a AND col <> u GROUP BY dataset_id)
-    SELECT dataset_id, (a_score >= 0.8 AND u_score >= 0.8) AS is_target_dataset,
-      'code_generation' AS task_type, 'single_turn' AS conversation_type, u AS user_field,
-      nullif(i, '') AS input_field, a AS assistant_field, NULL::VARCHAR AS messages_field,
-      'english' AS language, 'Lang' AS language_field
-    FROM s1 JOIN s2 USING (dataset_id) JOIN s3 USING (dataset_id)
-    UNION ALL
-    SELECT 'chats', TRUE, 'math', 'multi_turn', NULL, NULL, NULL, 'messages', 'unknown', NULL
+      WHERE col <> a AND col <> u GROUP BY dataset_id),
+    chosen AS (
+      SELECT *, coalesce(a_score >= 0.8 AND u_score >= 0.8, FALSE) AS fit, dataset_id LIKE 'code%' AS code
+      FROM s1 LEFT JOIN s2 USING (dataset_id) LEFT JOIN s3 USING (dataset_id))
+    SELECT dataset_id, fit AS is_target_dataset,
+      CASE WHEN code THEN 'code_generation' ELSE 'natural_language' END AS task_type,
+      CASE WHEN fit THEN 'single_turn' END AS conversation_type, CASE WHEN fit THEN u END AS user_field,
+      CASE WHEN fit THEN nullif(i, '') END AS input_field, CASE WHEN fit THEN a END AS assistant_field,
+      NULL::VARCHAR AS messages_field,
+      CASE WHEN fit AND code THEN 'english' ELSE 'unknown' END AS language, CASE WHEN fit AND code THEN 'Lang' END AS language_field
+    FROM chosen
     UNION ALL
-    SELECT 'prose', FALSE, 'natural_language', NULL, NULL, NULL, NULL, NULL, 'unknown', NULL"""
+    SELECT 'chats', TRUE, 'math', 'multi_turn', NULL, NULL, NULL, 'messages', 'unknown', NULL"""
 
 _SQL_VALIDATE = """
     WITH r AS (
