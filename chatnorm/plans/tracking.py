@@ -10,12 +10,17 @@ from pyspark.sql import functions as F
 from ..functions.text import json_fields, json_items, strip, utc_text
 from ..sources.outputs import path_exists
 from ..types import REGISTRY_DDL, RUN_LOG_COLUMNS, SYSTEM_ID, local_frame
+from .generations import Generations
+from .session import remove_folder
 
 # Statuses that end the work on a dataset.
 REGISTRY_DONE = ["added", "skipped", "resumed_skip", "duplicate_input"]
 LOG_DONE = ["added", "skipped"]
 SKIPPED = ["skipped", "duplicate_input", "resumed_skip"]
 
+#: Files of marks behind a snapshot of the registry after which a new one is made.
+COMPACT_AFTER = 32
+
 _LOG_DDL = ", ".join(
     f"{c} {'BIGINT' if c == 'records_written' else 'STRING'}" for c in RUN_LOG_COLUMNS
 )
@@ -94,20 +99,75 @@ def latest_per_key(df: DataFrame, keys: list[str], value: str, order: list[str])
     return df.groupBy(*keys).agg(F.max_by(value, F.struct(*order)).alias(value))
 
 
-def mark(spark: SparkSession, path: str, marks: list[tuple[str, str, str]]) -> None:
+def mark(
+    spark: SparkSession, path: str, marks: list[tuple[str, str, str]], compact_after: int = COMPACT_AFTER
+) -> None:
     """Append (domain, dataset_id, status); the last mark of a pair counts."""
     if not marks:
         return
     now = datetime.now(timezone.utc)
     rows = [(dataset, domain, status, now, i) for i, (domain, dataset, status) in enumerate(marks)]
     local_frame(spark, rows, REGISTRY_DDL).coalesce(1).write.mode("append").parquet(path)
+    compact_registry(spark, path, compact_after)
+
+
+class _Registry:
+    """An append log of marks, and beside it snapshots of their last state.
+
+    A snapshot (a generation) has one mark per pair and the names of the log files that went into it, so what is
+    read is the newest snapshot and the files behind it: as much after a thousand runs as after a few.
+    Files may be added while a snapshot is made; they are not among its names and stay to be read.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+        self.generations = Generations(spark, f"{self.path}.snapshots")
+        self.snapshot = self.generations.current()
+        files = [n for n in self.generations.names(self.path) if not n.startswith(("_", "."))]
+        covered = self.covered(self.snapshot)
+        self.files, self.tail = files, [n for n in files if n not in covered]
+
+    def covered(self, generation: str | None) -> set[str]:
+        if generation is None:
+            return set()
+        return {r.name for r in self.spark.read.schema("name STRING").parquet(f"{generation}/covered").collect()}
+
+    def marks(self) -> DataFrame:
+        rows = local_frame(self.spark, [], REGISTRY_DDL)
+        reader = self.spark.read.schema(REGISTRY_DDL)
+        if self.snapshot is not None:
+            rows = rows.unionByName(reader.parquet(f"{self.snapshot}/marks"))
+        if self.tail:
+            rows = rows.unionByName(reader.parquet(*[f"{self.path}/{n}" for n in self.tail]))
+        return rows
+
+
+def compact_registry(spark: SparkSession, path: str, after: int = COMPACT_AFTER) -> None:
+    """Make a new snapshot once the log has more than ``after`` files behind the last one.
+
+    Files that the snapshot before it already had are removed; a reader that began before the switch
+    reads that one, and no longer needs them.
+    """
+    registry = _Registry(spark, path)
+    if len(registry.tail) <= after:
+        return
+    generations, new = registry.generations, registry.generations.new()
+    last = F.max_by(F.struct("status", "marked_at", "seq"), F.struct("marked_at", "seq")).alias("m")
+    latest = registry.marks().groupBy("dataset_id", "domain").agg(last).select("dataset_id", "domain", "m.*")
+    latest.write.parquet(f"{new}/marks")
+    names = local_frame(spark, [(n,) for n in registry.files], "name STRING")
+    names.coalesce(1).write.parquet(f"{new}/covered")
+    generations.publish(new)
+    for name in registry.covered(registry.snapshot) & set(registry.files):
+        remove_folder(spark, f"{registry.path}/{name}")
+    generations.clean()
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """Latest status per (domain, dataset_id)."""
     if not path_exists(spark, path):
         return local_frame(spark, [], "domain STRING, dataset_id STRING, status STRING")
-    marks = spark.read.schema(REGISTRY_DDL).parquet(path)
+    marks = _Registry(spark, path).marks()
     return latest_per_key(marks, ["domain", "dataset_id"], "status", ["marked_at", "seq"])
 
 
