@@ -194,10 +194,11 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` without the rows that :func:`classes` drops, all columns as they are."""
     found = classes(df, id_col, text_col)
-    dropped = found.where(~F.col("kept")).select(F.col("doc_id").alias("_dropped"), F.col("digest").alias("_digest"))
-    own = F.unhex(F.sha2(F.coalesce(df[text_col], F.lit("")), 256))
-    same = df[id_col].cast("long").eqNullSafe(F.col("_dropped")) & (own == F.col("_digest"))
-    return df.join(written(dropped.distinct()), same, "left_anti")
+    dropped = found.where(~F.col("kept")).select(F.col("doc_id").alias("id"), "digest")
+    rows = df.select(F.struct("*").alias("row"))  # whatever its columns are called
+    text = F.coalesce(F.col("row").getField(text_col), F.lit(""))
+    same = F.col("row").getField(id_col).cast("long").eqNullSafe(F.col("id")) & (F.unhex(F.sha2(text, 256)) == F.col("digest"))
+    return rows.join(written(dropped.distinct()), same, "left_anti").select("row.*")
 
 
 def op4_exact_dedup(spark, sf_dir: str) -> DataFrame:

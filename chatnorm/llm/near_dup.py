@@ -3,10 +3,11 @@
 A document's set holds its distinct shingles of five words. Under each of ``PERMUTATIONS`` random orders
 of the shingles both the least and the greatest one are kept, so a hash evaluation gives two signature
 values, each equal between two documents with a probability equal to the similarity of their sets. Each of
-``BANDS`` bands takes ``BAND_ROWS`` of the values and puts documents into buckets; documents of similarity
-0.75 share none of the buckets with a probability of about 6e-5. One bit of each value is kept as well: of a pair with
-the least similarity, more bits than a limit differ with a probability below ``UNLIKELY``, and a pair
-that merely shares a passage is told apart by them before any text is read. Candidates are confirmed on their full sets.
+``BANDS`` bands takes ``BAND_ROWS`` of the values, no value twice, and puts documents into buckets; documents of
+similarity 0.75 share none of the buckets with a probability of about 4e-6. Lower similarities than that are refused.
+One bit of each value is kept as well: of a pair with the least similarity, more bits than a limit differ with a
+probability below ``UNLIKELY``, and of pairs that are half alike, as those that merely share a passage, 99.7 of 100
+are told apart by them before any text is read. Candidates are confirmed on their full sets.
 
 Groups may hold a third of all rows. So documents with equal sets are one node (their smallest id), and
 within a bucket candidates are not all pairs: first each member meets the one that shares most buckets with others, then only
@@ -14,6 +15,8 @@ members that are still in different components meet the next members, 32 times a
 until every member has been met or the bucket is one component. No link between components is lost
 this way. A node that meets very many others is salted.
 
+Tables that a step writes for the next ones are removed as soon as they have been read.
+
 Defined results: null and empty texts, and such of white space alone, have no shingles, are linked with
 nothing and form components of their own. With fewer than five words the whole sequence is the one
 shingle. Null ids are returned with a null component and kept. Rows that repeat an id are one document
@@ -27,18 +30,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..plans.session import shared_folder
+from ..plans.session import remove_folder, shared_folder
 from .common import mix64, slices, table, written
 
 WORDS = 5
-PERMUTATIONS = 64
-BANDS = 80
+PERMUTATIONS = 256
+BANDS = 64
 BAND_ROWS = 6
 #: How unlikely it may be that the signature bits rule a pair of the least similarity out.
 UNLIKELY = 1e-6
+#: Words of 64 signature bits, and the least similarity that the bands are made for.
+BIT_WORDS = 2 * PERMUTATIONS // 64
+LEAST_PERCENT = 75
 GROWTH = 32
 SALT_ROWS = 256
 
@@ -48,7 +54,7 @@ _PLACES = _ODD.integers(0, 1 << 63, WORDS + 1, np.uint64) * np.uint64(2) + np.ui
 _SCALE = _ODD.integers(0, 1 << 63, PERMUTATIONS, np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFT = _ODD.integers(0, 1 << 63, PERMUTATIONS, np.uint64)
 _BAND = _ODD.integers(0, 1 << 63, BAND_ROWS + 1, np.uint64) * np.uint64(2) + np.uint64(1)
-_MEMBERS = np.array([_ODD.choice(2 * PERMUTATIONS, BAND_ROWS, replace=False) for _ in range(BANDS)])
+_MEMBERS = _ODD.permutation(2 * PERMUTATIONS)[: BANDS * BAND_ROWS].reshape(BANDS, BAND_ROWS)
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -130,9 +136,9 @@ def band_keys(values: np.ndarray) -> np.ndarray:
 
 
 def bit_words(values: np.ndarray) -> np.ndarray:
-    """One bit of each signature value: a row per set, two words of 64 bits."""
-    bits = (values & np.uint64(1)).reshape(len(values), 2, PERMUTATIONS)
-    return (bits << np.arange(PERMUTATIONS, dtype=np.uint64)).sum(2, dtype=np.uint64)
+    """One bit of each signature value: a row per set, ``BIT_WORDS`` words of 64 bits."""
+    bits = (values & np.uint64(1)).reshape(len(values), BIT_WORDS, 64)
+    return (bits << np.arange(64, dtype=np.uint64)).sum(2, dtype=np.uint64)
 
 
 def binomial_limit(unlike: float) -> int:
@@ -144,11 +150,17 @@ def binomial_limit(unlike: float) -> int:
     return limit
 
 
-_PROFILE = "i bigint, n bigint, k1 bigint, k2 bigint, s1 bigint, s2 bigint, bands array<bigint>"
+_PROFILE = "i bigint, n bigint, k1 bigint, k2 bigint, bits array<bigint>, bands array<bigint>"
+
+
+def _lists(rows: np.ndarray, has: np.ndarray) -> pa.Array:
+    """A list for each row; empty where there is none."""
+    ends = np.concatenate([[0], np.cumsum(has * rows.shape[1])])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rows.reshape(-1).view(np.int64)))
 
 
 def profiles(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``i, n, k1, k2, s1, s2, bands`` of each row: size and digest of its set, signature bits, and its bucket keys
+    """``i, n, k1, k2, bits, bands`` of each row: size and digest of its set, signature bits, and its bucket keys
     (none if it is empty)."""
 
     def profiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,35 +169,50 @@ def profiles(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             n = np.bincount(owner, minlength=len(texts))
             full = np.flatnonzero(n)
             starts = (np.cumsum(n) - n)[full]
-            k = np.zeros((4, len(texts)), np.uint64)
-            counts = np.zeros(len(texts), np.int64)
+            k = np.zeros((2, len(texts)), np.uint64)
+            values = np.zeros((0, 2 * PERMUTATIONS), np.uint64)
             if len(full):
                 k[0, full] = np.add.reduceat(mix64(found), starts)
                 k[1, full] = np.add.reduceat(mix64(found ^ _BASE), starts)
                 values = signatures(starts, found)
-                k[2:, full] = bit_words(values).T
-                keys = band_keys(values)
-                counts[full] = keys.shape[1]
-                flat = keys.reshape(-1).view(np.int64)
-            else:
-                flat = np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array(n.astype(np.int64)),
                     *[pa.array(x.view(np.int64)) for x in k],
-                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(flat)),
+                    _lists(bit_words(values), n > 0),
+                    _lists(band_keys(values), n > 0),
                 ],
-                ["i", "n", "k1", "k2", "s1", "s2", "bands"],
+                ["i", "n", "k1", "k2", "bits", "bands"],
             )
 
     named = df.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"))
     return named.mapInArrow(profiled, _PROFILE)
 
 
-def connected(links: DataFrame) -> DataFrame:
+class _Scratch:
+    """Tables between the steps, which go as soon as they have been read."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def written(self, df: DataFrame) -> DataFrame:
+        path = f"{shared_folder(self.spark)}/table"
+        table = written(df, path)
+        self.paths[id(table)] = table, path
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table in tables:
+            remove_folder(self.spark, self.paths.pop(id(table))[1])
+
+    def drop_all(self) -> None:
+        self.drop(*(table for table, _ in list(self.paths.values())))
+
+
+def connected(links: DataFrame, scratch: _Scratch) -> DataFrame:
     """``node, root`` (smallest node reachable) of the nodes of links ``a, b``; by alternating large and small stars."""
-    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+    edges = scratch.written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     mark = None
     while True:
         # Large star: what lies above a node is linked with the least node around it.
@@ -195,12 +222,16 @@ def connected(links: DataFrame) -> DataFrame:
         # Small star: a node and what lies below it are linked with the least of them.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        edges = written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        last = edges
+        edges = scratch.written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        scratch.drop(last)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == mark:
             break
         mark = now
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    roots = scratch.written(edges.select(F.col("u").alias("node"), F.col("v").alias("root")))
+    scratch.drop(edges)
+    return roots
 
 
 class _Texts:
@@ -208,7 +239,7 @@ class _Texts:
 
     def __init__(self, spark: SparkSession, texts: DataFrame):
         self.spark = spark
-        folder = shared_folder(spark)
+        self.folder = folder = shared_folder(spark)
         self.name = "texts_" + folder.rsplit("/", 1)[1]
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         texts.write.option("path", f"{folder}/{self.name}").option("compression", "zstd").bucketBy(buckets, "i").saveAsTable(self.name)
@@ -247,88 +278,116 @@ class _Texts:
 
     def drop(self) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        remove_folder(self.spark, self.folder)
+
+
+def _close(percent: int) -> Column:
+    """Whether neither the sizes nor the signature bits of ``one`` and ``other`` rule a pair out."""
+    bits = [F.bit_count(F.col("one.bits")[k].bitwiseXOR(F.col("other.bits")[k])) for k in range(BIT_WORDS)]
+    sizes = F.least("one.n", "other.n"), F.greatest("one.n", "other.n")
+    return (100 * sizes[0] >= percent * sizes[1]) & (sum(bits[1:], bits[0]) <= binomial_limit(1 - percent / 100))
+
+
+def _profiled(pairs: DataFrame, own: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` that may be close."""
+    one, other = (own.select(F.col("node").alias(c), F.struct("n", "bits").alias(name)) for c, name in (("a", "one"), ("b", "other")))
+    return pairs.join(one, "a").join(other, "b").where(_close(percent)).select("a", "b").distinct()
 
 
 def components(df: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of each row."""
-    spark = df.sparkSession
-    rows = written(profiles(df, id_col, text_col))
+    if percent < LEAST_PERCENT:
+        raise ValueError(f"the bands are made for similarities of {LEAST_PERCENT} percent and more")
+    scratch = _Scratch(df.sparkSession)
+    try:
+        result = written(_components(df, percent, id_col, text_col, scratch))
+    finally:
+        scratch.drop_all()
+    return result.select(
+        F.col("i").alias("doc_id"),
+        F.col("n").alias("n_shingles"),
+        F.col("root").alias("component_id"),
+        F.col("i").eqNullSafe(F.col("root")).alias("kept"),
+    )
+
+
+def _components(df: DataFrame, percent: int, id_col: str, text_col: str, scratch: _Scratch) -> DataFrame:
+    """``i, n, root`` of each row."""
+    rows = scratch.written(profiles(df, id_col, text_col))
     full = rows.where("n > 0 AND i IS NOT NULL")
     # One node per set: its smallest id.
-    nodes = full.groupBy("k1", "k2", "n").agg(F.min("i").alias("node"))
-    own_bands = F.when(F.col("i") == F.col("node"), F.col("bands")).alias("bands")
-    members = written(full.join(nodes, ["k1", "k2", "n"]).select("i", "n", "s1", "s2", "node", own_bands))
-    nodes = members.where("bands IS NOT NULL")
+    sets = full.groupBy("k1", "k2", "n").agg(F.min("i").alias("node"))
+    members = scratch.written(full.select("i", "n", "k1", "k2").join(sets, ["k1", "k2", "n"]))
+    alone = scratch.written(rows.where("n = 0 OR i IS NULL").select("i", "n", F.col("i").alias("root")))
+    nodes = full.join(members.where("i = node").select("i", "k1", "k2", "n", "node").distinct(), ["i", "k1", "k2", "n"])
     entries = nodes.select("node", F.explode("bands").alias("band"))
     shared = entries.groupBy("band").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count("*").alias("mates"))
-    buckets = written(entries.join(shared.where("a <> b").select("band", "mates"), "band"))
+    buckets = scratch.written(entries.join(shared.where("a <> b").select("band", "mates"), "band"))
     # Members that share most buckets come first: the source of a group of copies is nearer to them than they are to each other.
     degrees = buckets.groupBy("node").agg(F.sum("mates").alias("degree"))
-    degrees = degrees.join(nodes.select("node", F.struct("n", "s1", "s2").alias("profile")), "node")
-    buckets = written(buckets.drop("mates").join(degrees, "node").select("band", "node", "profile", "degree").distinct())
-    firsts = buckets.groupBy("band").agg(F.max(F.struct("degree", -F.col("node"), "profile")).alias("f"))
-    firsts = firsts.select("band", (-F.col("f.col2")).alias("first"), F.col("f.profile").alias("other_profile"))
-    # Else the sizes or the signature bits rule a pair out.
-    one, two = (lambda c: F.col(f"profile.{c}")), (lambda c: F.col(f"other_profile.{c}"))
-    differ = F.bit_count(one("s1").bitwiseXOR(two("s1"))) + F.bit_count(one("s2").bitwiseXOR(two("s2")))
-    most = binomial_limit(1 - percent / 100)
-    close = (100 * F.least(one("n"), two("n")) >= percent * F.greatest(one("n"), two("n"))) & (differ <= most)
+    own = scratch.written(nodes.select("node", "n", "bits").join(degrees, "node").dropDuplicates(["node", "n", "bits"]))
+    scratch.drop(rows)
+    firsts = buckets.select("band", "node").join(own.select("node", "degree").distinct(), "node").groupBy("band")
+    firsts = firsts.agg(F.max(F.struct("degree", -F.col("node"))).alias("f")).select("band", (-F.col("f.col2")).alias("first"))
 
     # The hint deals the texts by id, so a task writes only the buckets it holds, one file each.
-    involved = buckets.select(F.col("node").alias("i")).distinct().hint("merge")
+    involved = own.select(F.col("node").alias("i")).distinct().hint("merge")
+    spark = df.sparkSession
     texts = _Texts(spark, df.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).join(involved, "i"))
-    pairs = buckets.join(firsts, "band").where("node <> first").where(close)
-    tested = written(pairs.select(F.least("first", "node").alias("a"), F.greatest("first", "node").alias("b")).distinct())
-    links = written(texts.confirmed(tested, percent))
-    met, roots = 1, connected(links)
-    while True:
-        labelled = buckets.join(roots, "node", "left").select("band", "node", "profile", "degree", F.coalesce("root", "node").alias("root"))
-        open_ = (
-            labelled.groupBy("band")
-            .agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("mates"))
-            .where((F.col("least") != F.col("most")) & (F.col("mates") > met))
-            .select("band")
-        )
-        labelled = written(labelled.join(open_, "band"))
-        if labelled.isEmpty():
-            break
-        rank = F.row_number().over(Window.partitionBy("band").orderBy(F.desc("degree"), "node"))
-        following = (
-            labelled.withColumn("rank", rank)
-            .where(F.col("rank") <= GROWTH * met)
-            .where(F.col("rank") > met)
-            .select("band", F.col("node").alias("other"), F.col("profile").alias("other_profile"), F.col("root").alias("other_root"))
-        )
-        pairs = (
-            labelled.join(following, "band")
-            .where((F.col("root") != F.col("other_root")) & close)
-            .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-            .distinct()
-        )
-        pairs = written(pairs.join(tested, ["a", "b"], "left_anti"))
-        tested, met = tested.unionByName(pairs), GROWTH * met
-        if pairs.isEmpty():
-            continue
-        found = written(texts.confirmed(pairs, percent))
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            roots = connected(links)
-
-    texts.drop()
-    linked = members.join(roots, "node", "left").select("i", "n", F.coalesce("root", "node").alias("root"))
-    alone = rows.where("n = 0 OR i IS NULL").select("i", "n", F.col("i").alias("root"))
-    return linked.unionByName(alone).select(
-        F.col("i").alias("doc_id"),
-        F.col("n").alias("n_shingles"),
-        F.col("root").alias("component_id"),
-        F.col("i").eqNullSafe(F.col("root")).alias("kept"),
-    )
+    try:
+        pairs = buckets.join(firsts, "band").where("node <> first")
+        pairs = pairs.select(F.least("first", "node").alias("a"), F.greatest("first", "node").alias("b")).distinct()
+        tested = scratch.written(_profiled(pairs, own, percent))
+        links = scratch.written(texts.confirmed(tested, percent))
+        met, roots = 1, connected(links, scratch)
+        while True:
+            labelled = buckets.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+            open_ = (
+                labelled.groupBy("band")
+                .agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("mates"))
+                .where((F.col("least") != F.col("most")) & (F.col("mates") > met))
+                .select("band")
+            )
+            profile = own.select("node", "degree", F.struct("n", "bits").alias("one"))
+            labelled = scratch.written(labelled.join(open_, "band").join(profile, "node"))
+            if labelled.isEmpty():
+                break
+            rank = F.row_number().over(Window.partitionBy("band").orderBy(F.desc("degree"), "node"))
+            following = (
+                labelled.withColumn("rank", rank)
+                .where(F.col("rank") <= GROWTH * met)
+                .where(F.col("rank") > met)
+                .select("band", F.col("node").alias("second"), F.col("one").alias("other"), F.col("root").alias("other_root"))
+            )
+            pairs = (
+                labelled.join(following, "band")
+                .where((F.col("root") != F.col("other_root")) & _close(percent))
+                .select(F.least("node", "second").alias("a"), F.greatest("node", "second").alias("b"))
+                .distinct()
+            )
+            pairs = scratch.written(pairs.join(tested, ["a", "b"], "left_anti"))
+            scratch.drop(labelled)
+            met = GROWTH * met
+            if pairs.isEmpty():
+                scratch.drop(pairs)
+                continue
+            found = scratch.written(texts.confirmed(pairs, percent))
+            tested = tested.unionByName(pairs)
+            if not found.isEmpty():
+                links = links.unionByName(found)
+                scratch.drop(roots)
+                roots = connected(links, scratch)
+    finally:
+        texts.drop()
+    return members.join(roots, "node", "left").select("i", "n", F.coalesce("root", "node").alias("root")).unionByName(alone)
 
 
 def drop_near_copies(df: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` without the rows that :func:`components` doesn't keep, all columns as they are."""
-    dropped = components(df, percent, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("_dropped"))
-    return df.join(written(dropped.distinct()), df[id_col].cast("long") == F.col("_dropped"), "left_anti")
+    dropped = components(df, percent, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("id"))
+    rows = df.select(F.struct("*").alias("row"))  # whatever its columns are called
+    key = F.col("row").getField(id_col).cast("long")
+    return rows.join(written(dropped.distinct()), key == F.col("id"), "left_anti").select("row.*")
 
 
 def op7_near_dedup(spark, sf_dir: str) -> DataFrame:
