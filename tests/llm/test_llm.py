@@ -430,3 +430,16 @@ def test_pipeline_against_its_parts(spark):
     assert Counter(r["doc_id"] for r in out if r["rank"] == 1) == Counter(r["doc_id"] for r in mixed)
     pieces = piece_sampling.sampler(piece_sampling.model_path(), 1.0).pieces
     assert all(pieces.decode(r["pieces"]) == text[r["doc_id"]] for r in out)
+
+
+def test_words_counted_together_are_counted_as_one_by_one():
+    one, many = (token_counts.PrefixCounter(token_counts.tokenizer_path()) for _ in range(2))
+    r = random.Random(9)
+    pieces = ["the", "ing", "é", "日本", "x", "a1", "--", "'s", "Ünd", "𐍈", "tion", "q" * 70, "#", "ß", "_", "İ", "é"]
+    texts = [" ".join("".join(r.choice(pieces) for _ in range(r.randrange(1, 7))) for _ in range(30)) for _ in range(20)]
+    many.meet(texts)
+    for text in texts:
+        counts = many.prefixes(text)
+        assert counts.tolist() == one.prefixes(text).tolist()
+        for i in r.sample(range(len(text) + 1), 20):
+            assert counts[i] == len(one._library.encode(text[:i], add_special_tokens=False).ids), text[:i]
