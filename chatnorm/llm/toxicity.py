@@ -12,7 +12,8 @@
    causes: ``1 - (1 - p0) * product(1 - p)``.
 
 Training takes at most ``sample_rows`` labelled rows (those whose ids have the smallest hashes; a
-documented bound, so the sample can be broadcast), and never rows that ``held_out`` names. A feature is
+documented bound, so the sample can be broadcast, and so can the features, each of which several of these rows
+hold), and never rows that ``held_out`` names. A feature is
 kept if at least ``min_precision`` of its texts are toxic and its log-likelihood ratio exceeds what
 chance gives the best of as many features as were counted.
 
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, table
+from .common import slices, table, written
 
 CLASSES = 28  # 0: no letter, 1-26: a-z, 27: another letter
 OTHER = 27
@@ -62,10 +63,14 @@ _EDGES = ".,;:?\"')]}>\u00ab\u00bb\u2018\u2019\u201c\u201d\u201e\u2026"
 _UNSURE = re.compile(r"[^\w\s]|[\d_]|([^\W\d_])\1")
 _GAP = r"[\s.\-_*~'`,/\\%s]" % FORMAT
 _RUN = re.compile(rf"{_GAP}+|(.)\1*", re.DOTALL)
-_MEMBER = r"[^\W_]|[@$!|+(<{€£¡#]"
+#: A run of pieces, in a text whose underscores, which are gaps, have become dashes.
+_MEMBER = r"[\w@$!|+(<{€£¡#]"
 _APART = re.compile(
-    rf"(?<![^\W_])(?:{_MEMBER}){{1,{PIECE}}}(?:{_GAP}+(?:{_MEMBER}){{1,{PIECE}}}(?![^\W_]))+(?![^\W_])"
+    rf"{_MEMBER}(?<!\w.){_MEMBER}{{0,{PIECE - 1}}}(?:{_GAP}+{_MEMBER}{{1,{PIECE}}}(?!\w))+(?!\w)", re.DOTALL
 )
+_LETTERS_AND_GAPS = re.compile(rf"(?:[^\W\d]|{_GAP})*")
+_GAPS = re.compile(rf"{_GAP}+")
+_DOUBLED = re.compile(r"(.)\1+")
 #: The beginning of a piece that leaves the decoder one state: two letters, neither of them doubled.
 _SURE = re.compile(rf"(?<![^{_GAP[1:-1]}])([a-z])(?!\1)([a-z])(?!\2)")
 
@@ -212,11 +217,31 @@ def beginnings(word: str) -> list[str]:
     return [word, *("^" + word[:n] for n in range(3, min(6, len(word)) + 1))]
 
 
+class Heads:
+    """The first three letters of all features. A word that begins otherwise has no mark, and a stretch of letters
+    and gaps that holds none of them, however its gaps and doubled letters are read, is not restored to one that has."""
+
+    def __init__(self, features: dict[str, float]):
+        self.heads = {f.removeprefix("^")[:3] for f in features}
+        squeezed = {_DOUBLED.sub(r"\1", h) for h in self.heads}
+        self._by_size = [(n, {h for h in squeezed if len(h) == n}) for n in sorted({len(h) for h in squeezed})]
+
+    def may_begin(self, word: str) -> bool:
+        return word[:3] in self.heads
+
+    def may_hold(self, span: str) -> bool:
+        if not _LETTERS_AND_GAPS.fullmatch(span):
+            return True
+        letters = _DOUBLED.sub(r"\1", _GAPS.sub("", span))
+        return any(letters[i : i + n] in heads for n, heads in self._by_size for i in range(len(letters) - n + 1))
+
+
 class Reader:
-    """Words of texts with disguised ones restored; remembers a bounded number of tokens."""
+    """Words of texts with disguised ones restored; remembers a bounded number of tokens. With ``heads``, only what
+    may be restored to a word with a mark is decoded."""
 
-    def __init__(self, triples: dict[int, int]):
-        self.restorer = Restorer(triples)
+    def __init__(self, triples: dict[int, int], heads: Heads | None = None):
+        self.restorer, self.heads = Restorer(triples), heads
         self._known: dict[str, tuple[str, ...]] = {}
         self._runs: dict[str, tuple[str, ...]] = {}
 
@@ -225,23 +250,26 @@ class Reader:
         if known is None:
             words = _WORD.findall(token)
             bare = token.strip(_EDGES)
-            if _UNSURE.search(bare):
+            if _UNSURE.search(bare) and (self.heads is None or self.heads.may_hold(bare)):
                 words += self.restorer.restore(bare).split()
             known = tuple(words)
-            if len(self._known) >= CACHED_TOKENS:
-                self._known.clear()
-            self._known[token] = known
+            if self.heads is None:  # else the caller remembers what it makes of them
+                if len(self._known) >= CACHED_TOKENS:
+                    self._known.clear()
+                self._known[token] = known
         return known
 
     def spaced(self, low: str) -> list[str]:
         """Words of three letters and more that are set apart: those that aren't pieces of their run."""
         found: set[str] = set()
-        for m in _APART.finditer(low):
+        for m in _APART.finditer(low.replace("_", "-")):
             span = m.group()
             words = self._runs.get(span)
             if words is None:
-                pieces = span.split()
-                words = tuple(w for w in self.restorer.restore_run(span).split() if len(w) > 2 and w not in pieces)
+                words = ()
+                if self.heads is None or self.heads.may_hold(span):
+                    pieces = span.split()
+                    words = tuple(w for w in self.restorer.restore_run(span).split() if len(w) > 2 and w not in pieces)
                 if len(self._runs) >= CACHED_TOKENS:
                     self._runs.clear()
                 self._runs[span] = words
@@ -269,10 +297,13 @@ class Scorer:
     """Scores of texts; a token's mark is kept as the log probability that it is harmless."""
 
     def __init__(self, model: Model):
-        self.model, self.reader = model, Reader(model.triples)
+        self.model, self.heads = model, Heads(model.features)
+        self.reader = Reader(model.triples, self.heads)
         self._marks: dict[str, tuple[tuple[str, float], ...]] = {}
 
     def _of_word(self, word: str) -> float:
+        if not self.heads.may_begin(word):
+            return 0.0
         return max((self.model.features.get(f, 0.0) for f in beginnings(word)), default=0.0)
 
     def _of_token(self, token: str) -> tuple[tuple[str, float], ...]:
@@ -308,7 +339,6 @@ def fit(
     train: Column | None = None,
     sample_rows: int = 40_000,
     min_precision: float = 0.9,
-    max_features: int = 50_000,
 ) -> Model:
     """Learn from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic). ``train`` tells which labels may be used."""
     triples = {r["triple"]: r["n"] for r in triple_counts(docs).toLocalIterator()}
@@ -358,6 +388,7 @@ def fit(
         .agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
         .where("n >= 3 OR feature = ''")
     )
+    counts = written(counts)  # read twice below
     a, n = F.col("toxic").cast("double"), F.col("n").cast("double")
     # The number of features counted and the totals ride along with the few features that can qualify.
     totals = counts.agg(
@@ -377,8 +408,6 @@ def fit(
         counts.where("feature <> ''")
         .withColumn("p", (a + 2 * rate) / (n + 2))
         .where((a >= min_precision * n) & (ratio > chance) & (F.col("p") > rate))
-        .orderBy(F.desc(ratio), "feature")
-        .limit(max_features)
         .select("feature", "p")
     )
     features = {r["feature"]: r["p"] for r in kept.collect()}

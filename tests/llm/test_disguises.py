@@ -33,3 +33,42 @@ def test_runs_are_decoded_part_by_part_as_a_whole():
         pieces = ["".join(r.choice("abcdeorst0$") for _ in range(r.randint(1, 3))) for _ in range(r.randint(2, 8))]
         span = "".join(p + r.choice((" ", "  ", "-", " - ", "\n")) for p in pieces[:-1]) + pieces[-1]
         assert restorer.restore_run(span) == restorer.restore(span), span
+
+
+def test_what_is_not_decoded_for_scoring_has_no_mark():
+    text = "the idiot moron stupid loser clown trash bum aardvark said wool of a word " * 50
+    classes = toxicity.letter_classes("\n\n" + text + "\n\n")
+    triples = dict(Counter(((classes[:-2] * 28 + classes[1:-1]) * 28 + classes[2:]).tolist()))
+    features = {f: 0.9 for w in ("idiot", "moron", "trash", "aardvark", "wool", "of") for f in toxicity.beginnings(w)}
+    scorer = toxicity.Scorer(toxicity.Model(triples, features, 0.01))
+    every = toxicity.Scorer(toxicity.Model(triples, features, 0.01))
+    every.heads = every.reader.heads = None
+    every._of_word = lambda w: max((features.get(f, 0.0) for f in toxicity.beginnings(w)), default=0.0)
+    r = random.Random(5)
+    spell = [
+        lambda w: w, lambda w: " ".join(w), lambda w: "-".join(w), lambda w: "_".join(w), lambda w: w.replace("o", "0").replace("a", "@"),
+        lambda w: "".join(c * r.randrange(1, 4) for c in w), lambda w: w[:2] + " " + w[2:4] + "\n" + w[4:], lambda w: w[:2] + "​" + w[2:],
+    ]
+    words, marked = text.split(), 0
+    for _ in range(3000):
+        said = " ".join(r.choice(spell)(r.choice(words)) + r.choice(["", ".", "!", "__"]) for _ in range(r.randrange(1, 6)))
+        assert scorer.score(said) == every.score(said), said
+        marked += scorer.score(said) > 0.5
+    assert 500 < marked < 3000
+
+
+def test_recall_and_precision_on_spelled_words():
+    """Marked words in twelve disguises among harmless ones, apart from each other."""
+    text = "the idiot moron stupid loser clown trash said word and other texts lie here " * 80
+    classes = toxicity.letter_classes("\n\n" + text + "\n\n")
+    triples = dict(Counter(((classes[:-2] * 28 + classes[1:-1]) * 28 + classes[2:]).tolist()))
+    toxic = ("idiot", "moron", "stupid", "loser", "clown", "trash")
+    features = {f: 0.95 for w in toxic for f in (w, "^" + w[:5])}
+    scorer = toxicity.Scorer(toxicity.Model(triples, features, 0.01))
+    r = random.Random(6)
+    harmless = [w for w in text.split() if w not in toxic]
+    signs = str.maketrans("oiae", "01@3")
+    forms = [lambda w: w.translate(signs), lambda w: " ".join(w), lambda w: ".".join(w), lambda w: w[0] + w[1] * 3 + w[2:], str.upper]
+    found = [scorer.score(" ".join(r.choices(harmless, k=30)) + " " + r.choice(forms)(r.choice(toxic))) >= 0.5 for _ in range(300)]
+    alarms = [scorer.score(" ".join(r.choice(forms)(w) if r.random() < 0.1 else w for w in r.choices(harmless, k=30))) >= 0.5 for _ in range(300)]
+    assert sum(found) >= 0.95 * 300 and sum(alarms) <= 0.02 * 300
