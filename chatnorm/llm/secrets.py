@@ -6,8 +6,8 @@ candidate is a run of letters, figures and ``+/_=-`` of at least 16 characters w
 counts and one in, for each character class (hexadecimal, letters, letters and figures, all) on its own: the
 entropy of a window counts for the narrowest class that holds all its characters. Windows at or above
 the threshold of their class and length are joined to spans. The thresholds are those that 90 of 100 random
-strings of exactly that length reach; of longer ones more are found. Candidates that the allow list names (UUIDs, words
-joined by dashes, straight runs of the alphabet or of figures, digests named as such) are left out, and
+strings of exactly that length reach; of longer ones more are found. Candidates that the allow list names (UUIDs,
+words joined by dashes and the like where every one of them looks like a word, straight runs of the alphabet or of figures, digests named as such) are left out, and
 so are spans that a base span covers.
 
 Defined results: null and empty texts have no spans. Repeated rows give repeated results, null ids are
@@ -59,9 +59,11 @@ _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
 CLASSES = tuple(zip(MEMBERS, THRESHOLDS[WINDOW], strict=True))
 ALLOWED = (
     re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"),
-    re.compile(r"[A-Za-z]*[0-9]{0,4}(?:[-_/=+][A-Za-z]*[0-9]{0,4})+"),  # words and short numbers, joined
     re.compile(r"(?:sha(?:1|256|512)|md5)[-_=][0-9A-Za-z+/=]+", re.IGNORECASE),
 )
+_JOINTS = re.compile(r"[-_/=+]")
+_SEGMENT = re.compile(r"([A-Z]?[a-z]*|[A-Z]*)[0-9]{0,4}")
+_SIX_CONSONANTS, _CROWDED = re.compile(r"[^aeiouy]{6}"), re.compile(r"[^aeiouy]{5}|[aeiouy]{4}")
 #: The share of steps to the next character (``abc``, ``123``) from which a run is a straight one.
 STRAIGHT = 0.5
 _BITS = [0.0] + [n * math.log2(n) for n in range(1, WINDOW + 2)]
@@ -78,9 +80,26 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
+def plain_word(segment: str) -> bool:
+    """Whether letters, with up to four figures behind them, look like a word: in one case or with a capital, and
+    the longer they are, the more like a word in their vowels. A random string of 16 and more does in 1 of 10 cases."""
+    if not (m := _SEGMENT.fullmatch(segment)):
+        return False
+    letters = m[1].lower()
+    vowels, n = sum(c in "aeiouy" for c in letters), len(letters)
+    if n <= 5:
+        return True
+    if n <= 12:
+        return 5 * vowels >= n and not _SIX_CONSONANTS.search(letters)
+    return n <= 20 and n <= 3 * vowels <= 2 * n and not _CROWDED.search(letters)
+
+
 def allowed(candidate: str) -> bool:
     if any(p.fullmatch(candidate) for p in ALLOWED):
         return True
+    segments = _JOINTS.split(candidate)
+    if len(segments) > 1 and all(map(plain_word, segments)):
+        return True
     steps = sum(ord(b) - ord(a) == 1 for a, b in zip(candidate, candidate[1:], strict=False))
     return steps >= STRAIGHT * (len(candidate) - 1)
 
