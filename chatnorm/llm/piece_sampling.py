@@ -44,7 +44,7 @@ from .common import mix64, slices, table
 
 BLANK = "▁"
 #: Lattice edges that a worker remembers.
-CACHED_EDGES = 4_000_000
+CACHED_EDGES = 1_500_000
 #: The largest Gumbel value of a uniform number with 53 bits, and a little more.
 MOST_NOISE = 37.5
 #: Steps of a path that the search looks at in one go.
@@ -504,7 +504,7 @@ def sample_pieces(
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sampler(path or model_path(), float(temperature))
-        for batch, texts in slices(batches, "t", 1 << 19):
+        for batch, texts in slices(batches, "t", 1 << 18):
             keys = mix64(np.array(batch.column(2).to_pylist(), np.int64).view(np.uint64))
             found = own.sample(keys, texts, k)
             rows = np.repeat(np.arange(len(texts)), [len(f) - 1 for f in found])
