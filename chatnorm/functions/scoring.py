@@ -75,20 +75,21 @@ def code_score_sql(x: str) -> str:
     )
 
 
-def _wordy(x: str, lower: str, markers: list[str], more_blanks_than: int) -> str:
+def _wordy(code: str, lower: str, markers: list[str], more_blanks_than: int) -> str:
     return (
         f"coalesce(CAST({_markers(lower, markers)} AS DOUBLE)"
         f" + if({occurrences(lower, ' ')} > {more_blanks_than}, 1D, 0D)"
-        f" - if({code_score_sql(x)} > 3, 0.5D, 0D), 0D)"
+        f" - if({code} > 3, 0.5D, 0D), 0D)"
     )
 
 
-def prompt_score_sql(x: str, lower: str | None = None) -> str:
-    return _wordy(x, lower or f"lower({x})", PROMPT_MARKERS, 5)
+def prompt_score_sql(x: str, lower: str | None = None, code: str | None = None) -> str:
+    """``code`` names a column that holds the code score, where it is known."""
+    return _wordy(code or code_score_sql(x), lower or f"lower({x})", PROMPT_MARKERS, 5)
 
 
-def natural_language_score_sql(x: str, lower: str | None = None) -> str:
-    return _wordy(x, lower or f"lower({x})", LANGUAGE_MARKERS, 7)
+def natural_language_score_sql(x: str, lower: str | None = None, code: str | None = None) -> str:
+    return _wordy(code or code_score_sql(x), lower or f"lower({x})", LANGUAGE_MARKERS, 7)
 
 
 def math_score_sql(x: str, lower: str | None = None) -> str:

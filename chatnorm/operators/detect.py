@@ -18,7 +18,7 @@ from ..functions.text import (
     to_text,
     variant_kind,
 )
-from ..types import JSON_ROW, MAPPING_DDL
+from ..types import JSON_ROW, MAPPING_DDL, TASK_TYPES
 
 _DATASET = ["dataset_id", "task_type"]
 _NUMBERS = ["prompt", "answer", "len", "plain_len"]
@@ -79,44 +79,68 @@ def profile_table(
     Result: one row per group and column (``col_pos``, ``col`` and the members of
     :func:`column_stats`).
     """
+    return profile_tasks(df, (task_type,), group, columns).drop("task_type")
+
+
+def profile_tasks(
+    df: DataFrame,
+    task_types: tuple[str, ...] = TASK_TYPES,
+    group: list[str] | None = None,
+    columns: list[str] | None = None,
+) -> DataFrame:
+    """The statistics of :func:`profile_table` for several task types, with the column ``task_type``, in one pass.
+
+    Scores of a value that more than one task type needs, the code score above all, are computed once.
+    """
     group = group or []
     names = columns or [c for c in df.columns if c not in group]
     types = [df.schema[n].dataType for n in names]
     texts = [i for i, t in enumerate(types) if isinstance(t, T.StringType)]
-    # Three projections, so that the text, its lower-case form and the scores are each computed
+    # Projections in steps, so that the text, its lower-case form and the scores are each computed
     # once per row and value; the aggregate then sees numbers only.
-    read = df.select(
+    rows = df.select(
         *group,
         *[F.nullif(strip(quoted(names[i])), F.lit("")).alias(f"__t{i}") for i in texts],
-        *[
-            looks_like_messages_typed(quoted(n), t).alias(f"__m{i}")
-            for i, (n, t) in enumerate(zip(names, types))
-        ],
+        *[looks_like_messages_typed(quoted(n), t).alias(f"__m{i}") for i, (n, t) in enumerate(zip(names, types))],
     )
-    lowered = read.withColumns({f"__l{i}": F.lower(f"__t{i}") for i in texts}) if texts else read
-    scored, numbers = {}, []
-    for i in range(len(names)):
-        if i in texts:
-            values = value_scores(f"__t{i}", f"__l{i}", f"'{task_type}'")
-            scored.update({f"__{k}{i}": v for k, v in values.items()})
-            numbers.append({k: F.col(f"__{k}{i}") for k in values})
-        else:
-            numbers.append({k: F.lit(None).cast("double") for k in _NUMBERS})
+    if texts:
+        code = {f"__code{i}": F.expr(scoring.code_score_sql(f"__t{i}")) for i in texts}
+        rows = rows.withColumns({f"__l{i}": F.lower(f"__t{i}") for i in texts} | code)
+        scores = {}
+        for i in texts:
+            text, lower, code = f"__t{i}", f"__l{i}", f"__code{i}"
+            vectorish = scoring.vectorish_sql(text, stripped=True)
+            for name, sql in (
+                ("prompt", scoring.prompt_score_sql(text, lower, code)),
+                ("math", scoring.math_score_sql(text, lower)),
+                ("words", scoring.natural_language_score_sql(text, lower, code)),
+                ("plain", f"if({vectorish}, NULL, length({text}))"),
+            ):
+                scores[f"__{name}{i}"] = F.expr(f"if({text} IS NOT NULL, {sql}, NULL)")
+            scores[f"__len{i}"] = F.length(text)
+        rows = rows.withColumns(scores)
+    of_task = {"code_generation": ("prompt", "code"), "math": ("math", "math")}
+
+    def numbers(i: int, task: str) -> dict[str, Column]:
+        if i not in texts:
+            return {k: F.lit(None).cast("double") for k in _NUMBERS}
+        prompt, answer = of_task.get(task, ("words", "words"))
+        there = F.col(f"__t{i}").isNotNull()
+        members = {"prompt": prompt, "answer": answer, "len": "len", "plain_len": "plain"}
+        return {k: F.when(there, F.col(f"__{v}{i}")) for k, v in members.items()}
+
     stats = [
         F.struct(
+            F.lit(task).alias("task_type"),
             F.lit(i).alias("col_pos"),
             F.lit(name).alias("col"),
-            column_stats(numbers[i], F.col(f"__m{i}")).alias("s"),
+            column_stats(numbers(i, task), F.col(f"__m{i}")).alias("s"),
         )
+        for task in task_types
         for i, name in enumerate(names)
     ]
-    return (
-        (lowered.withColumns(scored) if scored else lowered)
-        .groupBy(*group)
-        .agg(F.array(*stats).alias("stats"))
-        .select(*group, F.explode("stats").alias("x"))
-        .select(*group, "x.col_pos", "x.col", "x.s.*")
-    )
+    found = rows.groupBy(*group).agg(F.array(*stats).alias("stats")).select(*group, F.explode("stats").alias("x"))
+    return found.select(*group, "x.task_type", "x.col_pos", "x.col", "x.s.*")
 
 
 def table_cells(df: DataFrame, dataset_id: str, task_type: str, order: list[str]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.detect import detect_mappings, json_cells, profile_table
+from ..operators.detect import detect_mappings, json_cells, profile_tasks
 from ..operators.cap import sample_rows
 from ..operators.proposals import json_object_in, resolve_mappings, validate_proposals
 from ..types import JSON_ROW, TASK_TYPES
@@ -23,11 +23,7 @@ from .common import (
 def column_scores(spark, sf_dir):
     """Mean scores of every column of the documents per language and task type, over all rows."""
     documents = table(spark, sf_dir, "documents").select("lang", "text", "source", "n_chars")
-    parts = [
-        profile_table(documents, task, ["lang"]).withColumn("task_type", F.lit(task))
-        for task in TASK_TYPES
-    ]
-    stats = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    stats = profile_tasks(documents, TASK_TYPES, ["lang"])
     rounded = [F.round(c, 6).alias(c) for c in ("prompt", "answer", "avg_len", "plain_len")]
     return stats.select("lang", "task_type", "col", "n_rows", "n_text", "n_plain", *rounded)
 

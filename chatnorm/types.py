@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+# Task types.
 TASK_TYPES = ("code_generation", "math", "natural_language")
 CONVERSATION_TYPES = ("single_turn", "multi_turn")
 
@@ -16,7 +17,7 @@ MESSAGE = T.StructType(
 )
 CONVERSATION = T.ArrayType(MESSAGE)
 
-# Order of the written columns.
+# The written columns in their order.
 RECORD_COLUMNS = ["conversation", "language", "reasoning", "metadata", "dataset_id"]
 
 # Position of a raw row inside its dataset. Readers add these columns; the
@@ -28,12 +29,14 @@ ORDINAL_DDL = f"{ORD_SPLIT} INT, {ORD_FILE} STRING, {ORD_BLOCK} BIGINT, {ORD_ROW
 # Readers of JSON text put the whole row into this column.
 JSON_ROW = "__json"
 
+# The columns of a mapping.
 MAPPING_DDL = (
     "dataset_id STRING, is_target_dataset BOOLEAN, task_type STRING, conversation_type STRING, "
     "user_field STRING, input_field STRING, assistant_field STRING, messages_field STRING, "
     "reasoning_field STRING, language STRING, language_field STRING, metadata_fields ARRAY<STRING>"
 )
 
+# The columns of the run log, and the id of its own entries.
 RUN_LOG_COLUMNS = [
     "domain",
     "timestamp_utc",
@@ -49,7 +52,7 @@ SYSTEM_ID = "__system__"
 
 REGISTRY_DDL = "dataset_id STRING, domain STRING, status STRING, marked_at TIMESTAMP, seq BIGINT"
 
-# Metadata keys that the engine writes itself; a mapped field of the same name is ignored.
+# Metadata keys that the engine writes itself; a mapped field of the same name is ignored.
 RESERVED_METADATA = ("dataset_id", "task_type", "language_source", "source_fields")
 
 
