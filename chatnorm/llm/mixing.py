@@ -202,7 +202,8 @@ def mixed(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_id"), _key().alias("_key"), size.alias("_size"))
     same = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_k")) & (F.col("_size") == F.col("_n"))
     times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
-    return rows.join(taken, same).select("_row", times.alias("_times")).select("_row.*")
+    # ``taken`` has a row for each document, so it is never one to broadcast, however few there are.
+    return rows.join(taken.hint("merge"), same).select("_row", times.alias("_times")).select("_row.*")
 
 
 def op5_mixing(spark, sf_dir: str) -> DataFrame:
