@@ -12,7 +12,7 @@ texts that merely share a passage, nearly all. They are told apart before any te
 Groups may hold a third of all rows. So documents with equal sets are one node (their smallest id), and
 within a bucket candidates are not all pairs: first each member meets the one that shares most buckets with others, then only
 members that are still in different components meet the next members, 32 times as many in each round,
-until every member has been met or the bucket is one component. No link between components is lost
+until every member has been met or the bucket is one component; two that share several buckets meet in one of them. No link between components is lost
 this way. A node that meets very many others is salted.
 
 Tables that a step writes for the next ones are removed as soon as they have been read.
@@ -359,19 +359,30 @@ def _components(df: DataFrame, percent: int, id_col: str, text_col: str, scratch
                 .select("band")
             )
             profile = own.select("node", "degree", F.struct("n", "bits").alias("one"))
-            labelled = scratch.written(labelled.join(open_, "band").join(profile, "node"))
+            labelled = labelled.join(open_, "band")
+            # All buckets of the nodes: two that share several meet in the least one only.
+            lists = buckets.join(labelled.select("node").distinct(), "node", "left_semi")
+            lists = lists.groupBy("node").agg(F.collect_set("band").alias("bands"))
+            labelled = scratch.written(labelled.join(profile, "node").join(lists, "node"))
             if labelled.isEmpty():
                 break
             rank = F.row_number().over(Window.partitionBy("band").orderBy(F.desc("degree"), "node"))
+            meeting = F.array_min(F.array_intersect("bands", "other_bands"))
             following = (
                 labelled.withColumn("rank", rank)
                 .where(F.col("rank") <= GROWTH * met)
                 .where(F.col("rank") > met)
-                .select("band", F.col("node").alias("second"), F.col("one").alias("other"), F.col("root").alias("other_root"))
+                .select(
+                    "band",
+                    F.col("node").alias("second"),
+                    F.col("one").alias("other"),
+                    F.col("root").alias("other_root"),
+                    F.col("bands").alias("other_bands"),
+                )
             )
             pairs = (
                 labelled.join(following, "band")
-                .where((F.col("root") != F.col("other_root")) & _close(percent))
+                .where((F.col("root") != F.col("other_root")) & _close(percent) & (F.col("band") == meeting))
                 .select(F.least("node", "second").alias("a"), F.greatest("node", "second").alias("b"))
                 .distinct()
             )
