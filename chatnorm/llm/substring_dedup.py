@@ -130,7 +130,7 @@ class Parsed:
         self.b = np.minimum(self.places + LENGTH, ends[self.doc])
         self.trigger = hashed(self.places, self.places + TRIGGER) >> np.uint64(16)
         shape = (self.places - self.a).astype(np.uint64) * np.uint64(128) + (self.b - self.places).astype(np.uint64)
-        self.phrase = mix64(hashed(self.a, self.b) ^ shape * _BASE) >> np.uint64(16)
+        self.phrase = mix64(hashed(self.a, self.b) ^ shape * _BASE)
         # Phrases of this block: entries sorted by trigger, phrase and id; of equal ones the least id counts.
         self.id = ids[self.doc]
         self.order = np.lexsort((self.id, self.phrase, self.trigger))
@@ -194,9 +194,12 @@ def _joined(doc: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray,
 
 def _settled(part: pa.Table, hot_from: int) -> pa.Table:
     """Codes of the entries of one part. Even parts hold triggers (0 nothing to compare, 2 bytes are needed, 3 the
-    trigger is hot), odd parts phrases (1 the whole phrase repeats)."""
+    trigger is hot), odd parts phrases (1 the whole phrase repeats).
+
+    Triggers come as 32 bits, which tell them apart within a part; where two are taken for one, bytes are compared
+    that need not be. A phrase counts as a repeat on 96 bits, 64 of them its own."""
     number = part.column("part")[0].as_py()
-    blobs = [_unpacked(x.as_py(), np.uint64, np.uint64, np.int64, np.int64) for x in part.column("blob")]
+    blobs = [_unpacked(x.as_py(), np.uint32, np.uint64, np.int64, np.int64) for x in part.column("blob")]
     sizes = np.array([len(b[0]) for b in blobs])
     trigger, phrase, ident, n = (np.concatenate([b[i] for b in blobs]) for i in range(4))
     order = np.lexsort((ident, phrase, trigger))
@@ -345,12 +348,13 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     ids, phrases = parsed.id[groups], parsed.phrase[groups]
                     n = np.bincount(of)
                     low, high = np.minimum.reduceat(ids, first), np.maximum.reduceat(ids, first)
-                    last = np.maximum.reduceat(phrases, first)
                     more = np.flatnonzero(n > 1)
                     t = parsed.trigger[groups[first]]
-                    rows = [np.concatenate([t, t[more]]), np.concatenate([phrases[first], last[more]]), np.concatenate([low, high[more]]), np.concatenate([n, 0 * more])]
-                    lots.append((0, _part_of(rows[0], parts), rows))
-                    lots.append((1, parsed.phrase_parts(parts), [parsed.trigger[groups], phrases, ids, np.ones(len(groups), np.int64)]))
+                    t, short = np.concatenate([t, t[more]]), phrases >> np.uint64(16)
+                    rows = [short[first], np.maximum.reduceat(short, first)[more]], [low, high[more]], [n, 0 * more]
+                    lots.append((0, _part_of(t, parts), [(t >> np.uint64(16)).astype(np.uint32), *map(np.concatenate, rows)]))
+                    own = (parsed.trigger[groups] >> np.uint64(16)).astype(np.uint32)
+                    lots.append((1, parsed.phrase_parts(parts), [own, phrases, ids, np.ones(len(groups), np.int64)]))
                 for kind, part, rows in lots:
                     order = np.argsort(part, kind="stable")
                     for p, a, b in _cuts(part[order]):
