@@ -32,6 +32,9 @@ from .common import slices
 CACHED_CHUNKS, CACHED_COUNTS, CACHED_STATES, CACHED_PAIRS = 600_000, 8_000_000, 400_000, 500_000
 #: Words of at most so many bytes are counted together, so many at a time.
 MOST_LETTERS, WORDS_AT_ONCE = 64, 4096
+#: Places for pairs of tokens that a worker remembers, as a power of two.
+PAIR_BITS = 20
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 _BLANKS = "\t\n\v\f\r"
 _ENDLESS = 1 << 60
@@ -79,6 +82,7 @@ class PrefixCounter:
         self._endings = self._by_last_letters()
         self._edges: tuple[dict, dict] = ({}, {})
         self._pairs: dict[int, bool] = {}
+        self._slot_pairs, self._slot_fits = np.full(1 << PAIR_BITS, -1, np.int64), np.zeros(1 << PAIR_BITS, bool)
         self._states: dict[str, list[int]] = {}
         self._forget()
 
@@ -99,20 +103,23 @@ class PrefixCounter:
         return found
 
     def _side_by_side(self, left: int, right: int) -> bool:
+        if len(self._pairs) >= CACHED_PAIRS:
+            self._pairs.clear()
+        self._pairs[left << 32 | right] = found = self._fits(left, right)
+        return found
+
+    def _fits(self, left: int, right: int) -> bool:
         """Whether the encoding of the two strings together is these two tokens: no merge across
         their border comes before the merges that use up its two sides. Of equal merges the left
         one comes first."""
-        found, rights = True, self._edge(right, 1)
+        rights = self._edge(right, 1)
         for a, a_end in self._edge(left, 0):
             if (ranks := self._rank.get(a)) is not None:
                 for b, b_end in rights:
                     rank = ranks.get(b)
                     if rank is not None and rank < a_end and rank <= b_end:
-                        found = False
-        if len(self._pairs) >= CACHED_PAIRS:
-            self._pairs.clear()
-        self._pairs[left << 32 | right] = found
-        return found
+                        return False
+        return True
 
     def _word(self, word: str) -> list[int]:
         """Counts of the prefixes of a word (one piece of the tokenizer's split), by character.
@@ -282,12 +289,23 @@ class PrefixCounter:
             source = np.maximum.accumulate(np.where(own[:, i - 1], np.arange(n), 0))
             for states in (last, count, whole):
                 states[:, i] = states[source, i]
-        for k, word in enumerate(words):
-            counts = whole[k, 1 : len(word) + 1]
-            if not word.isascii():  # where a character ends: the next byte begins one
-                begins = (letters[k, : len(word)] & 0xC0) != 0x80
-                counts = counts[np.r_[begins[1:], True]]
-            self._keep(word.decode(), counts)
+        # What the pool keeps of a word: 0, and the counts where a character ends.
+        places = np.arange(longest + 1)
+        goes_on = np.zeros((n, longest + 1), bool)  # a byte that goes on with a character stands behind the prefix
+        goes_on[:, :-1] = ((letters & 0xC0) == 0x80) & (places[:-1] < sizes[:, None])
+        kept = (places <= sizes[:, None]) & ~goes_on
+        self._pool_many([w.decode() for w in words], whole[kept], kept.sum(1), whole[np.arange(n), sizes])
+
+    def _pool_many(self, words: list[str], counts: np.ndarray, sizes: np.ndarray, totals: np.ndarray) -> None:
+        n, end = len(words), self._filled + len(counts)
+        if end > len(self._pool):
+            self._pool = np.concatenate([self._pool, np.zeros(max(len(self._pool), len(counts)), np.int32)])
+        if self._n + n > len(self._entries):
+            self._entries = np.concatenate([self._entries, np.zeros((max(len(self._entries), n), 3), np.int64)])
+        self._pool[self._filled : end] = counts
+        self._entries[self._n : self._n + n] = np.stack([self._filled + np.cumsum(sizes) - sizes, sizes, totals], 1)
+        self._known_words.update(zip(words, range(self._n, self._n + n), strict=True))
+        self._filled, self._n = end, self._n + n
 
     def _states_at(self, letters, i: int, rows: np.ndarray, last, count, whole) -> None:
         """States of the prefixes of length ``i`` of the words in ``rows``. A last token is looked for from the
@@ -317,11 +335,16 @@ class PrefixCounter:
                 return
 
     def _all_fit(self, pairs: np.ndarray) -> np.ndarray:
-        known, out = self._pairs, []
-        for pair in pairs.tolist():
-            fits = known.get(pair)
-            out.append(self._side_by_side(pair >> 32, pair & 0xFFFFFFFF) if fits is None else fits)
-        return np.array(out, bool)
+        """Whether each pair of tokens fits; a table with one place for each hash remembers what was asked."""
+        slot = (pairs.astype(np.uint64) * _SPREAD) >> np.uint64(64 - PAIR_BITS)
+        fits = self._slot_fits[slot]
+        new = np.flatnonzero(self._slot_pairs[slot] != pairs)
+        if len(new):
+            asked, back = np.unique(pairs[new], return_inverse=True)
+            fits[new] = np.array([self._fits(p >> 32, p & 0xFFFFFFFF) for p in asked.tolist()], bool)[back.reshape(-1)]
+            self._slot_pairs[slot[new]] = pairs[new]
+            self._slot_fits[slot[new]] = fits[new]
+        return fits
 
     def _by_last_letters(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All tokens by their bytes from the last to the first, as a trie: sorted ``node * 256 + byte``, the nodes
