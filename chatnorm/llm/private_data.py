@@ -184,20 +184,23 @@ _SPELLED = {
 }
 _TIMES = {"double": 2, "triple": 3, "doppel": 2, "doble": 2}
 _ANY = "|".join(sorted(_SPELLED, key=len, reverse=True))
-_ONE = rf"(?:(?:{'|'.join(_TIMES)}) )?(?:{_ANY})\b"
+_ONE = rf"(?:(?:{'|'.join(_TIMES)})[ -])?(?:{_ANY})"
+#: What may stand between spelled figures, and the end of the last one (a figure may follow it at once).
+_BETWEEN, _END = r"(?:[ \t\r\n-]{1,3}|, ?)?", r"(?![^\W\d_])"
 
 
 def _run_pattern() -> re.Pattern:
     """Runs of spelled figures, also after ``plus``; by first letters, which a search finds fastest."""
     starts: dict[str, list[str]] = {}
-    for start in (*sorted(_SPELLED, key=len, reverse=True), *(rf"{times} (?:{_ANY})" for times in _TIMES), rf"plus (?:{_ONE}|(?=[0-9]))"):
+    times = (rf"{times}[ -](?:{_ANY})" for times in _TIMES)
+    for start in (*sorted(_SPELLED, key=len, reverse=True), *times, rf"plus[ -]?(?:{_ONE}|(?=[0-9]))"):
         starts.setdefault(start[0], []).append(start[1:])
-    first = "|".join(rf"{letter}(?<!\w.)(?:{'|'.join(rest)})" for letter, rest in starts.items())
-    return re.compile(rf"(?:{first})(?:\b|(?<=plus ))(?:(?:[ -]|, ?){_ONE})*")
+    first = "|".join(rf"{letter}(?<![^\W\d_].)(?:{'|'.join(rest)})" for letter, rest in starts.items())
+    return re.compile(rf"(?:{first})(?:{_BETWEEN}{_ONE})*+(?:{_END}|(?<=plus)|(?<=plus[ -]))", re.DOTALL)
 
 
 _RUN = _run_pattern()
-_WORD = re.compile(rf"(?:({'|'.join(_TIMES)}) )?([^\W\d_]+)")
+_WORD = re.compile(rf"(?:({'|'.join(_TIMES)})[ -])?({_ANY})")
 _NEAR_BEFORE = re.compile(r"(?:[0-9][ .-]|[0-9+]|\b(?:dot|punkt|punto|point) |[\])}>] ?)$")
 _NEAR_AFTER = re.compile(r"[ .-]?[0-9]| (?:dot|punkt|punto|point)\b| ?[\[({<]")
 #: Words of figures and letters that look like figures, and such letters alone beside figures.
@@ -216,10 +219,10 @@ def figure_edits(text: str, low: str) -> list[Edit]:
     edits = []
     for m in _RUN.finditer(low):
         run = m.group()
-        plus = run.startswith("plus ")
-        words = _WORD.findall(run, 5 * plus)
+        plus = run.startswith("plus")
+        words = _WORD.findall(run, 4 * plus)
         near = _NEAR_BEFORE.search(low, max(0, m.start() - 8), m.start()) or _NEAR_AFTER.match(low, m.end())
-        if run == "plus " or len(words) > 1 or words and near:
+        if plus or len(words) > 1 or near:
             made = "".join(_SPELLED[word] * _TIMES.get(times, 1) for times, word in words)
             edits.append((m.start(), m.end(), "+" * plus + made))
     for pattern in (_MIXED, _ALONE):
@@ -242,17 +245,17 @@ def _apart(edits: list[Edit]) -> list[Edit]:
 
 _OPEN, _CLOSE = r"[\[({<][ \t]{0,3}", r"[ \t]{0,3}[\])}>]"
 _STRONG = re.compile(
-    rf"{_OPEN}(?:(?P<at>at|@|arroba|ät)|(?P<dot>dot|\.|punkt|punto|point)|(?P<dash>dash|minus|-)){_CLOSE}"
+    rf"{_OPEN}(?:(?P<at>at|@|arroba|arobase|klammeraffe|ät)|(?P<dot>dot|\.|punkt|punto|point)|(?P<dash>dash|minus|-)){_CLOSE}"
 )
 _CODED = re.compile(
-    r"(?P<at>&\#0{0,4}64;|&commat;|%40|_at_(?<=[a-z0-9]_at_)(?=[a-z0-9]))"
-    r"|(?P<dot>&\#0{0,4}46;|&period;|%2e|_dot_(?<=[a-z0-9]_dot_)(?=[a-z0-9]))"
+    r"(?P<at>&\#0{0,4}64;|&commat;|%40|_at_(?<=[a-z0-9]_at_)(?=[a-z0-9])| -at- | \*at\* )"
+    r"|(?P<dot>&\#0{0,4}46;|&period;|%2e|_dot_(?<=[a-z0-9]_dot_)(?=[a-z0-9])| -dot- | \*dot\* )"
 )
-_CODES = ("&", "%", "_at_", "_dot_")
+_CODES = ("&", "%", "_at_", "_dot_", " -at- ", " *at* ", " -dot- ", " *dot* ")
 _LABEL = r"[a-z0-9][a-z0-9-]{0,62}"
 _DOT_WORD = r"(?:dot|punkt|punto|point)"
 _NEXT_DOT = rf"(?:[ \t]{{1,3}}{_DOT_WORD}[ \t]{{1,3}}[a-z0-9]|[ \t]{{0,3}}{_OPEN}(?:dot|\.|punkt|punto|point){_CLOSE})"
-_BARE = re.compile(rf" (?:(?P<at>at|arroba)|(?P<sign>@)|(?P<dot>{_DOT_WORD})|(?P<blank>\.)) ")
+_BARE = re.compile(rf" (?:(?P<at>at|arroba|arobase|klammeraffe)|(?P<sign>@)|(?P<dot>{_DOT_WORD})|(?P<blank>\.)) ")
 _GOES_ON = {
     "at": re.compile(rf"{_LABEL}{_NEXT_DOT}"),
     "sign": re.compile(rf"{_LABEL}(?:{_NEXT_DOT}|\.[a-z0-9]| \. [a-z])"),

@@ -76,12 +76,18 @@ WORDS = {
         for text in (
             "er.49 [at] mail9 [dot] example [dot] com", "er.49(at)mail9(dot)example(dot)com", "er.49 {AT} mail9 <DOT> example.com",
             "er.49 at mail9 dot example dot com", "er.49 @ mail9 . example . com", "er.49&#64;mail9.example.com",
+            "er.49 -at- mail9 -dot- example -dot- com", "er.49 *at* mail9 *dot* example.com", "er.49 arroba mail9 punto example punto com",
+            "er dot four nine at mail9 dot example dot com", "er.fournine [arobase] mail9 [point] example [point] com",
             "ｅｒ.49＠mail9．example．com", "еr.49@mаil9.ехamplе.соm", "er.4​9@mail9.exam­ple.com", "er.49 at mail9.example.com",
         )
     ]
     + [("ip", "192.168.10.1", t) for t in ("192[.]168[.]10[.]1", "192 dot 168 dot 10 dot 1", "192(dot)168.10 (punkt) 1", "l92.168.1O.1")]
     + [("card", "4111111111111111", t) for t in ("４１１１１１１１１１１１１１１１", "4111 1111‑1111 1111", "4111 1lll 1111 111I", "٤111 1111 1111 1111")]
     + [("card", "4111111111111111", " ".join(w[int(c)] for c in "4111111111111111")) for w in WORDS.values()]
+    + [("card", "4111111111111111", t) for t in (
+        "4one1one 1one1one 1111 1111", "fouroneoneone oneoneoneone oneoneoneone oneoneoneone", "four,one,one,one,1111,1111,1111".replace(",1", " 1"),
+        "four\none\none\none\n111111111111".replace("\n1", " 1"), "4 triple-one 1111 1111 1111",
+    )]
     + [("phone", "+14435555793", t) for t in ("+1 (443) 555-５７９３", "plus one four four three 555 5793", "+1 443 five five five-5793", "＋1 443 555 5793")],
 )
 def test_disguises_are_found_in_place(kind, plain, shown):
