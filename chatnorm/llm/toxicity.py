@@ -27,6 +27,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -40,6 +41,8 @@ from .common import slices, table, written
 CLASSES = 28  # 0: no letter, 1-26: a-z, 27: another letter
 OTHER = 27
 CACHED_TOKENS = 300_000
+#: Tokens without a mark that a scoring worker remembers.
+CLEAN_TOKENS = 1_000_000
 #: Pairs of counts that a training task holds before it hands them on.
 HELD_FEATURES = 300_000
 
@@ -294,34 +297,45 @@ class Model:
 
 
 class Scorer:
-    """Scores of texts; a token's mark is kept as the log probability that it is harmless."""
+    """Scores of texts; remembers tokens without a mark, and the marks of the others."""
 
     def __init__(self, model: Model):
         self.model, self.heads = model, Heads(model.features)
         self.reader = Reader(model.triples, self.heads)
         self._marks: dict[str, tuple[tuple[str, float], ...]] = {}
+        self._clean: set[str] = set()
 
     def _of_word(self, word: str) -> float:
         if not self.heads.may_begin(word):
             return 0.0
         return max((self.model.features.get(f, 0.0) for f in beginnings(word)), default=0.0)
 
+    def _may_have_mark(self, token: str) -> bool:
+        """False only where :meth:`_of_token` has nothing; cheap for a word with signs before or behind it."""
+        bare = token.strip(_EDGES)
+        if not bare.isalpha():
+            return True
+        return self.heads.may_begin(bare) or bool(_UNSURE.search(bare)) and self.heads.may_hold(bare)
+
     def _of_token(self, token: str) -> tuple[tuple[str, float], ...]:
-        marks = tuple((w, p) for w in self.reader.words_of(token) if (p := self._of_word(w)))
-        if len(self._marks) >= CACHED_TOKENS:
-            self._marks.clear()
-        self._marks[token] = marks
-        return marks
+        return tuple((w, p) for w in self.reader.words_of(token) if (p := self._of_word(w)))
 
     def score(self, text: str) -> float:
-        low, known = text.lower(), self._marks.get
+        low = text.lower()
         found: dict[str, float] = {}
-        for token in set(low.split()):
-            marks = known(token)
+        for token in set(low.split()) - self._clean:
+            marks = self._marks.get(token)
             if marks is None:
-                marks = self._of_token(token)
-            if marks:
-                found.update(marks)
+                marks = self._of_token(token) if self._may_have_mark(token) else ()
+                if marks:
+                    if len(self._marks) >= CACHED_TOKENS:
+                        self._marks.clear()
+                    self._marks[token] = marks
+                else:
+                    if len(self._clean) >= CLEAN_TOKENS:
+                        self._clean.clear()
+                    self._clean.add(token)
+            found.update(marks)
         for word in self.reader.spaced(low):
             if p := self._of_word(word):
                 found[word] = p
@@ -350,31 +364,26 @@ def fit(
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(triples)
-        held: dict[str, list[int]] = {"": [0, 0]}
+        held, toxic = Counter(), Counter()
+        of_word: dict[str, list[str]] = {}
 
         def hand_on() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays(
-                [
-                    pa.array(held.keys(), pa.string()),
-                    pa.array([v[0] for v in held.values()], pa.int64()),
-                    pa.array([v[1] for v in held.values()], pa.int64()),
-                ],
-                ["feature", "toxic", "n"],
-            )
+            columns = [pa.array(held.keys(), pa.string()), pa.array([toxic[f] for f in held], pa.int64()), pa.array(held.values(), pa.int64())]
             held.clear()
-            held[""] = [0, 0]
-            return out
+            toxic.clear()
+            of_word.clear()
+            return pa.RecordBatch.from_arrays(columns, ["feature", "toxic", "n"])
 
         for batch, texts in slices(batches, "t"):
             for y, text in zip(batch.column(0).to_pylist(), texts, strict=True):
-                features = {f for w in reader.words(text) for f in beginnings(w)}
-                features.add("")
-                for f in features:
-                    if (pair := held.get(f)) is None:
-                        held[f] = [y, 1]
-                    else:
-                        pair[0] += y
-                        pair[1] += 1
+                features = {""}
+                for w in reader.words(text):
+                    if (own := of_word.get(w)) is None:
+                        own = of_word[w] = beginnings(w)
+                    features.update(own)
+                held.update(features)
+                if y:
+                    toxic.update(dict.fromkeys(features, int(y)))
             if len(held) > HELD_FEATURES:
                 yield hand_on()
         yield hand_on()

@@ -42,7 +42,8 @@ def test_what_is_not_decoded_for_scoring_has_no_mark():
     features = {f: 0.9 for w in ("idiot", "moron", "trash", "aardvark", "wool", "of") for f in toxicity.beginnings(w)}
     scorer = toxicity.Scorer(toxicity.Model(triples, features, 0.01))
     every = toxicity.Scorer(toxicity.Model(triples, features, 0.01))
-    every.heads = every.reader.heads = None
+    every.reader.heads = None
+    every._may_have_mark = lambda token: True
     every._of_word = lambda w: max((features.get(f, 0.0) for f in toxicity.beginnings(w)), default=0.0)
     r = random.Random(5)
     spell = [
