@@ -47,7 +47,9 @@ BIT_WORDS = 2 * PERMUTATIONS // 64
 LEAST_PERCENT = 75
 GROWTH = 32
 #: Sets whose signatures a worker holds at a time.
-SETS_AT_ONCE = 1024
+SETS_AT_ONCE = 512
+#: Characters of text that a worker takes apart at a time (a longer text alone).
+SLICE = 1 << 18
 SALT_ROWS = 256
 
 _ODD = np.random.Generator(np.random.PCG64(20240731))
@@ -69,7 +71,7 @@ _powers: dict[str, np.ndarray] = {}
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, by position."""
     if len(_powers.get("up", ())) < n:
-        size = max(n, 1 << 21)
+        size = max(n, 2 * SLICE)
         inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
         for name, x in (("up", _BASE), ("down", inverse)):
             steps = np.full(size, x, np.uint64)
@@ -169,7 +171,7 @@ def profiles(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     (none if it is empty)."""
 
     def profiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches, "t"):
+        for batch, texts in slices(batches, "t", SLICE):
             owner, found = shingles(texts)
             n = np.bincount(owner, minlength=len(texts))
             full = np.flatnonzero(n)
@@ -269,7 +271,7 @@ class _Texts:
         def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last, own = None, np.zeros(0, np.uint64)
             for batch in batches:
-                for part, texts_b in slices(iter([batch]), "tb"):
+                for part, texts_b in slices(iter([batch]), "tb", SLICE):
                     owner, found = shingles(texts_b)
                     ends = np.searchsorted(owner, np.arange(len(texts_b) + 1))
                     keep = []
