@@ -48,6 +48,17 @@ def unseen_records(
     return records.join(existing.select(*keys), list(keys), "left_anti")
 
 
+def record_counts(records: DataFrame, duplicates: DataFrame) -> DataFrame:
+    """``dataset_id, taken, duplicates, written`` from one aggregation over two tables with a ``dataset_id``."""
+    both = records.select("dataset_id", F.lit(0).alias("left_out")).unionByName(
+        duplicates.select("dataset_id", F.lit(1).alias("left_out"))
+    )
+    taken, left_out = F.count_if(F.col("left_out") == 0), F.count_if(F.col("left_out") == 1)
+    return both.groupBy("dataset_id").agg(
+        taken.alias("taken"), left_out.alias("duplicates"), (taken - left_out).alias("written")
+    )
+
+
 def _comparable(c: Column, dtype: T.DataType, ignore_case: bool, strip_whitespace: bool) -> Column:
     if isinstance(dtype, T.StringType):
         c = strip(c) if strip_whitespace else c

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.cap import cap_rows
 from ..operators.convert import convert_json, convert_table, export_records, union_all
-from ..operators.dedup import fingerprint
+from ..operators.dedup import fingerprint, record_counts
 from ..operators.detect import detect_mappings, json_cells
 from ..operators.proposals import check_task_type, resolve_mappings, validate_proposals
 from ..sources.catalog import output_name, resolve_catalog, select_domains
@@ -347,21 +347,21 @@ def _write_domain(
     staged = _staged(spark, staged_path, failed)
     if cap is not None:
         staged = cap_rows(staged, cap, ["dataset_id"], [ORD_SPLIT, ORD_FILE, ORD_BLOCK], ORD_ROW)
-    counts = _counts(staged)
     if not options.deduplicate:
         write_records(staged, options.output_format, csv_path, parquet_path)
-        return counts, {}
+        return _counts(staged, staged.limit(0))
     wants = options.output_format
     outputs = [(fmt, path) for fmt, path in (("csv", csv_path), ("parquet", parquet_path)) if wants in (fmt, "both")]
     known = [index for fmt, path in outputs if (index := refresh(spark, path, fmt))]
     duplicates = written(duplicate_places(staged, known), f"{work}/duplicates")
-    dropped = _counts(duplicates)
     write_records(keep_new(staged, duplicates), wants, csv_path, parquet_path)
-    return counts, dropped
+    return _counts(staged, duplicates)
 
 
-def _counts(records: DataFrame) -> dict[str, int]:
-    return {r.dataset_id: r["count"] for r in records.groupBy("dataset_id").count().collect()}
+def _counts(staged: DataFrame, duplicates: DataFrame) -> tuple[dict[str, int], dict[str, int]]:
+    """Records and duplicates per dataset, from one job."""
+    rows = record_counts(staged, duplicates).collect()
+    return {r.dataset_id: r.taken for r in rows}, {r.dataset_id: r.duplicates for r in rows}
 
 
 def _mappings(spark, works: list[_Work], task_type: str, proposals) -> dict[str, Mapping]:

@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..operators.cap import cap_rows
 from ..operators.convert import convert_json, export_records
-from ..operators.dedup import fingerprint
+from ..operators.dedup import fingerprint, record_counts
 from ..plans.session import remove_folder, shared_folder, written
 from ..sinks.writers import write_records
 from ..sources.fingerprint_index import refresh
@@ -102,7 +102,7 @@ def start_domain(
             kept = staged.join(duplicates.select(*ORDINAL), ORDINAL, "left_anti")
             own = f"run={run}/batch_id={batch_id}"
             write_records(kept, output_format, f"{csv_path}/{own}", f"{parquet_path}/{own}", mode="overwrite")
-            tables.write("counters", batch_id, _counters(staged, duplicates))
+            tables.write("counters", batch_id, record_counts(staged, duplicates))
         finally:
             remove_folder(spark, work)
 
@@ -136,17 +136,6 @@ def _duplicates(spark: SparkSession, staged: DataFrame, outputs: list, run: str,
     return keys.drop("fp").join(firsts.select("place.*"), ORDINAL, "left_anti")
 
 
-def _counters(staged: DataFrame, duplicates: DataFrame) -> DataFrame:
-    """Counts per dataset from one aggregation over two narrow tables."""
-    both = staged.select("dataset_id", F.lit(0).alias("left_out")).unionByName(
-        duplicates.select("dataset_id", F.lit(1).alias("left_out"))
-    )
-    taken, left_out = F.count_if(F.col("left_out") == 0), F.count_if(F.col("left_out") == 1)
-    return both.groupBy("dataset_id").agg(
-        taken.alias("taken"), left_out.alias("duplicates"), (taken - left_out).alias("written")
-    )
-
-
 def counters(spark: SparkSession, checkpoint: str) -> DataFrame:
     """``dataset_id, batches, taken, duplicates, written`` of a run up to now."""
     rows = BatchTables(spark, checkpoint).read("counters", COUNTERS)

@@ -73,7 +73,7 @@ def test_rows_wait_for_their_mapping_and_are_taken_once(spark, tmp_path):
     assert job.written() == [("o/a", n) for n in range(5)] + [("o/b", n) for n in range(10, 14)]
 
 
-@pytest.mark.parametrize("breaks_after", ["write_records", "_counters"])
+@pytest.mark.parametrize("breaks_after", ["write_records", "record_counts"])
 def test_a_batch_that_failed_writes_the_same_rows_again(spark, tmp_path, monkeypatch, breaks_after):
     job = Job(spark, tmp_path)
     job.mappings = [ONE]
