@@ -8,9 +8,41 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..plans.session import file_system
 from ..types import ORD_BLOCK, ORD_FILE, ORD_ROW
 
 
+def file_length(spark: SparkSession, path: str) -> int:
+    fs, hadoop_path = file_system(spark, path)
+    return fs.getFileStatus(hadoop_path).getLen()
+
+
+def input_block(spark: SparkSession) -> int:
+    """Bytes of a file that one task reads at most."""
+    return _bytes(spark, spark.conf.get("spark.sql.files.maxPartitionBytes"))
+
+
+def _bytes(spark: SparkSession, text: str) -> int:
+    """A size as settings write it (``64m``, ``10MB``, ``-1``)."""
+    if text.strip().startswith("-"):
+        return -1
+    return spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text.strip())
+
+
+#: Bytes that a row of block states takes at most, beside the name of its file.
+STATE_BYTES = 200
+
+
+def beside_texts(spark: SparkSession, states: DataFrame, paths: list[str]) -> DataFrame:
+    """One short row per block, to be joined to the texts of the blocks: broadcast as long as the number of blocks,
+    which follows from the lengths of the files, keeps them below ``autoBroadcastJoinThreshold``. Else the planner
+    joins by shuffling."""
+    most = _bytes(spark, spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    block = input_block(spark)
+    size = sum((file_length(spark, p) // block + 1) * (STATE_BYTES + 2 * len(p)) for p in paths)
+    return F.broadcast(states) if size <= most else states
+
+
 def block_lines(spark: SparkSession, paths: list[str], separator: str) -> DataFrame:
     """``file, block, row, size, value``: the texts between separators, in order within a block; bytes of the file."""
     return spark.read.text(paths, lineSep=separator).select(

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..types import ORD_BLOCK, ORD_FILE, ORD_ROW
-from .blocks import block_lines, block_runs, block_states, parts_of_records
+from .blocks import beside_texts, block_lines, block_runs, block_states, parts_of_records
 
 #: Text inside quotes up to a quote that isn't doubled, and a field outside of them. A quote counts as one only at
 #: the beginning of a field; what follows the closing quote belongs to the field up to the separator.
@@ -147,9 +147,10 @@ def csv_records(spark: SparkSession, paths: list[str]) -> DataFrame:
     states = states.select(ORD_FILE, ORD_BLOCK, "begins", "stops", "crlf").persist(StorageLevel.MEMORY_AND_DISK)
     place = [ORD_FILE, ORD_BLOCK, ORD_ROW]
     # The order within a block matters. A broadcast join keeps it, a shuffle join wouldn't.
-    known = lines.join(states, [ORD_FILE, ORD_BLOCK]).sortWithinPartitions(*place)
+    block = [ORD_FILE, ORD_BLOCK]
+    known = lines.join(beside_texts(spark, states, paths), block).sortWithinPartitions(*place)
     whole = known.mapInArrow(_cut(pieces=False), _PIECE).select(*place, "text")
-    over = lines.join(states.where("begins OR stops"), [ORD_FILE, ORD_BLOCK]).sortWithinPartitions(*place)
+    over = lines.join(beside_texts(spark, states.where("begins OR stops"), paths), block).sortWithinPartitions(*place)
     pieces = over.mapInArrow(_cut(pieces=True), _PIECE)
     return whole.unionByName(parts_of_records(pieces, "\n"))
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..types import ORD_BLOCK, ORD_FILE, ORD_ROW
-from .blocks import block_lines, block_runs, block_states, parts_of_records
+from .blocks import beside_texts, block_lines, block_runs, block_states, parts_of_records
 
 _STRING_REST = re.compile(r'(?:[^"\\]++|\\.)*+("?)', re.DOTALL)
 #: A string, or the beginning of one that the text doesn't end; brackets.
@@ -198,19 +198,20 @@ def json_objects(spark: SparkSession, paths: list[str], wrapper_keys: list[str])
     states = block_places(chunks).persist(StorageLevel.MEMORY_AND_DISK)
     entry = states.select(*block, "begins", "depth", "opener")
     # The order within a block matters. A broadcast join keeps it, a shuffle join wouldn't.
-    known = chunks.join(entry, block).sortWithinPartitions(*place)
+    known = chunks.join(beside_texts(spark, entry, paths), block).sortWithinPartitions(*place)
     whole = known.mapInArrow(_cut({"whole"}), _PIECE).select(*place, "text")
     # Blocks that begin or end within an object of the list; of wrapping objects all, for the notes.
     level = F.when(F.col("opener") == "[", 1).otherwise(2)
     partial = states.where((F.col("depth") > level) | (F.col("depth_after") > level) | (F.col("opener") == "{"))
-    partial = chunks.join(partial.select(entry.columns), block).sortWithinPartitions(*place)
+    partial = beside_texts(spark, partial.select(entry.columns), paths)
+    partial = chunks.join(partial, block).sortWithinPartitions(*place)
     parts = partial.mapInArrow(_cut({"tail", "head", "closing", "note"}), _PIECE)
     objects = whole.unionByName(parts_of_records(_closed(parts.where("kind <> 'note'")), ""))
     lists = _lists(parts.where("kind = 'note'"), wrapper_keys)
     spans = states.select(*block, "opener").join(lists, ORD_FILE, "left")
     row = F.struct(ORD_BLOCK, ORD_ROW)
     in_list = (row >= F.col("since")) & (F.col("until").isNull() | (row < F.col("until")))
-    listed = objects.join(spans, block).where((F.col("opener") == "[") | in_list).select(*place, "text")
+    listed = objects.join(beside_texts(spark, spans, paths), block).where((F.col("opener") == "[") | in_list).select(*place, "text")
     return listed.unionByName(_alone(chunks, states, lists))
 
 

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import json_fields, json_items, strip, variant_kind
-from ..plans.session import file_system
 from ..types import JSON_ROW, ORD_BLOCK, ORD_FILE, ORD_ROW, ORD_SPLIT, ORDINAL
+from .blocks import file_length, input_block
 from .csv_blocks import read_csv_blocks
 from .json_blocks import json_objects
 
@@ -189,17 +189,6 @@ def read_csv(
     return unite(frames)
 
 
-def file_length(spark: SparkSession, path: str) -> int:
-    fs, hadoop_path = file_system(spark, path)
-    return fs.getFileStatus(hadoop_path).getLen()
-
-
-def input_block(spark: SparkSession) -> int:
-    """Bytes of a file that one task reads at most."""
-    text = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    return spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
-
-
 def read_parquet(spark: SparkSession, paths: list[str], split_pos: int = 0) -> DataFrame:
     """Parquet rows. Columns are those of all files, not only of the first."""
     df = spark.read.option("mergeSchema", len(paths) > 1).parquet(*paths)

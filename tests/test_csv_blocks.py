@@ -67,8 +67,9 @@ def test_one_file_is_read_by_many_tasks(spark, tmp_path, small_blocks):
     with open(path, "w") as f:
         f.write("k,t\n" + "".join(f'{i},"a\nb{i}"\n' for i in range(400)))
     rows = R.read_csv(spark, [path])
-    assert rows.rdd.getNumPartitions() > 8
-    assert rows.select(F.spark_partition_id().alias("p")).distinct().count() > 8
+    assert rows.select(ORD_BLOCK).distinct().count() > 8
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert sorted((int(r.k), r.t) for r in rows.collect()) == [(i, f"a\nb{i}") for i in range(400)]
     assert rows.select(ORD_FILE, ORD_BLOCK, ORD_ROW).distinct().count() == 400
     ordered = rows.orderBy(ORD_BLOCK, ORD_ROW).select("k").collect()

@@ -77,7 +77,9 @@ def test_large_documents_are_cut_and_small_ones_are_not(spark, tmp_path, small_b
     big.write_text(json.dumps({"data": [{"k": i, "t": "}\n" * (i % 40)} for i in range(300)]}))
     small.write_text(json.dumps([{"k": 1000, "t": ""}]))
     rows = R.read_json(spark, [str(big), str(small)])
-    assert rows.select(F.spark_partition_id()).distinct().count() > 8
+    assert rows.select(ORD_BLOCK).distinct().count() > 8
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin [__file" not in plan.split("Union")[0]
     key = F.get_json_object(JSON_ROW, "$.k").cast("int")
     assert sorted(r[0] for r in rows.select(key).collect()) == [*range(300), 1000]
     ordered = rows.where(F.col(ORD_FILE).contains("big")).orderBy(ORD_BLOCK, ORD_ROW).select(key.alias("k")).collect()
