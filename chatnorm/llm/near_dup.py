@@ -225,8 +225,7 @@ class _Scratch:
 def connected(links: DataFrame, scratch: _Scratch) -> DataFrame:
     """``node, root`` (smallest node reachable) of the nodes of links ``a, b``; by alternating large and small stars."""
     edges = scratch.written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    mark = None
-    while True:
+    while not _stars(edges):
         # Large star: what lies above a node is linked with the least node around it.
         around = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = around.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
@@ -237,15 +236,21 @@ def connected(links: DataFrame, scratch: _Scratch) -> DataFrame:
         last = edges
         edges = scratch.written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         scratch.drop(last)
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == mark:
-            break
-        mark = now
     roots = scratch.written(edges.select(F.col("u").alias("node"), F.col("v").alias("root")))
     scratch.drop(edges)
     return roots
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node is linked with one smaller node at most, and with none if a larger one is linked with it:
+    then the smaller node is the root of its component."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up"))
+    )
+    counts = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return counts.where("down > 1 OR (down = 1 AND up = 1)").isEmpty()
+
+
 class _Texts:
     """Texts of the documents that have a candidate, bucketed by id so that later joins don't move them."""
 

@@ -91,3 +91,24 @@ def test_written_tables_are_removed(spark):
     near_dup.components(docs).count()
     assert len({p for p in root.iterdir() if any(p.iterdir())} - before) <= 1  # the result
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("texts_")]
+
+
+def test_components_of_any_shape(spark):
+    r = random.Random(13)
+    links = [(i, i + 1) for i in range(100, 160)] + [(200 + i, 200) for i in range(1, 30)] + [(300 - i, 300) for i in range(1, 9)]
+    links += [(r.randrange(400, 460), r.randrange(400, 460)) for _ in range(50)] + [(7, 7), (8, 9), (9, 8)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    scratch = near_dup._Scratch(spark)
+    found = near_dup.connected(spark.createDataFrame(links, "a bigint, b bigint"), scratch)
+    assert {x.node: x.root for x in found.collect()} == {x: find(x) for x in root if find(x) != x}
+    scratch.drop_all()
+    assert near_dup.connected(spark.createDataFrame([], "a bigint, b bigint"), scratch).count() == 0
