@@ -11,7 +11,7 @@ query's k best are those of the k best of its blocks.
 The query set is stated by the caller; it is cut into chunks, and each chunk meets each block once.
 
 Defined results: vectors that are null or hold a null, NaN or infinite component take no part, and neither do
-rows with a null id. Shorter vectors count as filled up with zeros. Rows with the id of the query are its own
+rows with a null id, nor vectors whose quantised form is 2**31 long or longer, as scores might not fit into 64 bits. Shorter vectors count as filled up with zeros. Rows with the id of the query are its own
 and are left out; repeated rows of another id are as many candidates. Without candidates a query has no rows.
 Other columns are not looked at.
 """
@@ -30,6 +30,8 @@ from .common import table, written
 BLOCK_ROWS = 16_384
 CHUNK_ROWS = 256
 SCALE = 256
+#: Quantised vectors are shorter than this.
+MOST_NORM = 2.0**31
 
 _INDEX = "block bigint, ids binary, low binary, digits binary, slices binary"
 _CHUNKS = "chunk bigint, ids binary, vectors binary"
@@ -39,6 +41,8 @@ def quantised(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
     """``id, v``: whole numbers ``floor(scale * x)`` of the vectors that take part."""
     v = F.transform(vector_col, lambda x: x.cast("double"))
     whole = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    # Then all scores fit into 64 bits.
+    whole = whole & (F.aggregate("v", F.lit(0.0), lambda total, x: total + (scale * x) * (scale * x)) < MOST_NORM**2)
     return (
         df.select(F.col(id_col).cast("long").alias("id"), v.alias("v"))
         .where(F.col("id").isNotNull() & F.col("v").isNotNull() & whole)
