@@ -42,7 +42,7 @@ CLASSES = 28  # 0: no letter, 1-26: a-z, 27: another letter
 OTHER = 27
 CACHED_TOKENS = 300_000
 #: Tokens without a mark that a scoring worker remembers.
-CLEAN_TOKENS = 1_000_000
+CLEAN_TOKENS = 1_500_000
 #: Pairs of counts that a training task holds before it hands them on.
 HELD_FEATURES = 300_000
 
@@ -80,6 +80,11 @@ _SURE = re.compile(rf"(?<![^{_GAP[1:-1]}])([a-z])(?!\1)([a-z])(?!\2)")
 _SINGLE = {chr(96 + k): (chr(96 + k), [((k,), PLAIN)]) for k in range(1, 27)}
 
 
+def _class_of(c: str) -> int:
+    """Class of a letter of a lower-cased text, or of no character."""
+    return 0 if not c else ord(c) - 96 if "a" <= c <= "z" else OTHER
+
+
 def letter_classes(text: str) -> np.ndarray:
     """Class of each character of a lower-cased text."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -188,8 +193,19 @@ class Restorer:
 
     def restore(self, span: str) -> str:
         """Most likely words of a lower-cased span, parted by blanks; ties go to the first way of the lattice."""
+        if span.isalpha():
+            doubled = _DOUBLED.findall(span)
+            if len(doubled) == 1 and (m := _DOUBLED.search(span)).end() - m.start() == 2:
+                return self._one_doubled(span, m.start())
         return self.decoded(self.columns(span), (0, 0), True)
 
+    def _one_doubled(self, word: str, at: int) -> str:
+        """A word whose only doubled letter stands at ``at``. Its lattice has two paths, which differ in few steps."""
+        before, k, after = (_class_of(c) for c in (word[at - 1 : at], word[at], word[at + 2 : at + 3]))
+        log = self.log
+        two = 2 * PLAIN + log[before][k][k] + log[k][k][after]
+        return word if two >= DRAWN + log[before][k][after] else word[:at] + word[at + 1 :]
+
     def restore_run(self, span: str) -> str:
         """The same for a run of pieces. Two letters of one way each leave the decoder one state, so what is before
         and behind them is decoded on its own, and known parts are taken again."""
@@ -311,11 +327,10 @@ class Scorer:
         return max((self.model.features.get(f, 0.0) for f in beginnings(word)), default=0.0)
 
     def _may_have_mark(self, token: str) -> bool:
-        """False only where :meth:`_of_token` has nothing; cheap for a word with signs before or behind it."""
-        bare = token.strip(_EDGES)
-        if not bare.isalpha():
+        """False only where :meth:`_of_token` has nothing; cheap for a word."""
+        if not token.isalpha():
             return True
-        return self.heads.may_begin(bare) or bool(_UNSURE.search(bare)) and self.heads.may_hold(bare)
+        return self.heads.may_begin(token) or bool(_DOUBLED.search(token)) and self.heads.may_hold(token)
 
     def _of_token(self, token: str) -> tuple[tuple[str, float], ...]:
         return tuple((w, p) for w in self.reader.words_of(token) if (p := self._of_word(w)))
@@ -323,7 +338,8 @@ class Scorer:
     def score(self, text: str) -> float:
         low = text.lower()
         found: dict[str, float] = {}
-        for token in set(low.split()) - self._clean:
+        # What stands at the edges of a token doesn't matter, and many tokens differ in it alone.
+        for token in {t.strip(_EDGES) for t in set(low.split())} - self._clean:
             marks = self._marks.get(token)
             if marks is None:
                 marks = self._of_token(token) if self._may_have_mark(token) else ()

@@ -73,3 +73,19 @@ def test_recall_and_precision_on_spelled_words():
     found = [scorer.score(" ".join(r.choices(harmless, k=30)) + " " + r.choice(forms)(r.choice(toxic))) >= 0.5 for _ in range(300)]
     alarms = [scorer.score(" ".join(r.choice(forms)(w) if r.random() < 0.1 else w for w in r.choices(harmless, k=30))) >= 0.5 for _ in range(300)]
     assert sum(found) >= 0.95 * 300 and sum(alarms) <= 0.02 * 300
+
+
+def test_a_word_with_one_doubled_letter_is_decoded_as_by_viterbi():
+    r = random.Random(7)
+    text = " ".join("".join(r.choice(["a", "b", "cc", "d", "ee", "o", "rr", "s", "t", "é"]) for _ in range(r.randint(1, 6))) for _ in range(2000))
+    classes = toxicity.letter_classes("\n\n" + text + "\n\n")
+    restorer = toxicity.Restorer(Counter(((classes[:-2] * 28 + classes[1:-1]) * 28 + classes[2:]).tolist()))
+    shortened = 0
+    for _ in range(5000):
+        word = "".join(r.choice("abcdeorstéüz") for _ in range(r.randint(1, 8)))
+        at = r.randrange(len(word))
+        word = word[:at] + word[at] + word[at:]
+        expected = restorer.decoded(restorer.columns(word), (0, 0), True)
+        assert restorer.restore(word) == expected, word
+        shortened += expected != word
+    assert 500 < shortened < 4500
