@@ -375,10 +375,10 @@ def _components(df: DataFrame, percent: int, id_col: str, text_col: str, scratch
                 break
             rank = F.row_number().over(Window.partitionBy("band").orderBy(F.desc("degree"), "node"))
             meeting = F.array_min(F.array_intersect("bands", "other_bands"))
+            ranked = labelled.withColumn("rank", rank)
+            next_ones = F.col("rank").between(met + 1, GROWTH * met)
             following = (
-                labelled.withColumn("rank", rank)
-                .where(F.col("rank") <= GROWTH * met)
-                .where(F.col("rank") > met)
+                ranked.where(next_ones)
                 .select(
                     "band",
                     F.col("node").alias("second"),
@@ -387,9 +387,10 @@ def _components(df: DataFrame, percent: int, id_col: str, text_col: str, scratch
                     F.col("bands").alias("other_bands"),
                 )
             )
+            once = ~next_ones | (F.col("node") < F.col("second"))  # two of the next ones would meet twice
             pairs = (
-                labelled.join(following, "band")
-                .where((F.col("root") != F.col("other_root")) & _close(percent) & (F.col("band") == meeting))
+                ranked.join(following, "band")
+                .where((F.col("root") != F.col("other_root")) & once & _close(percent) & (F.col("band") == meeting))
                 .select(F.least("node", "second").alias("a"), F.greatest("node", "second").alias("b"))
                 .distinct()
             )
