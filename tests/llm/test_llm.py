@@ -305,7 +305,7 @@ def test_signatures_estimate_similarity():
     keys = near_dup.band_keys(values)
     assert keys.shape == (2, near_dup.BANDS) and 5 <= (keys[0] == keys[1]).sum() < near_dup.BANDS
     one, two = near_dup.bit_words(values)
-    differ = int(one[0] ^ two[0]).bit_count() + int(one[1] ^ two[1]).bit_count()
+    differ = sum(int(x ^ y).bit_count() for x, y in zip(one, two, strict=True))
     assert differ == ((values[0] ^ values[1]) & np.uint64(1)).sum() <= near_dup.binomial_limit(0.25)
     assert near_dup.binomial_limit(0.0) == 0 and 160 < near_dup.binomial_limit(0.25) < 190
 
