@@ -6,12 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scoring
+from ..plans.session import file_system
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def table_files(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str]:
+    """Folder and name pattern of a table's files, for streams: a table is one file or a folder of part files."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    fs, hadoop_path = file_system(spark, path)
+    return (path, "*") if fs.getFileStatus(hadoop_path).isDirectory() else (sf_dir, f"{name}.parquet")
+
+
 def gathered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``conv_id, messages``: the turns of a conversation in order. A conversation is one record
     and has to fit into one row, here as in every input that stores it as a list."""

@@ -19,7 +19,7 @@ from ..sources.readers import list_data_files, read_csv, read_files, read_json,
 from ..streaming.domain_stream import dataset_of, start_domain
 from ..streaming.stream import drop_known, drop_seen, run_name, start, stream_records
 from ..types import JSON_ROW, ORD_FILE, RECORD_COLUMNS, Mapping, local_frame, mappings_frame
-from .common import SQL_PAIRS, gathered, table, turn_pairs, write_json_lines
+from .common import SQL_PAIRS, gathered, table, table_files, turn_pairs, write_json_lines
 from .records import _SQL_CONVERSATION, _SQL_TWO_SIDED, _two
 
 # Folder that Spark's writer gives to rows without a value of a partition column.
@@ -167,12 +167,9 @@ def stream_dedup(spark, sf_dir):
     start with the same checkpoint adds nothing."""
     folder = shared_folder(spark)
     schema = table(spark, sf_dir, "documents").schema
-    rows = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "documents.parquet")
-        .option("maxFilesPerTrigger", 100)
-        .parquet(sf_dir)
-    )
+    path, files = table_files(spark, sf_dir, "documents")
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", files)
+    rows = reader.option("maxFilesPerTrigger", 100).parquet(path)
     for _ in range(2):
         records = drop_seen(stream_records(rows, _DOCS, "nl"))
         start(records, f"{folder}/checkpoint", "parquet", f"{folder}/csv", f"{folder}/out").awaitTermination()
