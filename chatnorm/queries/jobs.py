@@ -186,7 +186,8 @@ def stream_incremental_dedup(spark, sf_dir):
     out, checkpoint = f"{folder}/out", f"{folder}/checkpoint"
     earlier = _first_run(_document_records(spark, sf_dir)).dropDuplicates(["conversation"])
     write_records(earlier, "parquet", "", f"{out}/batch")
-    rows = stream_files(spark, sf_dir, "parquet", table(spark, sf_dir, "documents").schema, glob="documents.parquet")
+    path, files = table_files(spark, sf_dir, "documents")
+    rows = stream_files(spark, path, "parquet", table(spark, sf_dir, "documents").schema, glob=files)
     for _ in range(2):
         index = refresh(spark, out, "parquet")
         records = drop_known(stream_records(rows, _DOCS, "nl"), [index], run_name(checkpoint))

@@ -16,7 +16,7 @@ ROWS = [
 
 
 @pytest.mark.parametrize("parts", [1, 3])
-@pytest.mark.parametrize("name", ["stream_dedup"])
+@pytest.mark.parametrize("name", ["stream_dedup", "stream_incremental_dedup"])
 def test_a_stream_reads_all_files_of_a_table(spark, tmp_path, name, parts):
     path = f"{tmp_path}/documents.parquet"
     documents = spark.createDataFrame(ROWS, "doc_id bigint, text string, lang string, source string, n_chars bigint")
