@@ -7,7 +7,9 @@ values, each equal between two documents with a probability equal to the similar
 similarity 0.75 share none of the buckets with a probability of about 4e-6. Lower similarities than that are refused.
 One bit of each value is kept as well: of a pair with the least similarity, more bits than a limit differ with a
 probability below ``UNLIKELY``; of pairs of similarity 0.6, 99 of 100 exceed it, and of those that are half alike, as
-texts that merely share a passage, nearly all. They are told apart before any text is read. Candidates are confirmed on their full sets.
+texts that merely share a passage, nearly all. Of sets that are not much larger than ``MARK_BITS``, marks (a bit of a fixed
+number for each shingle) bound the intersection from above, closely and without error, and rule out pairs a little
+below the least similarity too. They are told apart before any text is read. Candidates are confirmed on their full sets.
 
 Groups may hold a third of all rows. So documents with equal sets are one node (their smallest id), and
 within a bucket candidates are not all pairs: first each member meets the one that shares most buckets with others, then only
@@ -44,6 +46,8 @@ BAND_ROWS = 6
 UNLIKELY = 1e-6
 #: Words of 64 signature bits, and the least similarity that the bands are made for.
 BIT_WORDS = 2 * PERMUTATIONS // 64
+#: Bits that the shingles of a set are marked in.
+MARK_BITS = 2048
 LEAST_PERCENT = 75
 GROWTH = 32
 #: Sets whose signatures a worker holds at a time.
@@ -148,6 +152,13 @@ def bit_words(values: np.ndarray) -> np.ndarray:
     return (bits << np.arange(64, dtype=np.uint64)).sum(2, dtype=np.uint64)
 
 
+def mark_words(sizes: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """A bit for each shingle of the sets that lie one after the other in ``found``: a row per set, words of 64 bits."""
+    marks = np.zeros((len(sizes), MARK_BITS), bool)
+    marks[np.repeat(np.arange(len(sizes)), sizes), (found % np.uint64(MARK_BITS)).astype(np.int64)] = True
+    return np.packbits(marks, axis=1, bitorder="little").view(np.uint64)
+
+
 def binomial_limit(unlike: float) -> int:
     """The number of bits that a pair exceeds with a probability below ``UNLIKELY``, if values differ with ``unlike``."""
     n, p = 2 * PERMUTATIONS, unlike / 2  # half of the values that differ agree in a bit
@@ -157,7 +168,7 @@ def binomial_limit(unlike: float) -> int:
     return limit
 
 
-_PROFILE = "i bigint, n bigint, k1 bigint, k2 bigint, bits array<bigint>, bands array<bigint>"
+_PROFILE = "i bigint, n bigint, k1 bigint, k2 bigint, bits array<bigint>, marks array<bigint>, bands array<bigint>"
 
 
 def _lists(rows: np.ndarray, has: np.ndarray) -> pa.Array:
@@ -167,8 +178,8 @@ def _lists(rows: np.ndarray, has: np.ndarray) -> pa.Array:
 
 
 def profiles(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``i, n, k1, k2, bits, bands`` of each row: size and digest of its set, signature bits, and its bucket keys
-    (none if it is empty)."""
+    """``i, n, k1, k2, bits, marks, bands`` of each row: size and digest of its set, signature bits, marks of its
+    shingles, and its bucket keys (none if it is empty)."""
 
     def profiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, "t", SLICE):
@@ -178,6 +189,7 @@ def profiles(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             starts = (np.cumsum(n) - n)[full]
             k = np.zeros((2, len(texts)), np.uint64)
             bits, bands = [np.zeros((0, BIT_WORDS), np.uint64)], [np.zeros((0, BANDS), np.uint64)]
+            marks = [np.zeros((0, MARK_BITS // 64), np.uint64)]
             if len(full):
                 k[0, full] = np.add.reduceat(mix64(found), starts)
                 k[1, full] = np.add.reduceat(mix64(found ^ _BASE), starts)
@@ -186,6 +198,7 @@ def profiles(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 end = starts[at + SETS_AT_ONCE] if at + SETS_AT_ONCE < len(starts) else len(found)
                 values = signatures(own - own[0], found[own[0] : end])
                 bits.append(bit_words(values))
+                marks.append(mark_words(n[full[at : at + SETS_AT_ONCE]], found[own[0] : end]))
                 bands.append(band_keys(values))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -193,9 +206,10 @@ def profiles(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                     pa.array(n.astype(np.int64)),
                     *[pa.array(x.view(np.int64)) for x in k],
                     _lists(np.concatenate(bits), n > 0),
+                    _lists(np.concatenate(marks), n > 0),
                     _lists(np.concatenate(bands), n > 0),
                 ],
-                ["i", "n", "k1", "k2", "bits", "bands"],
+                ["i", "n", "k1", "k2", "bits", "marks", "bands"],
             )
 
     named = df.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"))
@@ -299,15 +313,25 @@ class _Texts:
 
 
 def _close(percent: int) -> Column:
-    """Whether neither the sizes nor the signature bits of ``one`` and ``other`` rule a pair out."""
+    """Whether neither the sizes nor the signature bits nor the marks of ``one`` and ``other`` rule a pair out.
+
+    Common shingles have marks that both sets have; those of a set beyond its number of marks may share one."""
     bits = [F.bit_count(F.col("one.bits")[k].bitwiseXOR(F.col("other.bits")[k])) for k in range(BIT_WORDS)]
     sizes = F.least("one.n", "other.n"), F.greatest("one.n", "other.n")
-    return (100 * sizes[0] >= percent * sizes[1]) & (sum(bits[1:], bits[0]) <= binomial_limit(1 - percent / 100))
+    marks = [F.bit_count(F.col("one.marks")[k].bitwiseAND(F.col("other.marks")[k])) for k in range(MARK_BITS // 64)]
+    common = sum(marks[1:], marks[0]) + F.least("one.beyond", "other.beyond")  # at most
+    by_bits = sum(bits[1:], bits[0]) <= binomial_limit(1 - percent / 100)
+    by_marks = (100 + percent) * common >= percent * (sizes[0] + sizes[1])
+    return (100 * sizes[0] >= percent * sizes[1]) & by_bits & by_marks
+
+
+#: What a pair is judged by before its texts are read.
+_JUDGED = ("n", "bits", "marks", "beyond")
 
 
 def _profiled(pairs: DataFrame, own: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` that may be close."""
-    one, other = (own.select(F.col("node").alias(c), F.struct("n", "bits").alias(name)) for c, name in (("a", "one"), ("b", "other")))
+    one, other = (own.select(F.col("node").alias(c), F.struct(*_JUDGED).alias(name)) for c, name in (("a", "one"), ("b", "other")))
     return pairs.join(one, "a").join(other, "b").where(_close(percent)).select("a", "b").distinct()
 
 
@@ -342,7 +366,9 @@ def _components(df: DataFrame, percent: int, id_col: str, text_col: str, scratch
     buckets = scratch.written(entries.join(shared.where("a <> b").select("band", "mates"), "band"))
     # Members that share most buckets come first: the source of a group of copies is nearer to them than they are to each other.
     degrees = buckets.groupBy("node").agg(F.sum("mates").alias("degree"))
-    own = scratch.written(nodes.select("node", "n", "bits").join(degrees, "node").dropDuplicates(["node", "n", "bits"]))
+    marked = F.aggregate("marks", F.lit(0), lambda total, word: total + F.bit_count(word))
+    texts_of = nodes.select("node", "n", "bits", "marks", (F.col("n") - marked).alias("beyond"), "bands")
+    own = scratch.written(texts_of.join(degrees, "node").dropDuplicates(["node", "n", "bits", "marks"]))
     scratch.drop(rows)
     firsts = buckets.select("band", "node").join(own.select("node", "degree").distinct(), "node").groupBy("band")
     firsts = firsts.agg(F.max(F.struct("degree", -F.col("node"))).alias("f")).select("band", (-F.col("f.col2")).alias("first"))
@@ -365,12 +391,10 @@ def _components(df: DataFrame, percent: int, id_col: str, text_col: str, scratch
                 .where((F.col("least") != F.col("most")) & (F.col("mates") > met))
                 .select("band")
             )
-            profile = own.select("node", "degree", F.struct("n", "bits").alias("one"))
-            labelled = labelled.join(open_, "band")
-            # All buckets of the nodes: two that share several meet in the least one only.
-            lists = buckets.join(labelled.select("node").distinct(), "node", "left_semi")
-            lists = lists.groupBy("node").agg(F.collect_set("band").alias("bands"))
-            labelled = scratch.written(labelled.join(profile, "node").join(lists, "node"))
+            # All buckets of a text: two that share several meet in the least one only.
+            profile = own.select("node", "degree", "bands", F.struct(*_JUDGED).alias("one"))
+            labelled = labelled.join(open_, "band").distinct().join(profile, "node").where("array_contains(bands, band)")
+            labelled = scratch.written(labelled)
             if labelled.isEmpty():
                 break
             rank = F.row_number().over(Window.partitionBy("band").orderBy(F.desc("degree"), "node"))
