@@ -247,18 +247,38 @@ def _repeats(one: np.ndarray, two: np.ndarray, ident: np.ndarray) -> np.ndarray:
     return hit
 
 
-def _suffix_ranks(words: np.ndarray) -> np.ndarray:
-    """Ranks of rows of 8-byte words in lexicographic order, equal for equal rows: prefix refinement."""
-    rank = np.zeros(len(words), np.int64)
-    for k in range(words.shape[1]):
-        order = np.lexsort((words[:, k], rank))
-        w, r = words[order, k], rank[order]
-        new = np.zeros(len(order), np.int64)
-        new[1:] = (w[1:] != w[:-1]) | (r[1:] != r[:-1])
-        rank[order] = np.cumsum(new)
-        if len(new) and rank.max() == len(rank) - 1:
+def _repeated_suffixes(raw: np.ndarray, at: np.ndarray, trigger: np.ndarray, ident: np.ndarray) -> np.ndarray:
+    """Whether the ``LENGTH`` bytes at each place also stand at a place with the same trigger and a smaller id.
+
+    Prefix refinement, 8 bytes at a time: what sorts into a place of its own, or beside its own id only, is done. A hash
+    of all bytes and the trigger comes first and leaves little; equality is that of the bytes.
+    """
+    up, down = _power(len(raw) + 1)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=sums[1:])
+    windows = np.lib.stride_tricks.sliding_window_view(raw, 8)
+    left, group, least = np.arange(len(at)), np.zeros(len(at), np.int64), ident
+
+    def depths() -> Iterator[np.ndarray]:
+        yield mix64((sums[at + LENGTH] - sums[at]) * down[at] ^ trigger * _BASE)
+        yield trigger[left]
+        for k in [*range(0, LENGTH - 8, 8), LENGTH - 8]:
+            yield np.ascontiguousarray(windows[at[left] + k]).view(np.uint64)[:, 0]
+
+    for depth, word in enumerate(depths()):
+        order = np.lexsort((word, group)) if depth else np.argsort(word)
+        w, g, d = word[order], group[order], ident[left[order]]
+        new = np.ones(len(order), bool)
+        new[1:] = (w[1:] != w[:-1]) | (g[1:] != g[:-1])
+        first, of = np.flatnonzero(new), np.cumsum(new) - 1
+        low = np.minimum.reduceat(d, first)
+        several = (low != np.maximum.reduceat(d, first))[of]
+        left, group, least = left[order[several]], of[several], low[of[several]]
+        if not len(left):
             break
-    return rank
+    hit = np.zeros(len(at), bool)
+    hit[left] = least < ident[left]
+    return hit
 
 
 def _compared(part: pa.Table) -> pa.Table:
@@ -285,18 +305,13 @@ def _compared(part: pa.Table) -> pa.Table:
         entries = order[bounds[groups[0]] : end]
         n = np.maximum(size[entries] - LENGTH + 1, 0).astype(np.int64)
         entry = np.repeat(entries, n)
+        if not len(entry):
+            continue
         place = np.arange(len(entry)) - np.repeat(np.cumsum(n) - n, n)
-        at = begin[entry] + place
-        words = np.zeros((len(at), 8), np.uint64)
-        words[:, 0] = trigger[entry]
-        view = np.zeros((len(at), 56), np.uint8)
-        for k in range(LENGTH):
-            view[:, k] = raw[at + k]
-        words[:, 1:] = view.view(">u8")
-        rank = _suffix_ranks(words)
-        least = np.full(int(rank.max(initial=-1)) + 1, NO_ID)
-        np.minimum.at(least, rank, ident[entry])
-        hit = least[rank] < ident[entry]
+        sizes = size[entries].astype(np.int64)
+        ahead = np.cumsum(sizes) - sizes  # bytes of the lot before each phrase
+        own = raw[np.arange(int(sizes.sum())) + np.repeat(begin[entries] - ahead, sizes)]
+        hit = _repeated_suffixes(own, np.repeat(ahead, n) + place, trigger[entry], ident[entry])
         found.append((entry[hit], place[hit]))
     entry, place = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
     a = start[entry] + place
