@@ -230,7 +230,7 @@ def csv_block_load(spark, sf_dir):
     folder = shared_folder(spark)
     quoted = F.concat(F.lit('"'), F.col("text"), F.lit('"\r\n,'), F.col("lang"))
     documents = table(spark, sf_dir, "documents").select("doc_id", quoted.alias("text"), "lang")
-    write_table(documents.coalesce(2), f"{folder}/docs", "csv")
+    write_table(documents, f"{folder}/docs", "csv")  # a file for each task that reads the table
     paths = [r.path for r in list_data_files(spark, folder).collect()]
     block = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 18))  # small files, so small blocks
