@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..operators.convert import convert_table, export_records
@@ -241,24 +242,32 @@ def csv_block_load(spark, sf_dir):
     return rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "digest")
 
 
+def _write_json_documents(members, path, start, end):
+    """Each task writes the ``value`` of its rows as a document of its own: lines behind a beginning and before an end."""
+
+    def framed(batches):
+        yield pa.RecordBatch.from_pydict({"value": [start]})
+        yield from batches
+        yield pa.RecordBatch.from_pydict({"value": [end]})
+
+    members.mapInArrow(framed, "value STRING").write.options(
+        sep="\x01", quote="", escapeQuotes=False, header=False, extension="json"
+    ).csv(path)
+
+
 def json_block_load(spark, sf_dir):
-    """All documents as two JSON documents, a list and a list wrapped among other members, each cut into its
+    """All documents as JSON documents of two forms, a list and a list wrapped among other members, each cut into its
     objects by many tasks."""
     folder = shared_folder(spark)
     rows = table(spark, sf_dir, "documents").select(
         "lang", F.to_json(F.struct("doc_id", "lang", F.concat(F.lit('}"{['), "text").alias("text"))).alias("row")
     )
-    # A document is a line of a file: its beginning, its rows and its end in this order, one file each.
     for name, which, start, end in (
         ("list", "lang = 'en'", "[", "]"),
         ("wrapped", "lang IS NULL OR lang <> 'en'", '{"n": [{"doc_id": 0}], "items": [1, ', '], "after": {"x": {"doc_id": 0}}}'),
     ):
-        inner = rows.where(which).select(F.lit(1).alias("place"), F.concat("row", F.lit(",")).alias("value"))
-        ends = local_frame(spark, [(0, start), (2, "null" + end)], "place INT, value STRING")
-        lines = ends.unionByName(inner).coalesce(1).sortWithinPartitions("place")
-        lines.select("value").write.options(
-            sep="\x01", quote="", escapeQuotes=False, header=False, extension="json"
-        ).csv(f"{folder}/data/{name}")
+        members = rows.where(which).select(F.concat("row", F.lit(",")).alias("value"))
+        _write_json_documents(members, f"{folder}/data/{name}", start, "null" + end)
     paths = [r.path for r in list_data_files(spark, folder).collect()]
     block = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 18))  # small files, so small blocks

@@ -8,7 +8,7 @@ from chatnorm.sources.readers import list_data_files
 from oracle import differences
 
 
-@pytest.mark.parametrize(("name", "files"), [("csv_block_load", 6)])
+@pytest.mark.parametrize(("name", "files"), [("json_block_load", 12), ("csv_block_load", 6)])
 def test_no_task_writes_the_whole_table(spark, tmp_path, monkeypatch, name, files):
     rows = [(k, f'text {k} "}}' + "é\n, " * (40000 if k == 5 else k), ["en", "fr", "it"][k % 3], "web", k) for k in range(60)]
     documents = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
@@ -26,7 +26,7 @@ def test_no_task_writes_the_whole_table(spark, tmp_path, monkeypatch, name, file
     assert differences(mine, connection.execute(all_sql()[name]).df()) is None
 
 
-@pytest.mark.parametrize("name", ["csv_block_load"])
+@pytest.mark.parametrize("name", ["json_block_load", "csv_block_load"])
 def test_an_empty_table_gives_no_rows(spark, tmp_path, name):
     documents = spark.createDataFrame([], "doc_id bigint, text string, lang string, source string, n_chars bigint")
     documents.write.parquet(f"{tmp_path}/documents.parquet")
