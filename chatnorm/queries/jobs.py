@@ -303,16 +303,22 @@ def _domain_stream(spark, folder, mappings, depth, max_files=2, **options):
     ).awaitTermination()
 
 
+def _land(spark, rows, path):
+    """JSON Lines in at most a file for each core (and at least room for 16): a file is read by many tasks, so batches
+    of a larger table get larger files, not more of them, and their fixed cost doesn't grow with it."""
+    write_json_lines(rows.coalesce(max(16, spark.sparkContext.defaultParallelism)), path)
+
+
 def stream_domain(spark, sf_dir):
     """Three datasets in one stream. The second has no mapping yet when its rows come in; the second start has one
     for all, and a third dataset. Duplicates of any batch are dropped."""
     folder = shared_folder(spark)
     documents = table(spark, sf_dir, "documents").select("text", "lang", "source")
-    write_json_lines(documents, f"{folder}/data/org/docs/default/train")
-    write_json_lines(gathered(spark, sf_dir), f"{folder}/data/org/chats/default/train")
+    _land(spark, documents, f"{folder}/data/org/docs/default/train")
+    _land(spark, gathered(spark, sf_dir), f"{folder}/data/org/chats/default/train")
     docs = replace(_DOCS, dataset_id="org/docs")
     _domain_stream(spark, folder, [docs], 2)
-    write_json_lines(turn_pairs(spark, sf_dir), f"{folder}/data/org/pairs/default/train")
+    _land(spark, turn_pairs(spark, sf_dir), f"{folder}/data/org/pairs/default/train")
     _domain_stream(spark, folder, [docs, _CHATS, _PAIRS], 2)
     out = spark.read.schema(local_frame(spark, [], RECORD_DDL).schema).parquet(f"{folder}/out")
     return out.select("conversation", "language", "dataset_id")

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..operators.dedup import fingerprint
 from ..plans.generations import Generations
+from ..types import local_frame
 from .outputs import path_exists, read_output
 
 COMPACT_AFTER = 16
@@ -149,7 +150,7 @@ def _add(spark: SparkSession, generation: str, buckets: int, fmt: str, files: Da
     if not listed:
         return
     _append(spark, generation, buckets, _parsed(spark, [r.path for r in listed], fmt, buckets))
-    spark.createDataFrame(listed, _FILES).coalesce(1).write.mode("append").parquet(f"{generation}/files")
+    local_frame(spark, [tuple(r) for r in listed], _FILES).coalesce(1).write.mode("append").parquet(f"{generation}/files")
 
 
 def _compacted(spark: SparkSession, generations: Generations, generation: str, buckets: int) -> str:
