@@ -30,57 +30,38 @@ def strip(c: Column) -> Column:
     return F.trim(c, F.lit(WHITESPACE))
 
 
-# Patterns of format_number: every digit of a double below 1e16, and one digit before the point.
-_PLAIN_DIGITS = "0.0" + "#" * 20
-_POWER_DIGITS = "0." + "#" * 16 + "E00"
-
-
 def python_float_text(c: Column) -> Column:
     """Shortest decimal text of a double, as ``1.0``, ``1e+16``, ``0.0001``, ``nan``, ``inf``.
 
     Spark's own text may carry a digit too many; fewer digits are taken when they give the same
-    double back. A text of at most 16 characters cannot have one.
+    double back.
     """
     value = c.cast("double")
-    plain = (F.abs(value) >= 1e-4) & (F.abs(value) < 1e16)
-
-    def spelled(s):
-        return (
-            F.when(s.isNull(), s)
-            .when(s == "NaN", F.lit("nan"))
-            .when(s == "Infinity", F.lit("inf"))
-            .when(s == "-Infinity", F.lit("-inf"))
-            .when(~s.contains("E") & (F.length(s) < 16), s)
-            .when(
-                F.length(s) <= 16,
-                F.when(plain, _number_text(value, _PLAIN_DIGITS)).otherwise(
-                    _power_notation(value, _number_text(value, _POWER_DIGITS))
-                ),
-            )
-            .when(plain, _number_text(_fewest_digits(value).try_cast("decimal(38,21)"), _PLAIN_DIGITS))
-            .otherwise(_power_notation(value, _fewest_digits(value)))
-        )
-
-    return bind(value.cast("string"), spelled)
-
-
-def _number_text(c: Column, pattern: str) -> Column:
-    return F.call_function("format_number", c, F.lit(pattern))
-
-
-def _fewest_digits(value: Column) -> Column:
-    """``%e`` text with the fewest of 15, 16 or 17 digits that give ``value`` back."""
-    texts = [F.format_string(f"%.{n}e", value) for n in (14, 15, 16)]
-    same = [F.get(F.filter(F.array(t), lambda e: e.try_cast("double") == value), F.lit(0)) for t in texts[:2]]
-    return F.coalesce(*same, texts[2])
-
-
-def _power_notation(value: Column, text: Column) -> Column:
-    """``1.50E07`` or ``1.50e+07`` as ``1.5e+07``; of an exponent of three digits two are kept."""
-    short = F.regexp_replace(text, r"\.?0*[eE]\+?(-?)", "e+$1")
-    spelled = F.replace(short, F.lit("e+-"), F.lit("e-"))
-    three = (F.abs(value) >= 1e100) | (F.abs(value) < 1e-99)
-    return F.when(three, spelled.substr(F.lit(1), F.length(spelled) - 1)).otherwise(spelled)
+    s = value.cast("string")
+    digits_15, digits_16 = F.format_string("%.14e", value), F.format_string("%.15e", value)
+    exact = (
+        F.when(s.contains("E") & (F.length(s) <= 16), s)
+        .when(digits_15.try_cast("double") == value, digits_15)
+        .when(digits_16.try_cast("double") == value, digits_16)
+        .otherwise(F.format_string("%.16e", value))
+    )
+    pattern = r"^-?(\d)\.(\d+)[eE]([+-]?\d+)$"
+    parts = bind(
+        exact,
+        lambda e: F.struct(
+            F.regexp_extract(e, pattern, 1).alias("lead"),
+            F.rtrim(F.regexp_extract(e, pattern, 2), F.lit("0")).alias("frac"),
+            F.regexp_extract(e, pattern, 3).try_cast("int").alias("exp"),
+        ),
+    )
+    sign = F.when(s.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    return (
+        F.when(s == "NaN", F.lit("nan"))
+        .when(s == "Infinity", F.lit("inf"))
+        .when(s == "-Infinity", F.lit("-inf"))
+        .when(~s.contains("E") & (F.length(s) < 16), s)
+        .otherwise(F.concat(sign, bind(parts, _decimal_notation)))
+    )
 
 
 def bind(value: Column, use) -> Column:
@@ -88,6 +69,28 @@ def bind(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def _decimal_notation(parts: Column) -> Column:
+    lead, frac, exp = parts["lead"], parts["frac"], parts["exp"]
+    digits = F.concat(lead, frac)
+    whole = F.when(
+        F.length(frac) <= exp, F.concat(F.rpad(digits, exp + 1, F.lit("0")), F.lit(".0"))
+    ).otherwise(
+        F.concat(digits.substr(F.lit(1), exp + 1), F.lit("."), digits.substr(exp + 2, F.length(digits)))
+    )
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
+    scientific = F.concat(
+        lead,
+        F.when(frac != "", F.concat(F.lit("."), frac)).otherwise(F.lit("")),
+        F.when(exp < 0, F.lit("e-")).otherwise(F.lit("e+")),
+        F.lpad(F.abs(exp).cast("string"), 2, "0"),
+    )
+    return (
+        F.when((exp >= 0) & (exp < 16), whole)
+        .when((exp >= -4) & (exp < 0), small)
+        .otherwise(scientific)
+    )
+
+
 def spaced_json(c: Column) -> Column:
     """Compact JSON text -> the same with one blank after each separator outside strings."""
     between = r'\G((?:[^",:]++|"[^"\\]*+(?:\\.[^"\\]*+)*+")*+)([,:])'
